@@ -1,0 +1,56 @@
+"""Repeatable generated data: every value is a function of (row id, seed)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from stockyard.functions import scalars as S
+
+# Domains of generated transactions.
+REGIONS = ["NA", "EU", "APAC", "LATAM"]
+CATEGORIES = ["electronics", "apparel", "food", "industrial", "pharma"]
+BASE_PRICE = {"electronics": 450, "apparel": 80, "food": 25, "industrial": 1200, "pharma": 350}
+START = "2024-01-01"
+HOURS = 8760
+
+
+def generate_transactions(ids: DataFrame, id_col: str = "id", seed: int = 42) -> DataFrame:
+    """One transaction per id, e.g. of ``spark.range(n)``; nothing depends on partitioning."""
+    key = F.col(id_col)
+
+    def u(tag: str) -> Column:
+        return S.uniform(S.keyed(key, tag, seed))
+
+    def whole(tag: str, low: int, high: int) -> Column:
+        return (F.lit(low) + F.floor(u(tag) * (high - low + 1))).cast("int")
+
+    def pick(tag: str, values: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), whole(tag, 1, len(values)))
+
+    base = F.create_map(*[F.lit(v) for pair in BASE_PRICE.items() for v in pair])
+    region_no = F.array_position(F.array(*[F.lit(r) for r in REGIONS]), F.col("region")) - 1
+    df = ids.select(
+        key.cast("bigint").alias("_id"), F.format_string("TXN-%06d", key.cast("bigint")).alias("transaction_id"),
+        F.timestamp_add("HOUR", whole("ts", 0, HOURS - 1), F.lit(START).cast("timestamp")).alias("ts"),
+        pick("region", REGIONS).alias("region"), pick("category", CATEGORIES).alias("category"),
+        whole("quantity", 1, 499).alias("quantity"), F.round(5 + 195 * u("unit_cost"), 2).alias("unit_cost"),
+        u("price").alias("_p"),
+        F.concat(F.lit("WH-"), whole("warehouse", 1, 11).cast("string")).alias("warehouse_id"),
+        F.concat(F.lit("SUP-"), whole("supplier", 100, 998).cast("string")).alias("supplier_id"),
+        F.when(u("fraud") < 0.02, 1).otherwise(0).alias("is_fraud"),
+        F.when(u("defect") < 0.03, 1).otherwise(0).alias("is_defect"),
+        whole("shipping", 1, 20).alias("shipping_days"),
+        F.round(0.8 + 0.4 * u("market"), 4).alias("market_index"))
+    price = base[F.col("category")] * (0.7 + 0.7 * F.col("_p")) * (1 + 0.1 * region_no) * F.col("quantity")
+    return df.withColumn("price_usd", F.round(price, 2)).drop("_p", "_id")
+
+
+def random_matrix(ids: DataFrame, columns: int, id_col: str = "id", seed: int = 42) -> DataFrame:
+    """Standard normal columns c0.. by the Box-Muller transform of two hashed uniforms."""
+    key = F.col(id_col)
+    out = []
+    for j in range(columns):
+        radius = F.sqrt(-2.0 * F.log(1.0 - S.uniform(S.keyed(key, j, "radius", seed))))
+        out.append((radius * F.cos(F.lit(6.283185307179586) * S.uniform(S.keyed(key, j, "angle", seed)))).alias(f"c{j}"))
+    return ids.select(key.alias("id"), *out)
