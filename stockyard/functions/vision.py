@@ -42,7 +42,16 @@ def flip_box(bbox: Column, width: Column | int) -> Column:
 
 
 def caption(class_name: Column | str = "class_name", confidence: Column | str = "confidence") -> Column:
-    return F.format_string("%s %.2f", col(class_name), col(confidence))
+    """``class 0.87``: a confidence in [0, 1] to two digits, rounded on its exact binary value.
+
+    Scaled by 2^53 the confidence is a whole number, so the rounding is done on integers
+    (halves to even); formatting the decimal form would round numbers such as 0.565 up.
+    """
+    scaled = (col(confidence) * F.lit(float(1 << 53))).cast("bigint") * 100
+    low, rest = F.shiftright(scaled, 53), scaled.bitwiseAND(F.lit((1 << 53) - 1))
+    half = F.lit(1 << 52)
+    digits = low + F.when((rest > half) | ((rest == half) & (low % 2 == 1)), 1).otherwise(0)
+    return F.format_string("%s %d.%02d", col(class_name), F.floor(digits / 100), digits % 100)
 
 
 def class_name(class_id: Column | str, names: dict[int, str] | None = None) -> Column:

@@ -73,7 +73,7 @@ def fit_pca(df: DataFrame, columns: list[str], k: int):
 
 def oriented_loadings(pc) -> list[list[float]]:
     """Loadings (features x components), each component turned so its largest loading is positive."""
-    m = pc.toArray()
+    m = pc.toArray().copy()
     for j in range(m.shape[1]):
         if m[abs(m[:, j]).argmax(), j] < 0:
             m[:, j] = -m[:, j]

@@ -21,34 +21,34 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no",
                 total: str | None = None) -> DataFrame:
     """0-based position of every row under ``order``, which must be a total order."""
     placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_slot", F.monotonically_increasing_id()))
+              .withColumn("_ord_slot", F.monotonically_increasing_id()))
     stored = (materialize(placed, "numbered")
-              .withColumn("_range", F.shiftright("_slot", 33))
-              .withColumn("_at", F.col("_slot").bitwiseAND(F.lit(_POSITION_MASK)))
-              .drop("_slot"))
-    sizes = stored.groupBy("_range").agg((F.max("_at") + 1).alias("_rows"))
-    everything = W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+              .withColumn("_ord_range", F.shiftright("_ord_slot", 33))
+              .withColumn("_ord_at", F.col("_ord_slot").bitwiseAND(F.lit(_POSITION_MASK)))
+              .drop("_ord_slot"))
+    sizes = stored.groupBy("_ord_range").agg((F.max("_ord_at") + 1).alias("_ord_rows"))
+    everything = W.orderBy("_ord_range").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     starts = sizes.select(
-        "_range",
-        F.coalesce(F.sum("_rows").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_start"),
-        F.sum("_rows").over(everything).alias("_total"))
+        "_ord_range",
+        F.coalesce(F.sum("_ord_rows").over(W.orderBy("_ord_range").rowsBetween(W.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_ord_start"),
+        F.sum("_ord_rows").over(everything).alias("_ord_total"))
     # one row per range: bounded by the number of shuffle partitions
-    out = stored.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_at"))
+    out = stored.join(F.broadcast(starts), "_ord_range").withColumn(name, F.col("_ord_start") + F.col("_ord_at"))
     if total:
-        out = out.withColumn(total, F.col("_total"))
-    return out.drop("_range", "_at", "_start", "_total")
+        out = out.withColumn(total, F.col("_ord_total"))
+    return out.drop("_ord_range", "_ord_at", "_ord_start", "_ord_total")
 
 
 def rank_within(df: DataFrame, groups: list[str], order: list[str], name: str = "rank",
                 group_size: str | None = None) -> DataFrame:
     """0-based rank inside each group; a group of any size is spread over many tasks."""
-    numbered = number_rows(df, [*groups, *order], "_no")
-    firsts = numbered.groupBy(*groups).agg(F.min("_no").alias("_first"), F.count(F.lit(1)).alias("_size"))
-    out = numbered.join(firsts, groups).withColumn(name, F.col("_no") - F.col("_first"))
+    numbered = number_rows(df, [*groups, *order], "_ord_no")
+    firsts = numbered.groupBy(*groups).agg(F.min("_ord_no").alias("_ord_first"), F.count(F.lit(1)).alias("_ord_size"))
+    out = numbered.join(firsts, groups).withColumn(name, F.col("_ord_no") - F.col("_ord_first"))
     if group_size:
-        out = out.withColumn(group_size, F.col("_size"))
-    return out.drop("_no", "_first", "_size")
+        out = out.withColumn(group_size, F.col("_ord_size"))
+    return out.drop("_ord_no", "_ord_first", "_ord_size")
 
 
 def running_sums(df: DataFrame, groups: list[str], order: list[str], sums: dict[str, str]) -> DataFrame:
@@ -56,18 +56,18 @@ def running_sums(df: DataFrame, groups: list[str], order: list[str], sums: dict[
 
     Give it pre-aggregated rows, one per (group, order) value: then no value is hot.
     """
-    stored = materialize(df.repartitionByRange(*groups, *order).withColumn("_range", F.spark_partition_id()),
+    stored = materialize(df.repartitionByRange(*groups, *order).withColumn("_ord_range", F.spark_partition_id()),
                          "running")
-    inside = W.partitionBy("_range", *groups).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    tops = stored.groupBy(*groups, "_range").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
-    starts = tops.select(*groups, "_range", *[
-        F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_s_{o}") for o in sums])
-    out = (stored.select("*", *[F.sum(c).over(inside).alias(f"_i_{o}") for o, c in sums.items()])
-           .join(starts, [*groups, "_range"]))
+    inside = W.partitionBy("_ord_range", *groups).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(*groups).orderBy("_ord_range").rowsBetween(W.unboundedPreceding, -1)
+    tops = stored.groupBy(*groups, "_ord_range").agg(*[F.sum(c).alias(f"_ord_t_{o}") for o, c in sums.items()])
+    starts = tops.select(*groups, "_ord_range", *[
+        F.coalesce(F.sum(f"_ord_t_{o}").over(before), F.lit(0)).alias(f"_ord_s_{o}") for o in sums])
+    out = (stored.select("*", *[F.sum(c).over(inside).alias(f"_ord_i_{o}") for o, c in sums.items()])
+           .join(starts, [*groups, "_ord_range"]))
     for o in sums:
-        out = out.withColumn(o, F.col(f"_i_{o}") + F.col(f"_s_{o}"))
-    return out.drop("_range", *[f"_{k}_{o}" for o in sums for k in "is"])
+        out = out.withColumn(o, F.col(f"_ord_i_{o}") + F.col(f"_ord_s_{o}"))
+    return out.drop("_ord_range", *[f"_ord_{k}_{o}" for o in sums for k in "is"])
 
 
 def to_long(df: DataFrame, columns: list[str], keep: list[str] = (), variable: str = "feature",
@@ -86,11 +86,11 @@ def exact_quantiles(long: DataFrame, groups: list[str], value: str, probs: dict[
     counts = (long.where(F.col(value).isNotNull()).groupBy(*groups, value)
               .agg(F.count(F.lit(1)).alias("_n")))
     run = running_sums(counts, groups, [value], {"_cum": "_n"})
-    totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
+    totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_ord_total"))
     ranked = run.join(totals, groups)
     aggregates, outputs = [], []
     for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_total") - 1)
+        at = F.lit(float(p)) * (F.col("_ord_total") - 1)
         aggregates += [F.min(F.when(F.col("_cum") > F.floor(at), F.col(value))).alias(f"_lo_{name}"),
                        F.min(F.when(F.col("_cum") > F.ceil(at), F.col(value))).alias(f"_hi_{name}"),
                        F.max(at - F.floor(at)).alias(f"_f_{name}")]

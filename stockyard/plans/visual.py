@@ -59,7 +59,7 @@ def asset_tracks(spark, sf):
     return _rounded_conf(corners(D.asset_tracks(_detections(spark, sf)).drop("det_id")))
 
 
-@query("""SELECT det_id, concat(class_name, ' ', cast(round(cast(confidence AS decimal(9,6)), 2) AS decimal(9,2))) AS caption FROM detections""")
+@query("SELECT det_id, concat(class_name, ' ', format('{:.2f}', confidence)) AS caption FROM detections")
 def box_captions(spark, sf):
     return _detections(spark, sf).select("det_id", V.caption().alias("caption"))
 
@@ -208,7 +208,8 @@ _OTSU = """WITH px AS (SELECT image_id, (299 * r + 587 * g + 114 * b + 500) // 1
   k AS (SELECT image_id, y, sum(n) OVER w AS n0, sum(s) OVER w AS s0, sum(n) OVER a AS n, sum(s) OVER a AS s FROM c
         WINDOW w AS (PARTITION BY image_id ORDER BY y), a AS (PARTITION BY image_id)),
   v AS (SELECT *, power((n * s0 - n0 * s)::double, 2) / (n0 * (n - n0))::double AS between_var FROM k WHERE n0 < n),
-  t AS (SELECT image_id, n0, n FROM v QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY round(between_var / max(between_var) OVER (PARTITION BY image_id), 12) DESC, y) = 1) """
+  m AS (SELECT *, round(between_var / max(between_var) OVER (PARTITION BY image_id), 12) AS share FROM v),
+  t AS (SELECT image_id, n0, n FROM m QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY share DESC, y) = 1) """
 
 
 @query(_OTSU + "SELECT image_id, cast(n0 AS bigint) AS damage_area_pixels, round(n0 / n::double, 9) AS damage_ratio FROM t")
