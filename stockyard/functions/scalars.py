@@ -65,6 +65,14 @@ def heuristic_price(quantity: Column | str = "quantity", unit_cost: Column | str
     return F.round(product, 2).cast("double")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row.
+
+    An expression named inside a higher-order function is otherwise repeated for every element.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stockyard.functions.scalars import col
+from stockyard.functions.scalars import col, let
 
 # Class ids of the detector.
 WAREHOUSE_CLASSES = {0: "pallet", 1: "box", 2: "crate", 3: "drum",
@@ -89,7 +89,8 @@ def label_text(labels: Column) -> Column:
 
 
 def softmax(values: Column) -> Column:
-    top = F.array_max(values)
-    powers = F.transform(values, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda s, x: s + x)
-    return F.transform(powers, lambda p: p / total)
+    powers = let(F.struct(values.alias("v"), F.array_max(values).alias("top")),
+                 lambda r: F.transform(r["v"], lambda x: F.exp(x - r["top"])))
+    return let(powers, lambda p: let(
+        F.struct(p.alias("p"), F.aggregate(p, F.lit(0.0), lambda s, x: s + x).alias("total")),
+        lambda r: F.transform(r["p"], lambda x: x / r["total"])))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.functions import scalars as S
@@ -65,13 +65,18 @@ def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def with_totals(summary: DataFrame, **totals: Column) -> DataFrame:
+    """Attach totals to every row of a short summary (one row per class) without computing it twice."""
+    packed = summary.agg(F.collect_list(F.struct(*summary.columns)).alias("_rows"),
+                         *[e.alias(n) for n, e in totals.items()])
+    return packed.select(F.explode("_rows").alias("_row"), *totals).select("_row.*", *totals)
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weights n / (k * n_c); one row per class, so the total is taken from the counts."""
-    counts = class_distribution(df, label)
-    totals = one_row(counts.agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")))
-    return (counts.withColumn("_t", totals)
-            .withColumn("weight", F.col("_t.rows") / (F.col("_t.classes") * F.col("n"))).drop("_t"))
+    """Balanced weights n / (k * n_c); the table is read once and the k counts share one row."""
+    counts = with_totals(class_distribution(df, label), rows=F.sum("n"), classes=F.count(F.lit(1)))
+    return counts.select("label", "n", (F.col("rows") / (F.col("classes") * F.col("n"))).alias("weight"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from stockyard.functions import scalars as S
 from stockyard.functions import vision as V
+from stockyard.operators.commerce import with_totals
 from stockyard.operators.ordering import exact_quantiles, number_rows, rank_within
 
 
@@ -93,10 +94,10 @@ def augment_boxes(detections: DataFrame, copies: int = 3, width: int = 640, seed
 def samples_per_case(df: DataFrame, case: str) -> DataFrame:
     """Rows per case, and their total on every row."""
     counts = df.groupBy(F.col(case).alias("case")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("total", counts.agg(F.sum("n")).scalar())
+    return with_totals(counts, total=F.sum("n"))
 
 
-def top_labels(df: DataFrame, key: str, scores: str, k: int = 5, names: Column | None = None) -> DataFrame:
+def top_labels(df: DataFrame, key: str, scores: str, k: int = 5) -> DataFrame:
     """The k most probable labels per row; equal probabilities keep their position order."""
     entries = F.transform(scores, lambda p, i: F.struct((-p).alias("neg"), i.alias("i")))
     top = F.slice(F.array_sort(entries), 1, k)

@@ -9,7 +9,7 @@ from stockyard.functions import scalars as S
 from stockyard.operators.ordering import exact_quantiles, number_rows, to_long
 from stockyard.schema import NUMERIC_COLUMNS
 
-INLINE_CATEGORIES = 2048
+INLINE_CATEGORIES = 256
 
 
 def project_available(df: DataFrame, wanted: list[str]) -> DataFrame:

@@ -48,7 +48,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "prob", by: list[s
         F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).alias("_neg"))
     run = running_sums(counts, by, [score], {"_below": "_neg"})
     wins = F.col("_pos").cast("decimal(18,0)") * (2 * F.col("_below") - F.col("_neg")).cast("decimal(19,0)")
-    pairs = 2.0 * F.sum("_pos") * F.sum("_neg")
+    pairs = 2.0 * F.sum("_pos").cast("double") * F.sum("_neg")
     out = run.groupBy(*by).agg(
         F.when((F.sum("_pos") > 0) & (F.sum("_neg") > 0),
                F.sum(wins).cast("double") / F.greatest(pairs, F.lit(1.0))).alias("roc_auc"))
@@ -77,8 +77,8 @@ def ks_statistics(df: DataFrame, value: str, current: str, by: list[str]) -> Dat
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.sum(F.when(F.col(current) == 0, 1).otherwise(0)).alias("_a"),
         F.sum(F.when(F.col(current) == 1, 1).otherwise(0)).alias("_b"))
-    totals = counts.groupBy(*by).agg(F.sum("_a").alias("n_ref"), F.sum("_b").alias("n_cur"))
-    run = running_sums(counts, by, [value], {"_ca": "_a", "_cb": "_b"}).join(totals, by)
+    run = (running_sums(counts, by, [value], {"_ca": "_a", "_cb": "_b"})
+           .withColumnsRenamed({"_ca_total": "n_ref", "_cb_total": "n_cur"}))
     gap = F.abs(F.col("_ca") / F.col("n_ref") - F.col("_cb") / F.col("n_cur"))
     return (run.where("n_ref > 0 AND n_cur > 0").groupBy(*by)
             .agg(F.max(gap).alias("ks_statistic"), F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur")))

@@ -52,17 +52,21 @@ def rank_within(df: DataFrame, groups: list[str], order: list[str], name: str =
 
 
 def running_sums(df: DataFrame, groups: list[str], order: list[str], sums: dict[str, str]) -> DataFrame:
-    """Add inclusive running sums ``{output: input}`` per group along ``order``.
+    """Add inclusive running sums ``{output: input}`` per group along ``order``, and each group's
+    total as ``{output}_total``.
 
     Give it pre-aggregated rows, one per (group, order) value: then no value is hot.
     """
     stored = materialize(df.repartitionByRange(*groups, *order).withColumn("_ord_range", F.spark_partition_id()),
                          "running")
     inside = W.partitionBy("_ord_range", *groups).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    # windows over one row per (group, range)
     before = W.partitionBy(*groups).orderBy("_ord_range").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*groups)
     tops = stored.groupBy(*groups, "_ord_range").agg(*[F.sum(c).alias(f"_ord_t_{o}") for o, c in sums.items()])
     starts = tops.select(*groups, "_ord_range", *[
-        F.coalesce(F.sum(f"_ord_t_{o}").over(before), F.lit(0)).alias(f"_ord_s_{o}") for o in sums])
+        F.coalesce(F.sum(f"_ord_t_{o}").over(before), F.lit(0)).alias(f"_ord_s_{o}") for o in sums],
+        *[F.sum(f"_ord_t_{o}").over(whole).alias(f"{o}_total") for o in sums])
     out = (stored.select("*", *[F.sum(c).over(inside).alias(f"_ord_i_{o}") for o, c in sums.items()])
            .join(starts, [*groups, "_ord_range"]))
     for o in sums:
@@ -85,12 +89,10 @@ def exact_quantiles(long: DataFrame, groups: list[str], value: str, probs: dict[
     """
     counts = (long.where(F.col(value).isNotNull()).groupBy(*groups, value)
               .agg(F.count(F.lit(1)).alias("_n")))
-    run = running_sums(counts, groups, [value], {"_cum": "_n"})
-    totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_ord_total"))
-    ranked = run.join(totals, groups)
+    ranked = running_sums(counts, groups, [value], {"_cum": "_n"})
     aggregates, outputs = [], []
     for name, p in probs.items():
-        at = F.lit(float(p)) * (F.col("_ord_total") - 1)
+        at = F.lit(float(p)) * (F.col("_cum_total") - 1)
         aggregates += [F.min(F.when(F.col("_cum") > F.floor(at), F.col(value))).alias(f"_lo_{name}"),
                        F.min(F.when(F.col("_cum") > F.ceil(at), F.col(value))).alias(f"_hi_{name}"),
                        F.max(at - F.floor(at)).alias(f"_f_{name}")]

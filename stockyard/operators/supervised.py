@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Callable
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
@@ -103,19 +106,22 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
 
 
 def cross_validate(df: DataFrame, features: list[str], target: str, order: list[str],
-                   estimators: dict[str, Estimator], folds: int = 5) -> DataFrame:
-    """Unshuffled k-fold errors per model (cv_rmse_mean, cv_rmse_std)."""
+                   estimators: dict[str, Estimator], folds: int = 5, parallelism: int = 4) -> DataFrame:
+    """Unshuffled k-fold errors per model (cv_rmse_mean, cv_rmse_std); several fits run at a time."""
     columns = [c for c in dict.fromkeys([*order, *features, target])]
     data = assign_folds(fill_zero(df.select(*columns), features), order, folds).persist()
-    errors = None
-    for name, estimator in estimators.items():
-        for f in range(folds):
-            model = Pipeline(stages=[*_vectors(features), estimator.copy({estimator.labelCol: target})]).fit(
-                data.where(F.col("fold") != f))
-            part = model.transform(data.where(F.col("fold") == f)).select(
-                F.lit(name).alias("model"), "fold", F.col(target).cast("double").alias("y_true"),
-                F.col("prediction").alias("y_hat"))
-            errors = part if errors is None else errors.unionByName(part)
+
+    def fit(job: tuple[str, int]) -> DataFrame:
+        name, f = job
+        stage = estimators[name].copy({estimators[name].labelCol: target})
+        model = Pipeline(stages=[*_vectors(features), stage]).fit(data.where(F.col("fold") != f))
+        return model.transform(data.where(F.col("fold") == f)).select(
+            F.lit(name).alias("model"), "fold", F.col(target).cast("double").alias("y_true"),
+            F.col("prediction").alias("y_hat"))
+
+    jobs = [(name, f) for name in estimators for f in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        errors = reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs))
     rows = fold_errors(errors, by=["model"]).collect()  # models x folds rows
     data.unpersist()
     return cv_summary(df.sparkSession.createDataFrame(rows), by=["model"])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockyard.operators.commerce import with_totals
+
 
 def model_comparison(wide: DataFrame, metrics: list[str], by: str = "model") -> DataFrame:
     return wide.select(by, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
@@ -38,8 +40,8 @@ class RunLog:
 
 def chart_rmse(metrics: DataFrame) -> DataFrame:
     """rmse per model with a flag on the best one (first listed wins a tie)."""
-    best = metrics.agg(F.min_by("model", F.struct("rmse", "ord"))).scalar()
-    return metrics.select("model", "rmse", (F.col("model") == best).alias("is_best"))
+    marked = with_totals(metrics.select("model", "rmse", "ord"), best=F.min_by("model", F.struct("rmse", "ord")))
+    return marked.select("model", "rmse", (F.col("model") == F.col("best")).alias("is_best"))
 
 
 def chart_revenue(summary: DataFrame) -> DataFrame:

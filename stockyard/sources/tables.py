@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +63,7 @@ def read_recursive(spark: SparkSession, path: str) -> DataFrame:
     """
     try:
         return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
-    except Exception as error:
+    except AnalysisException as error:
         raise FileNotFoundError(f"no parquet files in {path}") from error
 
 

@@ -32,6 +32,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:16]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a file scan at least one partition per core.
+
+    For work that is heavy per row (training, Python tasks).  Large inputs already have more
+    partitions than cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives executor loss."""
     path = fresh_dir(df.sparkSession, label)
