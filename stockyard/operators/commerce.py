@@ -9,15 +9,15 @@ from stockyard.functions import scalars as S
 from stockyard.operators.features import one_row
 
 
-def regional_metrics(df: DataFrame) -> DataFrame:
-    """Region x category: counts, revenue, fraud, defects and mean market index."""
+def regional_metrics(df: DataFrame, *more: Column) -> DataFrame:
+    """Region x category: counts, revenue, fraud, defects and mean market index (and ``more`` aggregates)."""
     return df.groupBy("region", "category").agg(
         F.count("transaction_id").alias("txn_count"),
         S.money_sum("price_usd").alias("total_revenue"),
         S.money_avg("price_usd").alias("avg_price"),
         F.sum("is_fraud").alias("fraud_count"),
         F.sum("is_defect").alias("defect_count"),
-        F.avg("market_index").alias("avg_market_index"))
+        F.avg("market_index").alias("avg_market_index"), *more)
 
 
 def regional_summary(df: DataFrame) -> DataFrame:

@@ -21,120 +21,119 @@ from stockyard.workspace import materialize
 DIGITS = 6             # distances are compared at this many decimals, ties by id
 MAX_TILES = 65_536     # bounding boxes sent to the tasks: at most this many
 VISITS_PER_TASK = 20_000
-_FOUND = "array<struct<dist:double,id:string,vec:array<double>>>"
+_BLOCK = 4_000_000     # distances held at a time inside a task
 
 
-def curve_position(vec: Column, low: list[float], high: list[float]) -> Column:
+def curve_position(axes: list[Column], low: list[float], high: list[float]) -> Column:
     """Bit-interleaved cell number; all axes share one cell width, so cells are cubes."""
-    widest = max((h - l for l, h in zip(low, high)), default=0.0)
-    axes = [i for i, (l, h) in enumerate(zip(low, high)) if widest > 0 and (h - l) * 1024 > widest]
-    axes = sorted(axes, key=lambda i: low[i] - high[i])[:6]
-    if not axes:
+    spreads = [h - l for l, h in zip(low, high)]
+    widest = max(spreads, default=0.0)
+    used = sorted((i for i, s in enumerate(spreads) if s * 1024 > widest), key=lambda i: -spreads[i])[:6]
+    if widest <= 0:
         return F.lit(0).cast("bigint")
-    bits = min(16, 60 // len(axes))
-    cells = [F.least(F.lit(2 ** bits - 1), F.floor((vec[i] - low[i]) / F.lit(widest) * (2 ** bits))) for i in axes]
+    bits = min(16, 60 // len(used))
     code = F.lit(0).cast("bigint")
-    for b in range(bits):
-        for a, cell in enumerate(cells):
+    for a, i in enumerate(used):
+        cell = F.least(F.lit(2 ** bits - 1), F.floor((axes[i] - low[i]) / F.lit(widest) * (2 ** bits)))
+        for b in range(bits):
             bit = F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("bigint"))
-            code = code.bitwiseOR(F.shiftleft(bit, b * len(axes) + a))
+            code = code.bitwiseOR(F.shiftleft(bit, b * len(used) + a))
     return code
 
 
-def _nearest(queries: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int):
-    """Per query the k nearest points as (distances, positions), ties by id; ids ascend."""
-    step = max(1, 4_000_000 // max(1, points.size))
+def nearest(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, point, distance) of the k nearest points per query; equal distances go to the lower position."""
+    parts = []
+    step = max(1, _BLOCK // max(1, len(points)))
     for start in range(0, len(queries), step):
         block = queries[start:start + step]
         gap = np.zeros((len(block), len(points)))
         for d in range(points.shape[1]):
             gap += (block[:, d, None] - points[None, :, d]) ** 2
         gap = np.round(np.sqrt(gap), DIGITS)
-        for row in gap:
-            if len(row) > k:
-                edge = np.partition(row, k - 1)[k - 1]
-                near = np.flatnonzero(row <= edge)
-            else:
-                near = np.arange(len(row))
-            near = near[np.argsort(row[near], kind="stable")][:k]
-            yield row[near], near
-
-
-def _answers(found, ids, points):
-    return [{"dist": float(d), "id": ids[j], "vec": points[j].tolist()} for d, j in zip(*found)]
+        edge = np.partition(gap, k - 1, axis=1)[:, k - 1] if len(points) > k else np.full(len(block), np.inf)
+        q, p = np.nonzero(gap <= edge[:, None])
+        dist = gap[q, p]
+        order = np.lexsort((p, dist, q))
+        q, p, dist = q[order], p[order], dist[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        keep = rank < k
+        parts.append((q[keep] + start, p[keep], dist[keep]))
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
-    """(id, neighbors) with the k nearest points of every point, itself included."""
-    spark = points.sparkSession
+    """(id, dist, other) with the k nearest points of every point, itself included."""
     dims = len(points.select("vec").head()["vec"])
-    bounds = points.agg(*[f(F.col("vec")[i]) for i in range(dims) for f in (F.min, F.max)]).head()
-    low, high = list(bounds)[0::2], list(bounds)[1::2]
-    ordered = number_rows(points.withColumn("_z", curve_position(F.col("vec"), low, high)), ["_z", "vec", "id"], "_no")
-    n = points.count()
-    rows = max(tile_rows, -(-n // MAX_TILES))
-    tiled = materialize(ordered.select("id", "vec", F.floor(F.col("_no") / rows).cast("int").alias("tile")), "tiles")
-
-    boxes = tiled.groupBy("tile").agg(*[f(F.col("vec")[i]) for i in range(dims) for f in (F.min, F.max)])
+    names = [f"v{i}" for i in range(dims)]
+    flat = points.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(names)])
+    bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
+    rows = max(tile_rows, -(-bounds[0] // MAX_TILES))
+    position = curve_position([F.col(c) for c in names], bounds[1::2], bounds[2::2])
+    ordered = number_rows(flat.withColumn("_z", position), ["_z", *names, "id"], "_no").drop("_z")
+    tiled = ordered.withColumn("tile", F.floor(F.col("_no") / rows).cast("int")).drop("_no")
+
+    boxes = tiled.groupBy("tile").agg(*[f(c) for c in names for f in (F.min, F.max)])
     table = np.array(sorted(tuple(r) for r in boxes.collect()), dtype=float)  # at most MAX_TILES rows
-    shared = spark.sparkContext.broadcast((table[:, 1::2], table[:, 2::2]))
+    shared = points.sparkSession.sparkContext.broadcast((table[:, 1::2], table[:, 2::2]))
 
     def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Neighbours within the tile (tile is null) and the other tiles each point has to visit."""
         pdf = pdf.sort_values("id", ignore_index=True)
         lows, highs = shared.value
-        own = int(pdf["tile"].iloc[0])
-        ids, pts = pdf["id"].to_numpy(), np.stack(pdf["vec"].to_numpy())
-        found, radius = [], np.full(len(pdf), np.inf)
-        for q, hit in enumerate(_nearest(pts, ids, pts, k)):
-            found.append(_answers(hit, ids, pts))
-            if len(hit[0]) == k:
-                radius[q] = hit[0][-1] + 10.0 ** -DIGITS
-        # tiles that touch the box of this tile grown by its largest radius, then point by point
+        own, ids, pts = int(pdf["tile"].iloc[0]), pdf["id"].to_numpy(), pdf[names].to_numpy()
+        q, p, dist = nearest(pts, pts, k)
+        radius = np.full(len(pts), np.inf)
+        full = np.bincount(q, minlength=len(pts)) == k
+        last = np.searchsorted(q, np.arange(len(pts)), side="right") - 1
+        radius[full] = dist[last[full]] + 10.0 ** -DIGITS
+        # tiles that touch this tile's box grown by its largest radius, then point by point
         gap = np.maximum(0, np.maximum(lows - pts.max(axis=0), pts.min(axis=0) - highs))
         close = np.flatnonzero((np.sqrt((gap ** 2).sum(axis=1)) <= radius.max()) & (np.arange(len(lows)) != own))
-        visits = []
-        for p, r in zip(pts, radius):
-            gap = np.maximum(0, np.maximum(lows[close] - p, p - highs[close]))
-            visits.append(close[np.sqrt((gap ** 2).sum(axis=1)) <= r].astype("int32").tolist())
-        return pd.DataFrame({"id": ids, "vec": pdf["vec"], "found": found, "visits": visits})
+        out = [pd.DataFrame({"id": ids[q], "dist": dist, "other": ids[p], "tile": None})]
+        for t in close:
+            gap = np.maximum(0, np.maximum(lows[t] - pts, pts - highs[t]))
+            asks = np.sqrt((gap ** 2).sum(axis=1)) <= radius
+            out.append(pd.DataFrame({"id": ids[asks], "dist": None, "other": None, "tile": t}))
+        found = pd.concat([o.astype({"tile": "Int32", "dist": "Float64"}) for o in out], ignore_index=True)
+        return found
 
     first = materialize(tiled.groupBy("tile").applyInPandas(
-        inside, f"id string, vec array<double>, found {_FOUND}, visits array<int>"), "first")
+        inside, "id string, dist double, other string, tile int"), "first")
 
     # a tile with many visitors is split: visitors by hash, the tile's own rows repeated per part
-    visits = first.select("id", "vec", F.explode("visits").alias("tile"))
+    visits = first.where("tile IS NOT NULL").select("id", "tile")
     parts = visits.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).cast("int").alias("parts"))
-    asking = (visits.join(parts, "tile")
-              .select("tile", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "vec"))
+    asking = (visits.join(flat, "id").join(parts, "tile")
+              .select("tile", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", *names))
     hosts = (tiled.join(parts, "tile")
-             .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "vec"))
+             .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", *names))
 
     def visit(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
-            return pd.DataFrame({"id": [], "found": []})
+            return pd.DataFrame({"id": [], "dist": [], "other": []})
         held = held.sort_values("id", ignore_index=True)
-        ids, pts = held["id"].to_numpy(), np.stack(held["vec"].to_numpy())
-        hits = _nearest(np.stack(asked["vec"].to_numpy()), ids, pts, k)
-        return pd.DataFrame({"id": asked["id"], "found": [_answers(h, ids, pts) for h in hits]})
+        q, p, dist = nearest(asked[names].to_numpy(), held[names].to_numpy(), k)
+        return pd.DataFrame({"id": asked["id"].to_numpy()[q], "dist": dist, "other": held["id"].to_numpy()[p]})
 
     second = (asking.groupBy("tile", "part").cogroup(hosts.groupBy("tile", "part"))
-              .applyInPandas(visit, f"id string, found {_FOUND}"))
-    every = first.select("id", "found").unionByName(second).select("id", F.explode("found").alias("f"))
-    best = W.partitionBy("id").orderBy("f.dist", "f.id")
-    return (every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k)
-            .groupBy("id").agg(F.array_sort(F.collect_list("f")).alias("neighbors")))  # k entries
+              .applyInPandas(visit, "id string, dist double, other string"))
+    every = first.where("tile IS NULL").drop("tile").unionByName(second)
+    best = W.partitionBy("id").orderBy("dist", "other")
+    return every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
 
 
 def k_nearest(points: DataFrame, k: int = 5, tile_rows: int = 1024) -> DataFrame:
     """(id string, vec array<double>) -> (id, vec, neighbors), nearest first, the row itself left out.
 
-    ``neighbors`` is array<struct<dist,id,vec>>; ids must be unique.
+    ``neighbors`` is array<struct<dist,id>>; ids must be unique.
     """
     points = materialize(points.select("id", "vec"), "points")
     copies = W.partitionBy("vec").orderBy("id")
     kept = materialize(points.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1)
                        .select("id", "vec", "_copy"), "kept")
-    found = materialize(_search(kept.select("id", "vec"), k + 1, tile_rows), "found")
+    found = materialize(_search(kept.select("id", "vec"), k + 1, tile_rows).groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("dist", F.col("other").alias("id")))).alias("neighbors")), "found")
     answers = kept.join(found, "id").where("_copy = 1").select("vec", F.col("neighbors").alias("_shared"))
     # rows beyond the first k + 1 copies see the first k copies, which is what copy 1 saw
     out = points.join(found, "id", "left").join(answers, "vec")

@@ -10,6 +10,7 @@ from stockyard.operators.commerce import class_distribution, class_weights
 from stockyard.operators.features import fill_zero
 from stockyard.operators.neighbors import k_nearest
 from stockyard.operators.ordering import number_rows, rank_within
+from stockyard.workspace import materialize
 
 
 def split_random(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -69,13 +70,18 @@ def smote(df: DataFrame, key: str, features: list[str], label: str, ratio: float
     k = min(neighbors, n1 - 1)
     minority = base.where(F.col(label) == 1).select(
         F.col(key).cast("string").alias("id"), F.array(*[F.col(c).cast("double") for c in features]).alias("vec"))
-    numbered = number_rows(k_nearest(minority, k, tile_rows), ["id"], "_no")
+    bases = materialize(k_nearest(minority, k, tile_rows), "neighbours")
     each, extra = divmod(missing, n1)
-    copies = F.lit(each) + F.when(F.col("_no") < extra, 1).otherwise(0)
-    drawn = (numbered.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    copies = F.lit(each)
+    if extra:
+        bases = number_rows(bases, ["id"], "_no")
+        copies = copies + F.when(F.col("_no") < extra, 1).otherwise(0)
+    chosen = bases.select(F.col("id").alias("_picked"), F.col("vec").alias("_other"))
+    drawn = (bases.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
              .withColumn("_pick", (S.hash_int(S.keyed("id", F.col("copy"), "neighbour", seed)) % k + 1).cast("int"))
-             .withColumn("_other", F.element_at("neighbors", F.col("_pick"))["vec"])
-             .withColumn("_u", S.uniform(S.keyed("id", F.col("copy"), "gap", seed))))
+             .withColumn("_picked", F.element_at("neighbors", F.col("_pick"))["id"])
+             .withColumn("_u", S.uniform(S.keyed("id", F.col("copy"), "gap", seed)))
+             .join(chosen, "_picked"))
     synthetic = drawn.select(
         F.concat_ws("#", "id", F.col("copy").cast("string")).alias(key),
         *[(F.col("vec")[i] + F.col("_u") * (F.col("_other")[i] - F.col("vec")[i])).alias(c)

@@ -34,6 +34,12 @@ def _vectors(features: list[str]) -> list:
             RobustScaler(inputCol="_raw", outputCol="features", withCentering=True, withScaling=True)]
 
 
+def _prepared(train: DataFrame, features: list[str]) -> tuple[PipelineModel, DataFrame]:
+    """Vector stages fitted once on the training rows, and those rows with their vectors, cached."""
+    vectors = Pipeline(stages=_vectors(features)).fit(train)
+    return vectors, vectors.transform(train).persist()
+
+
 def regressors(trees: int = 200, depth: int = 6, rate: float = 0.05, seed: int = 42) -> dict[str, Estimator]:
     return {
         "gradient_boosting": GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed),
@@ -90,9 +96,9 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
     data = split_random(data, key, test_size, seed).persist()
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     models, scored = {}, None
+    vectors, train = _prepared(train, features)
     for name, estimator in estimators.items():
-        stage = estimator.copy({estimator.labelCol: target})
-        models[name] = Pipeline(stages=[*_vectors(features), stage]).fit(train)
+        models[name] = PipelineModel([*vectors.stages, estimator.copy({estimator.labelCol: target}).fit(train)])
         part = models[name].transform(test).select(F.lit(name).alias("model"), F.col(target).alias("y_true"),
                                                    F.col("prediction").alias("y_hat"))
         scored = part if scored is None else scored.unionByName(part)
@@ -101,6 +107,7 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
         metrics = metrics.join(cross_validate(df, features, target, order, estimators, folds), "model")
     rows = _with_order(metrics, list(estimators)).collect()  # one row per model
     metrics = df.sparkSession.createDataFrame(rows)
+    train.unpersist()
     data.unpersist()
     return Competition(features, models, metrics, best_model(metrics).head()["best_model"])
 
@@ -111,17 +118,20 @@ def cross_validate(df: DataFrame, features: list[str], target: str, order: list[
     columns = [c for c in dict.fromkeys([*order, *features, target])]
     data = assign_folds(fill_zero(df.select(*columns), features), order, folds).persist()
 
-    def fit(job: tuple[str, int]) -> DataFrame:
-        name, f = job
-        stage = estimators[name].copy({estimators[name].labelCol: target})
-        model = Pipeline(stages=[*_vectors(features), stage]).fit(data.where(F.col("fold") != f))
-        return model.transform(data.where(F.col("fold") == f)).select(
-            F.lit(name).alias("model"), "fold", F.col(target).cast("double").alias("y_true"),
-            F.col("prediction").alias("y_hat"))
+    def fit(f: int) -> DataFrame:
+        vectors, train = _prepared(data.where(F.col("fold") != f), features)
+        test, parts = vectors.transform(data.where(F.col("fold") == f)), []
+        for name, estimator in estimators.items():
+            model = estimator.copy({estimator.labelCol: target}).fit(train)
+            parts.append(model.transform(test).select(
+                F.lit(name).alias("model"), "fold", F.col(target).cast("double").alias("y_true"),
+                F.col("prediction").alias("y_hat")))
+        train.unpersist()
+        return reduce(DataFrame.unionByName, parts)
 
-    jobs = [(name, f) for name in estimators for f in range(folds)]
     with ThreadPool(parallelism) as pool:
-        errors = reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs))
+        errors = reduce(DataFrame.unionByName,
+                        pool.map(inheritable_thread_target(df.sparkSession)(fit), range(folds)))
     rows = fold_errors(errors, by=["model"]).collect()  # models x folds rows
     data.unpersist()
     return cv_summary(df.sparkSession.createDataFrame(rows), by=["model"])
@@ -145,13 +155,13 @@ def train_classifiers(df: DataFrame, key: str, features: list[str], label: str,
     if train_rows is not None:
         train = train_rows(train)
     weights = class_weights(train, label).select(F.col("label").alias(label), F.col("weight").alias("_weight"))
-    train = train.join(weights, label).persist()
+    vectors, train = _prepared(train.join(weights, label), features)
     models, scored = {}, None
     for name, estimator in estimators.items():
         extra = {estimator.labelCol: label}
         if weighted and name in weighted_models:
             extra[estimator.weightCol] = "_weight"
-        models[name] = Pipeline(stages=[*_vectors(features), estimator.copy(extra)]).fit(train)
+        models[name] = PipelineModel([*vectors.stages, estimator.copy(extra).fit(train)])
         part = models[name].transform(test).select(
             F.lit(name).alias("model"), F.col(label).cast("int").alias("label"),
             F.col("prediction").cast("int").alias("pred"), vector_to_array("probability")[1].alias("prob"))

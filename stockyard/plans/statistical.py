@@ -11,7 +11,7 @@ from stockyard.operators import cluster, drift, metrics, neighbors, sampling, tr
 from stockyard.plans import views
 from stockyard.plans.registry import h, query, rounded, u
 from stockyard.schema import MODEL_FEATURES, NUMERIC_COLUMNS
-from stockyard.workspace import fresh_dir
+from stockyard.workspace import fresh_dir, materialize
 
 TX = "transaction_id"
 DRIFT_COLUMNS = ["quantity", "price_usd", "shipping_days", "market_index"]
@@ -113,7 +113,7 @@ def run_log(spark, sf):
 
 
 def _pairs(spark, sf) -> dict[str, tuple[DataFrame, DataFrame]]:
-    tx = views.tx(spark, sf).select(TX, "ts", "is_fraud", *DRIFT_COLUMNS)
+    tx = materialize(views.tx(spark, sf).select(TX, "ts", "is_fraud", *DRIFT_COLUMNS), "drift-input")
     parts = sampling.split_head_tail(tx, ["ts", TX])
     return {"time": (parts.where("part = 'head'"), parts.where("part = 'tail'")),
             "label": (tx.where("is_fraud = 0"), tx.where("is_fraud = 1"))}

@@ -12,15 +12,34 @@ from pyspark.sql import functions as F
 
 from stockyard.functions import scalars as S
 from stockyard.operators.features import market_features
+from stockyard.workspace import spread
+
+
+# Column types of the driver tables; a declared schema saves a job per table.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def tx(spark: SparkSession, sf: str) -> DataFrame:
     t = {n: table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation", "region", "part")}
-    joined = (t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = (spread(t["lineitem"]).join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
               .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
               .join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
               .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
