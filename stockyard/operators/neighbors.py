@@ -24,21 +24,19 @@ VISITS_PER_TASK = 20_000
 _BLOCK = 4_000_000     # distances held at a time inside a task
 
 
-def curve_position(axes: list[Column], low: list[float], high: list[float]) -> Column:
+def curve_position(axes: list[str], low: list[float], high: list[float]) -> Column:
     """Bit-interleaved cell number; all axes share one cell width, so cells are cubes."""
     spreads = [h - l for l, h in zip(low, high)]
     widest = max(spreads, default=0.0)
-    used = sorted((i for i, s in enumerate(spreads) if s * 1024 > widest), key=lambda i: -spreads[i])[:6]
     if widest <= 0:
         return F.lit(0).cast("bigint")
+    used = sorted((i for i, s in enumerate(spreads) if s * 1024 > widest), key=lambda i: -spreads[i])[:6]
     bits = min(16, 60 // len(used))
-    code = F.lit(0).cast("bigint")
+    terms = []
     for a, i in enumerate(used):
-        cell = F.least(F.lit(2 ** bits - 1), F.floor((axes[i] - low[i]) / F.lit(widest) * (2 ** bits)))
-        for b in range(bits):
-            bit = F.shiftright(cell, b).bitwiseAND(F.lit(1).cast("bigint"))
-            code = code.bitwiseOR(F.shiftleft(bit, b * len(used) + a))
-    return code
+        cell = f"least({2 ** bits - 1}L, floor(({axes[i]} - {low[i]!r}D) / {widest!r}D * {2 ** bits}))"
+        terms += [f"shiftleft(shiftright({cell}, {b}) & 1L, {b * len(used) + a})" for b in range(bits)]
+    return F.expr(" | ".join(terms))
 
 
 def nearest(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,7 +67,7 @@ def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
     flat = points.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(names)])
     bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
     rows = max(tile_rows, -(-bounds[0] // MAX_TILES))
-    position = curve_position([F.col(c) for c in names], bounds[1::2], bounds[2::2])
+    position = curve_position(names, bounds[1::2], bounds[2::2])
     ordered = number_rows(flat.withColumn("_z", position), ["_z", *names, "id"], "_no").drop("_z")
     tiled = ordered.withColumn("tile", F.floor(F.col("_no") / rows).cast("int")).drop("_no")
 
