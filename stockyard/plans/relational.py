@@ -8,7 +8,7 @@ from stockyard.functions import scalars as S
 from stockyard.operators import commerce, detections, features, tracking
 from stockyard.operators.feature_store import FeatureStore
 from stockyard.plans import views
-from stockyard.plans.registry import query, rounded, text_ts, u
+from stockyard.plans.registry import query, rounded, rounded_means, text_ts, u
 from stockyard.schema import MODEL_FEATURES, NUMERIC_COLUMNS
 from stockyard.sources import synthetic, tables
 from stockyard.workspace import fresh_dir
@@ -360,9 +360,9 @@ def distinct_regions(spark, sf):
 # ---------------------------------------------------------------- aggregates
 
 
-@query(f"SELECT region, category, {METRICS_SQL}, round(avg(market_index), 9) AS avg_market_index FROM tx GROUP BY region, category")
+@query(f"SELECT region, category, {METRICS_SQL}, round(avg(market_index) + 1e-11::double, 9) AS avg_market_index FROM tx GROUP BY region, category")
 def regional_metrics(spark, sf):
-    return rounded(commerce.regional_metrics(views.tx(spark, sf)), avg_market_index=9)
+    return rounded_means(commerce.regional_metrics(views.tx(spark, sf)), avg_market_index=9)
 
 
 @query(f"SELECT region, {METRICS_SQL} FROM tx GROUP BY region")
