@@ -154,8 +154,11 @@ def train_classifiers(df: DataFrame, key: str, features: list[str], label: str,
     train, test = data.where("split = 'train'").drop("split"), data.where("split = 'test'").drop("split")
     if train_rows is not None:
         train = train_rows(train)
-    weights = class_weights(train, label).select(F.col("label").alias(label), F.col("weight").alias("_weight"))
-    vectors, train = _prepared(train.join(weights, label), features)
+    # a map with one entry per class: joining on the label would send most rows to one task
+    weights = class_weights(train, label).agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "weight"))).alias("w")).scalar()
+    train = train.withColumn("_weight", F.element_at(weights, F.col(label)))
+    vectors, train = _prepared(train, features)
     models, scored = {}, None
     for name, estimator in estimators.items():
         extra = {estimator.labelCol: label}

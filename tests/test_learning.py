@@ -69,3 +69,17 @@ def test_errors_for_missing_models(tmp_path):
 def test_draws_are_seeded_and_inside_the_space():
     a, b = (M.draw_params(M.SEARCH_SPACE, 20, 7) for _ in range(2))
     assert a == b and all(50 <= p["trees"] <= 300 and 0.01 <= p["rate"] <= 0.3 for p in a)
+
+
+def test_whole_run_and_recorded_failure(spark, sf):
+    report = run(spark, sf, "pipeline_report").collect()
+    value = {(r["stage"], r["key"]): r["value"] for r in report}
+    assert value["RUN", "status"] == "success", value["RUN", "error"]
+    assert value["DATA INGESTION", "transactions"] == "6000" and value["FEATURE ENGINEERING", "enriched features"] == "34"
+    assert "Features drifted" in value["MLOPS", "drift report"]
+
+    from stockyard.plans.pipeline import Inputs, Run
+    from stockyard.workspace import fresh_dir
+    empty = spark.range(1)
+    failed = Run(spark, Inputs(empty, empty, empty, empty, empty), fresh_dir(spark, "run")).run_all().collect()
+    assert {(r["key"], r["value"]) for r in failed if r["key"] == "status"} == {("status", "failed in ingest")}
