@@ -142,7 +142,7 @@ class Run:
 
 
 @query()
-def pipeline_report(spark, sf):
+def stage_report(spark, sf):
     """Report of a whole run with small ensembles."""
     inputs = Inputs(views.tx(spark, sf), views.warehouses(spark, sf), views.img(spark, sf), views.det(spark, sf),
                     views.frames(spark, sf))

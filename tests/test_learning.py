@@ -72,13 +72,13 @@ def test_draws_are_seeded_and_inside_the_space():
 
 
 def test_whole_run_and_recorded_failure(spark, sf):
-    report = run(spark, sf, "pipeline_report").collect()
+    report = run(spark, sf, "stage_report").collect()
     value = {(r["stage"], r["key"]): r["value"] for r in report}
     assert value["RUN", "status"] == "success", value["RUN", "error"]
     assert value["DATA INGESTION", "transactions"] == "6000" and value["FEATURE ENGINEERING", "enriched features"] == "34"
     assert "Features drifted" in value["MLOPS", "drift report"]
 
-    from stockyard.plans.pipeline import Inputs, Run
+    from stockyard.plans.stages import Inputs, Run
     from stockyard.workspace import fresh_dir
     empty = spark.range(1)
     failed = Run(spark, Inputs(empty, empty, empty, empty, empty), fresh_dir(spark, "run")).run_all().collect()
