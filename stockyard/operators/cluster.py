@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stockyard.functions.scalars import distance
 from stockyard.operators.features import enrich_numeric, fill_zero
 from stockyard.schema import NUMERIC_COLUMNS
+from stockyard.workspace import materialize
 
 
 def centroid_array(centroids: DataFrame) -> Column:
@@ -36,10 +37,14 @@ def update_centroids(assigned: DataFrame, previous: DataFrame, dims: int) -> Dat
 
 
 def lloyd_steps(points: DataFrame, seeds: DataFrame, dims: int, steps: int) -> DataFrame:
-    """Centroids after a fixed number of Lloyd steps."""
-    centroids = seeds
+    """Centroids after a fixed number of Lloyd steps.
+
+    The k centroids are written after every step, so each step reads the points once.
+    """
+    centroids = materialize(seeds, "centroids")
     for _ in range(steps):
-        centroids = update_centroids(assign_nearest(points, centroids), centroids, dims)
+        moved = update_centroids(assign_nearest(points, centroids), centroids, dims)
+        centroids = materialize(moved, "centroids")
     return centroids
 
 

@@ -55,21 +55,28 @@ def prediction_drift(reference: DataFrame, current: DataFrame, column: str, thre
         (F.col("ks_statistic") > threshold).alias("drift_detected"), "reference_mean", "current_mean")
 
 
+# Texts of the report.
+TITLE = "=== Model Drift Report ==="
+COUNT_LINE = "Features drifted: %d/%d"
+FEATURE_LINE = "  [%s] %s: KS=%.4f, shift=%.4f"
+PREDICTION_LINE = "Predictions [%s]: KS=%.4f"
+
+
 def drift_report(features: DataFrame, order: list[str], predictions: DataFrame | None = None) -> DataFrame:
     """Text report as rows (line_no, line); one line per feature, in the given order."""
     spark = features.sparkSession
-    head = features.agg(F.format_string("Features drifted: %d/%d", F.count_if("drifted"), F.count(F.lit(1))).alias("line"))
+    head = features.agg(F.format_string(COUNT_LINE, F.count_if("drifted"), F.count(F.lit(1))).alias("line"))
     rank = F.array_position(F.array(*[F.lit(c) for c in order]), F.col("feature"))
     body = features.select(
         (rank + 1).cast("int").alias("line_no"),
-        F.format_string("  [%s] %s: KS=%.4f, shift=%.4f", F.when(F.col("drifted"), "DRIFT").otherwise("OK"),
+        F.format_string(FEATURE_LINE, F.when(F.col("drifted"), "DRIFT").otherwise("OK"),
                         "feature", "ks_statistic", "mean_shift").alias("line"))
-    title = spark.range(1).select(F.lit(0).alias("line_no"), F.lit("=== Model Drift Report ===").alias("line"))
+    title = spark.range(1).select(F.lit(0).alias("line_no"), F.lit(TITLE).alias("line"))
     lines = title.unionByName(head.withColumn("line_no", F.lit(1))).unionByName(body)
     if predictions is not None:
         tail = predictions.select(
             F.lit(len(order) + 2).alias("line_no"),
-            F.format_string("Predictions [%s]: KS=%.4f", F.when(F.col("drift_detected"), "DRIFT").otherwise("OK"),
+            F.format_string(PREDICTION_LINE, F.when(F.col("drift_detected"), "DRIFT").otherwise("OK"),
                             "ks_statistic").alias("line"))
         lines = lines.unionByName(tail)
     return lines

@@ -34,13 +34,17 @@ def _vectors(features: list[str]) -> list:
             RobustScaler(inputCol="_raw", outputCol="features", withCentering=True, withScaling=True)]
 
 
+# Default size of the competing models (trees, depth, learning rate).
+TREES, DEPTH, RATE = 200, 6, 0.05
+
+
 def _prepared(train: DataFrame, features: list[str]) -> tuple[PipelineModel, DataFrame]:
     """Vector stages fitted once on the training rows, and those rows with their vectors, cached."""
     vectors = Pipeline(stages=_vectors(features)).fit(train)
     return vectors, vectors.transform(train).persist()
 
 
-def regressors(trees: int = 200, depth: int = 6, rate: float = 0.05, seed: int = 42) -> dict[str, Estimator]:
+def regressors(trees: int = TREES, depth: int = DEPTH, rate: float = RATE, seed: int = 42) -> dict[str, Estimator]:
     return {
         "gradient_boosting": GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed),
         "random_forest": RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed),
@@ -48,7 +52,7 @@ def regressors(trees: int = 200, depth: int = 6, rate: float = 0.05, seed: int =
     }
 
 
-def classifiers(trees: int = 200, depth: int = 6, rate: float = 0.05, seed: int = 42) -> dict[str, Estimator]:
+def classifiers(trees: int = TREES, depth: int = DEPTH, rate: float = RATE, seed: int = 42) -> dict[str, Estimator]:
     return {
         "gradient_boosting": GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed),
         "random_forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# The transaction contract.
 TRANSACTION = T.StructType([
     T.StructField("transaction_id", T.StringType(), False),
     T.StructField("timestamp", T.StringType(), False),
@@ -18,6 +19,7 @@ TRANSACTION = T.StructType([
     T.StructField("market_index", T.DoubleType(), False),
 ])
 
+# The annotation document.
 ANNOTATION = T.StructType([
     T.StructField("boxes", T.ArrayType(T.StructType([
         T.StructField("label", T.StringType()),
