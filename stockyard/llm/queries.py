@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stockyard.llm import licenses, tokens
+from stockyard.llm import licenses, packing, tokens
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op3_tokens": tokens.op3_tokens,
+    "op4_packing": packing.op4_packing,
 }
 ORACLES: dict[str, str] = {}
