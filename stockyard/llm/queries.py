@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from stockyard.llm import licenses, packing, tokens
+from stockyard.llm import licenses, packing, tokens, topk
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op3_tokens": tokens.op3_tokens,
     "op4_packing": packing.op4_packing,
+    "op9_topk": topk.op9_topk,
+}
+ORACLES = {
+    "op9_topk": topk.ORACLE,
 }
-ORACLES: dict[str, str] = {}
