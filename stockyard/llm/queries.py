@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from stockyard.llm import licenses, packing, tokens, topk
+from stockyard.llm import licenses, packing, tokens, topk, toxicity
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op3_tokens": tokens.op3_tokens,
     "op4_packing": packing.op4_packing,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op9_topk": topk.op9_topk,
 }
 ORACLES = {
