@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stockyard.llm import licenses, packing, tokens, topk, toxicity
+from stockyard.llm import licenses, packing, quality, tokens, topk, toxicity
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
+    "op2_quality": quality.op2_quality,
     "op3_tokens": tokens.op3_tokens,
     "op4_packing": packing.op4_packing,
     "op6_toxicity": toxicity.op6_toxicity,
