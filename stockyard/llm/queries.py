@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockyard.llm import licenses, packing, quality, tokens, topk, toxicity
+from stockyard.llm import chat, licenses, packing, quality, tokens, topk, toxicity
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -10,8 +10,10 @@ QUERIES = {
     "op3_tokens": tokens.op3_tokens,
     "op4_packing": packing.op4_packing,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op8_chat": chat.op8_chat,
     "op9_topk": topk.op9_topk,
 }
 ORACLES = {
+    "op8_chat": chat.ORACLE,
     "op9_topk": topk.ORACLE,
 }
