@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockyard.llm import chat, licenses, packing, quality, tokens, topk, toxicity
+from stockyard.llm import chat, licenses, neardup, packing, quality, tokens, topk, toxicity
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_chat": chat.op8_chat,
     "op9_topk": topk.op9_topk,
+    "op10_neardup": neardup.op10_neardup,
 }
 ORACLES = {
     "op8_chat": chat.ORACLE,
