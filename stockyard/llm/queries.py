@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockyard.llm import chat, licenses, neardup, packing, quality, tokens, topk, toxicity
+from stockyard.llm import chat, licenses, neardup, packing, quality, substring, tokens, topk, toxicity
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_tokens": tokens.op3_tokens,
     "op4_packing": packing.op4_packing,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_substring": substring.op7_substring,
     "op8_chat": chat.op8_chat,
     "op9_topk": topk.op9_topk,
     "op10_neardup": neardup.op10_neardup,
