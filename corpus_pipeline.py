@@ -1,20 +1,79 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences in five stages.
+
+Each stage takes the documents its predecessor kept and decides over all of them: toxic documents
+go, documents that lose too much to line rules go and the others stay cleaned, of near-duplicates
+the smallest id stays, passages that an earlier document has are cut, and the rest is packed.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stockyard.llm import neardup, packing, quality, substring, toxicity
+from stockyard.llm.texts import DOCUMENTS
+from stockyard.workspace import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+#: Toxicity from which a document goes, similarity in percent of near-duplicates, words of a repeated passage.
+TOXIC, SIMILAR, PASSAGE = 0.3, 80, 50
+#: Tokens of a sequence and the id that ends a document.
+SEQUENCE, END = 2048, 1
+
+
+def _rewritten(docs: DataFrame, text: str) -> DataFrame:
+    """The columns of documents with a new text; the length column follows it."""
+    changed = {"text": F.col(text), "n_chars": F.length(text).cast("long")}
+    return docs.select(*[changed.get(c, F.col(c)).alias(c) for c in DOCUMENTS])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below TOXIC; the models learn from the labels of the documents at hand."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, carry=DOCUMENTS).where(F.col("score") < TOXIC).select(*DOCUMENTS)
+
+
+def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules keep, without the lines that broke one."""
+    return _rewritten(quality.clean(docs, carry=DOCUMENTS).where("kept"), "clean_text")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near-duplicates the document with the smallest id."""
+    found = neardup.near_duplicates(docs, neardup.Plan(percent=SIMILAR))
+    return docs.select(*DOCUMENTS).join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*DOCUMENTS)
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that a document with a smaller id has."""
+    return _rewritten(substring.remove_repeats(docs, PASSAGE, carry=DOCUMENTS), "kept_text")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full sequences that mix the sources as the documents do."""
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), END, SEQUENCE)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("quality rules", clean_lines),
+    ("near-dedup", drop_near_duplicates),
+    ("substring dedup", cut_passages),
+    ("packing", pack_sequences),
+]
 #: The stages learn models, build signatures and cut tokens: beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
+    """All stages over the documents table; what a stage returns is written once, for the next one reads it several times."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for i, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES):
+            docs = materialize(docs, f"stage-{i}")
     return docs
