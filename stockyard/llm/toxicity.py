@@ -112,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
              .groupBy("id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")))
     rows = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
             .where(F.col("id").isNotNull() & (_side("id") != 2)))
-    known = known.where(_side("id") != 2)
+    # labels grow with the corpus: merged at every size, never sent to all tasks
+    known = known.where(_side("id") != 2).hint("merge")
     model = _model(_contexts(rows.where(_side("id") < 2).join(known.where(_side("id") < 2), "id")))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     rest = rows.where(_side("id") == 3).join(known.where(_side("id") == 3), "id")
