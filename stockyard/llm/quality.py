@@ -104,7 +104,8 @@ def clean(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",
     })
     failed = (n < MIN_WORDS) | (100 * F.col("_repeat") > 50 * n)
     lost = F.coalesce(F.try_divide(F.col("_chars") - _without(F.col("_clean"), blank), F.col("_chars")), F.lit(0.0))
-    df = df.withColumns({"_failed": failed, "_lost": lost})
+    # the row number keeps a filter on the verdict from being pushed below, where it would repeat the work inside the lambdas
+    df = df.withColumns({"_failed": failed, "_lost": lost, "_row": F.monotonically_increasing_id()})
     return df.select(
         *[F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)], n.cast("long").alias("n_words"),
         F.col("_chars").alias("word_chars"),
@@ -112,7 +113,7 @@ def clean(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",
         (F.size("_filled") - F.size(F.array_distinct("_filled"))).cast("long").alias("n_dup_lines"),
         F.col("_repeat").alias("n_repeat_words"), F.col("_failed").alias("base_failed"), F.col("_clean").alias("clean_text"),
         F.col("_removed").alias("removed"), F.col("_lost").alias("lost"),
-        (~F.col("_failed") & (F.col("_lost") <= MAX_LOSS)).alias("kept"))
+        (~F.col("_failed") & (F.col("_lost") <= MAX_LOSS) & (F.col("_row") >= 0)).alias("kept"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
