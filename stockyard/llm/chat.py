@@ -38,7 +38,7 @@ def fold(events: DataFrame) -> DataFrame:
     Kinds: ``message`` and ``edit`` set the text, ``regenerate`` empties it and takes its own text as a start, ``delta`` (and any
     other or null kind) appends, ``delete`` removes the message for good.  Of a message's events only those from the last
     setting one on count, in the order of ``seq``.  An edit or a regeneration also abandons the messages that
-    began after its message and before itself.  Messages stand in the order of their first event, ``at``.
+    began after its message and before itself, even if its message is deleted.  Messages stand in the order of their first event, ``at``.
 
     Null texts and roles count as empty, the first role that is given holds; equal ``seq`` within a message are ordered by
     setting events first, then kind, then text; null ``seq`` come first; null ``conv`` and null ``message`` are values like any
@@ -56,14 +56,15 @@ def fold(events: DataFrame) -> DataFrame:
         "_branch": F.max(F.when(F.col("kind").isin(*BRANCHES), F.col("_place")["seq"])).over(own),
         "_deleted": F.max((F.col("kind") == "delete").cast("int")).over(own),
         "_role": F.min(F.when(F.col("role").isNotNull(), F.struct("_place", "role"))).over(own)["role"]})
-    live = e.where((F.col("_deleted") == 0) & (F.col("_from").isNull() | (F.col("_place") >= F.col("_from"))))
+    live = e.where(F.col("_from").isNull() | (F.col("_place") >= F.col("_from")))
     messages = live.groupBy("conv", "message").agg(
-        F.min("_at").alias("at"), F.max("_branch").alias("_branch"), F.coalesce(F.max("_role"), F.lit("")).alias("role"),
+        F.min("_at").alias("at"), F.max("_branch").alias("_branch"), F.max("_deleted").alias("_deleted"), F.coalesce(F.max("_role"), F.lit("")).alias("role"),
         F.sort_array(F.collect_list("_place")).alias("_parts"))
     messages = messages.withColumn("text", F.array_join(F.col("_parts.text"), ""))
     before = W.partitionBy("conv").orderBy("at", "message").rowsBetween(W.unboundedPreceding, -1)
     messages = messages.withColumn("_cut", F.max("_branch").over(before))
-    return messages.where(F.col("_cut").isNull() | (F.col("_cut") <= F.col("at"))).select("conv", "at", "message", "role", "text")
+    kept = (F.col("_deleted") == 0) & (F.col("_cut").isNull() | (F.col("_cut") <= F.col("at")))
+    return messages.where(kept).select("conv", "at", "message", "role", "text")
 
 
 def render(messages: DataFrame, trained: str = "assistant") -> DataFrame:
