@@ -35,13 +35,13 @@ def cents(c: Column | str) -> Column:
     return F.round(col(c) * 100).cast("bigint")
 
 
-def money_sum(c: Column | str) -> Column:
-    """Sum of two-decimal amounts, added as whole cents so the order cannot matter."""
-    return F.sum(cents(c)) / F.lit(100.0)
+def exact_sum(c: Column | str, places: int = 6) -> Column:
+    """Sum in decimals of so many places: no order of adding matters, and nothing of a cent is lost."""
+    return F.sum(col(c).cast(f"decimal(38,{places})")).cast("double")
 
 
-def money_avg(c: Column | str) -> Column:
-    return money_sum(c) / F.count(col(c))
+def exact_avg(c: Column | str, places: int = 6) -> Column:
+    return exact_sum(c, places) / F.count(col(c))
 
 
 def price_per_unit(price: Column | str = "price_usd", quantity: Column | str = "quantity") -> Column:
@@ -60,8 +60,8 @@ def signed_log(c: Column | str) -> Column:
 def heuristic_price(quantity: Column | str = "quantity", unit_cost: Column | str = "unit_cost",
                     market_index: Column | str = "market_index") -> Column:
     """quantity x unit cost x market index to two decimals, in decimal arithmetic."""
-    product = (col(quantity).cast("decimal(10,2)") * col(unit_cost).cast("decimal(14,4)")
-               * col(market_index).cast("decimal(10,6)"))
+    product = (col(quantity).cast("decimal(12,2)") * col(unit_cost).cast("decimal(14,6)")
+               * col(market_index).cast("decimal(12,8)"))
     return F.round(product, 2).cast("double")
 
 

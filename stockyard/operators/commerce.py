@@ -9,24 +9,19 @@ from stockyard.functions import scalars as S
 from stockyard.operators.features import one_row
 
 
+def _totals() -> list[Column]:
+    return [S.exact_sum("price_usd").alias("total_revenue"), S.exact_avg("price_usd").alias("avg_price"),
+            *[F.sum(f"is_{k}").alias(f"{k}_count") for k in ("fraud", "defect")]]
+
+
 def regional_metrics(df: DataFrame, *more: Column) -> DataFrame:
     """Region x category: counts, revenue, fraud, defects and mean market index (and ``more`` aggregates)."""
     return df.groupBy("region", "category").agg(
-        F.count("transaction_id").alias("txn_count"),
-        S.money_sum("price_usd").alias("total_revenue"),
-        S.money_avg("price_usd").alias("avg_price"),
-        F.sum("is_fraud").alias("fraud_count"),
-        F.sum("is_defect").alias("defect_count"),
-        F.avg("market_index").alias("avg_market_index"), *more)
+        F.count("transaction_id").alias("txn_count"), *_totals(), S.exact_avg("market_index", 12).alias("avg_market_index"), *more)
 
 
 def regional_summary(df: DataFrame) -> DataFrame:
-    return df.groupBy("region").agg(
-        F.count(F.lit(1)).alias("txn_count"),
-        S.money_sum("price_usd").alias("total_revenue"),
-        S.money_avg("price_usd").alias("avg_price"),
-        F.sum("is_fraud").alias("fraud_count"),
-        F.sum("is_defect").alias("defect_count"))
+    return df.groupBy("region").agg(F.count(F.lit(1)).alias("txn_count"), *_totals())
 
 
 def price_anomalies(df: DataFrame, threshold: float = 3.0, column: str = "price_usd",
@@ -66,10 +61,9 @@ def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
 
 
 def with_totals(summary: DataFrame, **totals: Column) -> DataFrame:
-    """Attach totals to every row of a short summary (one row per class) without computing it twice."""
-    packed = summary.agg(F.collect_list(F.struct(*summary.columns)).alias("_rows"),
-                         *[e.alias(n) for n, e in totals.items()])
-    return packed.select(F.explode("_rows").alias("_row"), *totals).select("_row.*", *totals)
+    """Attach totals to every row of a summary of any length, as scalar subqueries."""
+    sums = summary.agg(F.struct(*[e.alias(n) for n, e in totals.items()]).alias("t"))
+    return summary.withColumn("_totals", sums.scalar()).select("*", *[F.col(f"_totals.{n}").alias(n) for n in totals]).drop("_totals")
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:

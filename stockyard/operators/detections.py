@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from stockyard.functions import scalars as S
 from stockyard.functions import vision as V
 from stockyard.operators.commerce import with_totals
-from stockyard.operators.ordering import exact_quantiles, number_rows, rank_within
+from stockyard.operators.ordering import exact_quantiles, join_groups, number_rows, rank_within
 
 
 def classify_boxes(boxes: DataFrame, min_area: int = 800) -> DataFrame:
@@ -18,7 +18,8 @@ def classify_boxes(boxes: DataFrame, min_area: int = 800) -> DataFrame:
     The class id is the position of the contour in its frame modulo 5, counted before small
     contours are dropped.
     """
-    placed = rank_within(boxes, ["frame"], ["det_id"], "_i")
+    # a frame is a bounded group
+    placed = boxes.withColumn("_i", F.row_number().over(W.partitionBy("frame").orderBy("det_id")) - 1)
     return placed.where(F.col("area") >= min_area).select(
         "frame", "det_id", (F.col("_i") % 5).cast("int").alias("class_id"), V.box_class().alias("class_name"),
         V.box_confidence().alias("confidence"), V.xyxy().alias("bbox"), "area")
@@ -37,8 +38,8 @@ def confident(detections: DataFrame, threshold: float = 0.5) -> DataFrame:
 def inventory_snapshot(boxes: DataFrame, min_area: int = 500) -> DataFrame:
     """Objects above the area with the number of objects in their frame, one row per object."""
     large = boxes.where(F.col("area") > min_area)
-    counts = large.groupBy("frame").agg(F.count(F.lit(1)).alias("object_count"))
-    return large.join(counts, "frame").select("frame", "det_id", V.xyxy().alias("bbox"), "area", "object_count")
+    counted = large.withColumn("object_count", F.count(F.lit(1)).over(W.partitionBy("frame")))
+    return counted.select("frame", "det_id", V.xyxy().alias("bbox"), "area", "object_count")
 
 
 def track_counts(detections: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def tail_sample(df: DataFrame, group: str, key: str, value: str, p: float = 0.95
     """n rows per group drawn in hash order among the values above the exact p-quantile."""
     cuts = exact_quantiles(df.select(group, F.col(value).cast("double").alias("_v")), [group], "_v", {"cut": p})
     order = W.partitionBy(group).orderBy("_h", key)
-    return (df.join(cuts, group).where(F.col(value) > F.col("cut"))
+    return (join_groups(df, cuts, [group]).where(F.col(value) > F.col("cut"))
             .withColumn("_h", S.hash_int(S.keyed(key, seed)))
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("_h"))
 

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockyard.functions import scalars as S
-from stockyard.operators.ordering import exact_quantiles, number_rows, to_long
+from stockyard.operators.ordering import exact_quantiles, rank_within, to_long
 from stockyard.schema import NUMERIC_COLUMNS
-
-INLINE_CATEGORIES = 256
+from stockyard.workspace import materialize
 
 
 def project_available(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -22,28 +21,18 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0, subset=[c for c in columns if c in df.columns])
 
 
-def encode_categories(df: DataFrame, columns: dict[str, str], inline_limit: int = INLINE_CATEGORIES) -> DataFrame:
+def encode_categories(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add 0-based codes ``{column: code column}`` in sorted order of the values; null gives -1.
 
-    Domains are found with one distributed distinct.  Small ones (checked by the limit) become
-    literals in the plan; larger ones are numbered as a table and joined.
+    The distinct values of all columns are numbered together as one table, whatever their number, and joined.
     """
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns])).alias("p")).select("p.*")
-    domain = pairs.where("v IS NOT NULL").distinct()
-    sample = domain.limit(inline_limit * len(columns) + 1).collect()
-    found = {c: sorted((r["v"] for r in sample if r["c"] == c), key=lambda s: s.encode()) for c in columns}
-    complete = len(sample) <= inline_limit * len(columns)
+        F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in columns])).alias("p")).select("p.*")
+    codes = materialize(rank_within(pairs.where("_v IS NOT NULL").distinct(), ["_c"], ["_v"], "_code"), "codes")
     for column, code in columns.items():
-        if complete and len(found[column]) <= inline_limit:
-            values = F.array(*[F.lit(v) for v in found[column]]).cast("array<string>")
-            position = F.array_position(values, F.col(column).cast("string"))
-            df = df.withColumn(code, F.coalesce(position - 1, F.lit(-1)).cast("int"))
-        else:
-            values = domain.where(F.col("c") == column).select(F.col("v").alias("_v"))
-            numbered = number_rows(values, ["_v"], "_code")
-            df = (df.join(numbered, F.col(column).cast("string") == F.col("_v"), "left")
-                  .withColumn(code, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_v", "_code"))
+        own = codes.where(F.col("_c") == column).select("_v", "_code")
+        df = (df.join(own, F.col(column).cast("string") == F.col("_v"), "left")
+              .withColumn(code, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_v", "_code"))
     return df
 
 

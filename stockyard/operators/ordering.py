@@ -8,6 +8,8 @@ ranges has one row per shuffle partition, whatever the size of the data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -15,6 +17,16 @@ from pyspark.sql import Window as W
 from stockyard.workspace import materialize
 
 _POSITION_MASK = (1 << 33) - 1
+# rows of a chunk of consecutive positions; a group's figures are looked up per chunk, so no group is a hot key
+_CHUNK_BITS = 20
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on group columns; null is a group like any other."""
+    names = {k: f"_grp_{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(names)
+    return left.join(right, reduce(Column.__and__, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in names.items()]),
+                     how).drop(*names.values())
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no",
@@ -43,12 +55,16 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_no",
 def rank_within(df: DataFrame, groups: list[str], order: list[str], name: str = "rank",
                 group_size: str | None = None) -> DataFrame:
     """0-based rank inside each group; a group of any size is spread over many tasks."""
-    numbered = number_rows(df, [*groups, *order], "_ord_no")
-    firsts = numbered.groupBy(*groups).agg(F.min("_ord_no").alias("_ord_first"), F.count(F.lit(1)).alias("_ord_size"))
-    out = numbered.join(firsts, groups).withColumn(name, F.col("_ord_no") - F.col("_ord_first"))
+    numbered = number_rows(df, [*groups, *order], "_ord_no").withColumn("_ord_chunk", F.shiftright("_ord_no", _CHUNK_BITS))
+    whole = W.partitionBy(*groups)
+    firsts = numbered.groupBy("_ord_chunk", *groups).agg(F.min("_ord_no").alias("_ord_low"), F.count(F.lit(1)).alias("_ord_n"))
+    # windows over one row per (group, chunk)
+    firsts = firsts.select("_ord_chunk", *groups, F.min("_ord_low").over(whole).alias("_ord_first"),
+                           F.sum("_ord_n").over(whole).alias("_ord_size"))
+    out = join_groups(numbered, firsts, ["_ord_chunk", *groups]).withColumn(name, F.col("_ord_no") - F.col("_ord_first"))
     if group_size:
         out = out.withColumn(group_size, F.col("_ord_size"))
-    return out.drop("_ord_no", "_ord_first", "_ord_size")
+    return out.drop("_ord_no", "_ord_chunk", "_ord_first", "_ord_size")
 
 
 def running_sums(df: DataFrame, groups: list[str], order: list[str], sums: dict[str, str]) -> DataFrame:
@@ -67,8 +83,8 @@ def running_sums(df: DataFrame, groups: list[str], order: list[str], sums: dict[
     starts = tops.select(*groups, "_ord_range", *[
         F.coalesce(F.sum(f"_ord_t_{o}").over(before), F.lit(0)).alias(f"_ord_s_{o}") for o in sums],
         *[F.sum(f"_ord_t_{o}").over(whole).alias(f"{o}_total") for o in sums])
-    out = (stored.select("*", *[F.sum(c).over(inside).alias(f"_ord_i_{o}") for o, c in sums.items()])
-           .join(starts, [*groups, "_ord_range"]))
+    out = join_groups(stored.select("*", *[F.sum(c).over(inside).alias(f"_ord_i_{o}") for o, c in sums.items()]),
+                      starts, [*groups, "_ord_range"])
     for o in sums:
         out = out.withColumn(o, F.col(f"_ord_i_{o}") + F.col(f"_ord_s_{o}"))
     return out.drop("_ord_range", *[f"_ord_{k}_{o}" for o in sums for k in "is"])

@@ -9,13 +9,12 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.feature import RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,20 +27,31 @@ from stockyard.operators.sampling import assign_folds, split_random, split_strat
 from stockyard.operators.tracking import model_comparison
 
 
-def _vectors(features: list[str]) -> list:
-    """Assemble and robust-scale; fitted with the model on training rows only."""
-    return [VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep"),
-            RobustScaler(inputCol="_raw", outputCol="features", withCentering=True, withScaling=True)]
+def _assembler(features: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep")
+
+
+def _scaler() -> RobustScaler:
+    """Fitted with the model on training rows only."""
+    return RobustScaler(inputCol="_raw", outputCol="features", withCentering=True, withScaling=True)
 
 
 # Default size of the competing models (trees, depth, learning rate).
 TREES, DEPTH, RATE = 200, 6, 0.05
 
 
-def _prepared(train: DataFrame, features: list[str]) -> tuple[PipelineModel, DataFrame]:
-    """Vector stages fitted once on the training rows, and those rows with their vectors, cached."""
-    vectors = Pipeline(stages=_vectors(features)).fit(train)
-    return vectors, vectors.transform(train).persist()
+def _folds(df: DataFrame, features: list[str], target: str, order: list[str], folds: int) -> tuple[DataFrame, Callable]:
+    """Assembled rows, cached once, and a function from fold to its scaled training and test rows."""
+    columns = [c for c in dict.fromkeys([*order, *features, target])]
+    data = assign_folds(fill_zero(df.select(*columns), features), order, folds)
+    base = _assembler(features).transform(data).select("fold", F.col(target).cast("double").alias(target), "_raw").persist()
+
+    def split(f: int) -> tuple[DataFrame, DataFrame]:
+        train = base.where(F.col("fold") != f)
+        scaler = _scaler().fit(train)
+        return scaler.transform(train), scaler.transform(base.where(F.col("fold") == f))
+
+    return base, split
 
 
 def regressors(trees: int = TREES, depth: int = DEPTH, rate: float = RATE, seed: int = 42) -> dict[str, Estimator]:
@@ -69,7 +79,7 @@ class Competition:
     def model(self, name: str | None = None) -> PipelineModel:
         name = name or self.best
         if name not in self.models:
-            raise ValueError(f"model '{name}' not trained")
+            raise ValueError(f"no fitted model is called '{name}', only {sorted(self.models)}")
         return self.models[name]
 
     def predict(self, df: DataFrame, name: str | None = None) -> DataFrame:
@@ -77,6 +87,8 @@ class Competition:
 
     def forecast_regions(self, df: DataFrame, horizon_days: int = 30) -> DataFrame:
         """Best model on every row with a constant horizon; it projects nothing in time."""
+        if "region" not in df.columns:
+            df = df.withColumn("region", F.lit("ALL"))
         return self.predict(df).select("region", F.col("prediction").alias("forecast_price"),
                                        F.lit(horizon_days).alias("horizon_days"))
 
@@ -95,15 +107,17 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
     """
     features = [c for c in features if c in df.columns]
     estimators = estimators or regressors(seed=seed)
-    data = fill_zero(df.select(key, *(order or []), *[c for c in features if c not in (order or [])], target)
+    data = fill_zero(df.select(key, *[c for c in features if c != key], target)
                      .withColumn(target, F.col(target).cast("double")), features)
-    data = split_random(data, key, test_size, seed).persist()
-    train, test = data.where("split = 'train'"), data.where("split = 'test'")
+    assembler = _assembler(features)
+    data = assembler.transform(split_random(data, key, test_size, seed)).select("split", target, "_raw").persist()
+    scaler = _scaler().fit(data.where("split = 'train'"))
+    train, test = (scaler.transform(data.where(F.col("split") == part)) for part in ("train", "test"))
     models, scored = {}, None
-    vectors, train = _prepared(train, features)
     for name, estimator in estimators.items():
-        models[name] = PipelineModel([*vectors.stages, estimator.copy({estimator.labelCol: target}).fit(train)])
-        part = models[name].transform(test).select(F.lit(name).alias("model"), F.col(target).alias("y_true"),
+        fitted = estimator.copy({estimator.labelCol: target}).fit(train)
+        models[name] = PipelineModel([assembler, scaler, fitted])
+        part = fitted.transform(test).select(F.lit(name).alias("model"), F.col(target).alias("y_true"),
                                                    F.col("prediction").alias("y_hat"))
         scored = part if scored is None else scored.unionByName(part)
     metrics = regression_metrics(scored, by=["model"])
@@ -111,7 +125,6 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
         metrics = metrics.join(cross_validate(df, features, target, order, estimators, folds), "model")
     rows = _with_order(metrics, list(estimators)).collect()  # one row per model
     metrics = df.sparkSession.createDataFrame(rows)
-    train.unpersist()
     data.unpersist()
     return Competition(features, models, metrics, best_model(metrics).head()["best_model"])
 
@@ -119,25 +132,21 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
 def cross_validate(df: DataFrame, features: list[str], target: str, order: list[str],
                    estimators: dict[str, Estimator], folds: int = 5, parallelism: int = 4) -> DataFrame:
     """Unshuffled k-fold errors per model (cv_rmse_mean, cv_rmse_std); several fits run at a time."""
-    columns = [c for c in dict.fromkeys([*order, *features, target])]
-    data = assign_folds(fill_zero(df.select(*columns), features), order, folds).persist()
+    base, split = _folds(df, features, target, order, folds)
 
     def fit(f: int) -> DataFrame:
-        vectors, train = _prepared(data.where(F.col("fold") != f), features)
-        test, parts = vectors.transform(data.where(F.col("fold") == f)), []
+        (train, test), parts = split(f), []
         for name, estimator in estimators.items():
             model = estimator.copy({estimator.labelCol: target}).fit(train)
             parts.append(model.transform(test).select(
-                F.lit(name).alias("model"), "fold", F.col(target).cast("double").alias("y_true"),
-                F.col("prediction").alias("y_hat")))
-        train.unpersist()
+                F.lit(name).alias("model"), "fold", F.col(target).alias("y_true"), F.col("prediction").alias("y_hat")))
         return reduce(DataFrame.unionByName, parts)
 
     with ThreadPool(parallelism) as pool:
         errors = reduce(DataFrame.unionByName,
                         pool.map(inheritable_thread_target(df.sparkSession)(fit), range(folds)))
     rows = fold_errors(errors, by=["model"]).collect()  # models x folds rows
-    data.unpersist()
+    base.unpersist()
     return cv_summary(df.sparkSession.createDataFrame(rows), by=["model"])
 
 
@@ -154,7 +163,7 @@ def train_classifiers(df: DataFrame, key: str, features: list[str], label: str,
     estimators = estimators or classifiers(seed=seed)
     weighted_models = list(estimators)[:1] if weighted_models is None else weighted_models
     data = split_stratified(fill_zero(df.select(key, *features, label), features), key, label, test_size, seed)
-    data = data.withColumn(label, F.col(label).cast("double")).persist()
+    data = data.withColumn(label, F.col(label).cast("double"))
     train, test = data.where("split = 'train'").drop("split"), data.where("split = 'test'").drop("split")
     if train_rows is not None:
         train = train_rows(train)
@@ -162,13 +171,16 @@ def train_classifiers(df: DataFrame, key: str, features: list[str], label: str,
     weights = class_weights(train, label).agg(
         F.map_from_entries(F.collect_list(F.struct("label", "weight"))).alias("w")).scalar()
     train = train.withColumn("_weight", F.element_at(weights, F.col(label)))
-    vectors, train = _prepared(train, features)
+    assembler = _assembler(features)
+    train = assembler.transform(train).select(label, "_weight", "_raw").persist()
+    scaler = _scaler().fit(train)
+    scaled = scaler.transform(train)
     models, scored = {}, None
     for name, estimator in estimators.items():
         extra = {estimator.labelCol: label}
         if weighted and name in weighted_models:
             extra[estimator.weightCol] = "_weight"
-        models[name] = PipelineModel([*vectors.stages, estimator.copy(extra).fit(train)])
+        models[name] = PipelineModel([assembler, scaler, estimator.copy(extra).fit(scaled)])
         part = models[name].transform(test).select(
             F.lit(name).alias("model"), F.col(label).cast("int").alias("label"),
             F.col("prediction").cast("int").alias("pred"), vector_to_array("probability")[1].alias("prob"))
@@ -176,7 +188,7 @@ def train_classifiers(df: DataFrame, key: str, features: list[str], label: str,
     scored = scored.persist()
     metrics = classification_metrics(scored, by=["model"]).join(roc_auc(scored, by=["model"]), "model")
     rows = _with_order(metrics, list(estimators)).collect()  # one row per model
-    for cached in (scored, train, data):
+    for cached in (scored, train):
         cached.unpersist()
     return Competition(features, models, df.sparkSession.createDataFrame(rows), None)
 
@@ -205,38 +217,47 @@ def boosted_regressor(params: dict, target: str, seed: int = 42) -> Estimator:
                         subsamplingRate=params["subsample"], featureSubsetStrategy=str(params["features"]), seed=seed)
 
 
+def _mean(values: list[float]) -> float:
+    return sum(values) / len(values)
+
+
 def tune_generic(df: DataFrame, features: list[str], target: str, factory: Callable[[dict], Estimator],
                  space: dict, evaluator: Evaluator, order: list[str], trials: int = 10, folds: int = 5,
-                 parallelism: int = 2, seed: int = 42) -> dict:
-    """Random search over contiguous folds; the evaluator says whether larger is better."""
+                 parallelism: int = 4, seed: int = 42, combine: Callable[[list[float]], float] = _mean) -> dict:
+    """Random search over contiguous folds; the evaluator says whether larger is better, ``combine`` makes a trial's
+    value of its folds' values.  All fits share one pool; only the winner is fitted on all rows."""
     features = [c for c in features if c in df.columns]
-    columns = [c for c in dict.fromkeys([*order, *features, target])]
-    data = assign_folds(fill_zero(df.select(*columns), features), order, folds)
-    data = data.withColumn(target, F.col(target).cast("double")).persist()
-    results = []
-    for params in draw_params(space, trials, seed):
-        pipeline = Pipeline(stages=[*_vectors(features), factory(params)])
-        fitted = CrossValidator(estimator=pipeline, estimatorParamMaps=[{}], evaluator=evaluator, numFolds=folds,
-                                foldCol="fold", parallelism=parallelism, seed=seed).fit(data)
-        results.append((fitted.avgMetrics[0], params, fitted.bestModel))
-    data.unpersist()
+    base, split = _folds(df, features, target, order, folds)
+    parts, draws = [split(f) for f in range(folds)], draw_params(space, trials, seed)
+
+    def fit(job: tuple[int, int]) -> float:
+        (train, test), params = parts[job[1]], draws[job[0]]
+        return evaluator.evaluate(factory(params).fit(train).transform(test))
+
+    jobs = [(t, f) for t in range(trials) for f in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        values = pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs)
+    results = [(combine(values[t * folds:(t + 1) * folds]), params) for t, params in enumerate(draws)]
     pick = max if evaluator.isLargerBetter() else min
-    value, params, model = pick(results, key=lambda r: r[0])
-    return {"best_params": params, "best_value": value, "best_model": model, "features": features,
-            "trials": [(v, p) for v, p, _ in results]}
+    value, params = pick(results, key=lambda r: r[0])
+    scaler = _scaler().fit(base)
+    model = PipelineModel([_assembler(features), scaler, factory(params).fit(scaler.transform(base))])
+    base.unpersist()
+    return {"best_params": params, "best_value": value, "best_model": model, "features": features, "trials": results}
 
 
 def tune_regressor(df: DataFrame, features: list[str], target: str, order: list[str], trials: int = 20,
                    folds: int = 5, space: dict | None = None, seed: int = 42) -> dict:
-    evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
-    return tune_generic(df, features, target, lambda p: boosted_regressor(p, target, seed),
-                        space or SEARCH_SPACE, evaluator, order, trials, folds, seed=seed)
+    """Minimises the root of the mean squared error averaged over folds."""
+    evaluator = RegressionEvaluator(labelCol=target, metricName="mse")
+    return tune_generic(df, features, target, lambda p: boosted_regressor(p, target, seed), space or SEARCH_SPACE,
+                        evaluator, order, trials, folds, seed=seed, combine=lambda v: math.sqrt(_mean(v)))
 
 
 def tuned_model(result: dict | None, target: str, seed: int = 42) -> Estimator:
     """Unfitted estimator with the best parameters."""
     if not result or not result.get("best_params"):
-        raise ValueError("run tuning first")
+        raise ValueError("a tuned estimator needs the result of a search")
     return boosted_regressor(result["best_params"], target, seed)
 
 
@@ -260,4 +281,4 @@ def load_model(path: str) -> PipelineModel:
     try:
         return PipelineModel.load(path)
     except Exception as error:
-        raise FileNotFoundError(f"model not found: {path}") from error
+        raise FileNotFoundError(f"nothing loadable at {path}") from error

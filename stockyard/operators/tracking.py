@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,15 @@ class RunLog:
         self._append("metrics", metrics.select(F.lit(run_id).alias("run_id"), "metric", F.col("value").cast("double"),
                                                F.lit(step).cast("int").alias("step")))
 
+    def register(self, run_name: str, params: dict, metrics: DataFrame, model) -> str:
+        """Log parameters, metrics and the stored model under one new run; returns its id."""
+        run_id = uuid.uuid4().hex
+        self.start(run_id, run_name)
+        self.log_params(run_id, {**params, "model_path": f"{self.root}/models/{run_id}"})
+        self.log_metrics(run_id, metrics)
+        model.write().save(f"{self.root}/models/{run_id}")
+        return run_id
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
 
@@ -52,10 +63,6 @@ def chart_fraud_defect(summary: DataFrame) -> DataFrame:
     return summary.select("region", "fraud_count", "defect_count")
 
 
-def chart_damage(damage: DataFrame, key: str = "image_id") -> DataFrame:
-    return damage.select(key, (F.col("damage_ratio") * 100).alias("damage_pct"))
-
-
 def stage_rows(stage: str, values: DataFrame) -> DataFrame:
     """One-row table of results as report rows (stage, key, value); names lose their underscores."""
     names = values.columns

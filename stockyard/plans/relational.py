@@ -8,17 +8,17 @@ from stockyard.functions import scalars as S
 from stockyard.operators import commerce, detections, features, tracking
 from stockyard.operators.feature_store import FeatureStore
 from stockyard.plans import views
-from stockyard.plans.registry import query, rounded, rounded_means, text_ts, u
+from stockyard.plans.registry import query, rounded, text_ts, u
 from stockyard.schema import MODEL_FEATURES, NUMERIC_COLUMNS
-from stockyard.sources import synthetic, tables
+from stockyard.sources import tables
 from stockyard.workspace import fresh_dir
 
 TX = "transaction_id"
 TX_COLUMNS = ["transaction_id", "region", "category", "quantity", "unit_cost", "price_usd", "warehouse_id",
               "supplier_id", "is_fraud", "is_defect", "shipping_days", "market_index"]
 TX_LIST = ", ".join(TX_COLUMNS)
-METRICS_SQL = """count(transaction_id) AS txn_count, cast(sum(cast(price_usd AS decimal(18,2))) AS double) AS total_revenue,
-  cast(sum(cast(price_usd AS decimal(18,2))) AS double) / count(price_usd) AS avg_price,
+METRICS_SQL = """count(transaction_id) AS txn_count, cast(sum(cast(price_usd AS decimal(38,2))) AS double) AS total_revenue,
+  cast(sum(cast(price_usd AS decimal(38,2))) AS double) / count(price_usd) AS avg_price,
   cast(sum(is_fraud) AS bigint) AS fraud_count, cast(sum(is_defect) AS bigint) AS defect_count"""
 
 
@@ -106,8 +106,8 @@ def relational_scan(spark, sf):
 
 @query("SELECT warehouse_id, region, capacity, lat, lon FROM warehouses")
 def scan_warehouses(spark, sf):
-    _, dimension = _seed(spark, sf)
-    return tables.read_table(spark, dimension)
+    root = fresh_dir(spark, "tables")
+    return tables.read_table(spark, tables.write_table(views.warehouses(spark, sf), "warehouses_" + root[-8:], root))
 
 
 @query("""SELECT 'transactions' AS table_name, count(*) AS n_rows, count(DISTINCT warehouse_id) AS n_warehouses FROM tx
@@ -130,53 +130,9 @@ def sql_params(spark, sf):
         {"low": 40000, "days": 10}, tx=views.tx(spark, sf))
 
 
-_SYN_WHOLE = "cast({} + floor({} * {}) AS int)"
-
-
-def _syn(tag, low, high):
-    return _SYN_WHOLE.format(low, u(f"concat(id, '|{tag}|42')"), high - low + 1)
-
-
-@query(f"""WITH s AS (SELECT o_orderkey AS id FROM orders), v AS (
-  SELECT id, concat('TXN-', CASE WHEN id < 1000000 THEN lpad(id::varchar, 6, '0') ELSE id::varchar END) AS transaction_id,
-    timestamp '2024-01-01' + to_hours({_syn('ts', 0, 8759)}) AS ts,
-    (['NA', 'EU', 'APAC', 'LATAM'])[{_syn('region', 1, 4)}] AS region, {_syn('region', 1, 4)} - 1 AS rno,
-    (['electronics', 'apparel', 'food', 'industrial', 'pharma'])[{_syn('category', 1, 5)}] AS category,
-    ([450, 80, 25, 1200, 350])[{_syn('category', 1, 5)}] AS base,
-    {_syn('quantity', 1, 499)} AS quantity, round(5 + 195 * {u("concat(id, '|unit_cost|42')")}, 2) AS unit_cost,
-    {u("concat(id, '|price|42')")} AS p, concat('WH-', {_syn('warehouse', 1, 11)}) AS warehouse_id,
-    concat('SUP-', {_syn('supplier', 100, 998)}) AS supplier_id,
-    CASE WHEN {u("concat(id, '|fraud|42')")} < 0.02::double THEN 1 ELSE 0 END AS is_fraud,
-    CASE WHEN {u("concat(id, '|defect|42')")} < 0.03::double THEN 1 ELSE 0 END AS is_defect,
-    {_syn('shipping', 1, 20)} AS shipping_days, round(0.8::double + 0.4::double * {u("concat(id, '|market|42')")}, 4) AS market_index FROM s)
-  SELECT {TX_LIST.replace('price_usd', 'round(base * (0.7::double + 0.7::double * p) * (1 + 0.1::double * rno) * quantity, 2) AS price_usd')},
-         strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM v""")
-def synthetic_tx(spark, sf):
-    ids = views.table(spark, sf, "orders").select("o_orderkey")
-    return synthetic.generate_transactions(ids, "o_orderkey").withColumn("ts", text_ts("ts"))
-
-
-_NORMAL = ", ".join(
-    f"""round(sqrt(-2.0::double * ln(1.0::double - {u(f"concat(c_custkey, '|{j}|radius|42')")}))
-    * cos(6.283185307179586::double * {u(f"concat(c_custkey, '|{j}|angle|42')")}), 9) AS c{j}""" for j in range(3))
-
-
-@query(f"SELECT c_custkey AS id, {_NORMAL} FROM customer")
-def random_matrix(spark, sf):
-    matrix = synthetic.random_matrix(views.table(spark, sf, "customer"), 3, "c_custkey")
-    return rounded(matrix, c0=9, c1=9, c2=9)
-
-
 # ---------------------------------------------------------------- sinks
 
 
-@query(f"SELECT region, category, {METRICS_SQL} FROM tx GROUP BY region, category")
-def write_arrow(spark, sf):
-    summary = commerce.regional_metrics(views.tx(spark, sf)).drop("avg_market_index").toArrow()  # region x category
-    path = tables.write_arrow(spark, summary, fresh_dir(spark, "arrow"))
-    return tables.read_parquet(spark, path)
-
-
 @query("SELECT transaction_id, price_usd FROM tx UNION ALL SELECT transaction_id, price_usd FROM tx WHERE is_fraud = 1")
 def write_mode(spark, sf):
     path, tx = fresh_dir(spark, "mode"), views.tx(spark, sf).select(TX, "price_usd", "is_fraud")
@@ -186,12 +142,12 @@ def write_mode(spark, sf):
     return tables.read_parquet(spark, path, [TX, "price_usd"])
 
 
-@query("""SELECT transaction_id, cast(round(cast(quantity AS decimal(10,2)) * cast(unit_cost AS decimal(14,4))
-          * cast(market_index AS decimal(10,6)), 2) AS double) AS predicted_price FROM tx""")
+@query("""SELECT transaction_id, cast(round(cast(quantity AS decimal(19,2)) * cast(unit_cost AS decimal(14,6))
+          * cast(market_index AS decimal(12,8)), 2) AS double) AS predicted_price FROM tx""")
 def predictions_table(spark, sf):
     root = fresh_dir(spark, "predictions")
     scored = views.tx(spark, sf).select(TX, S.heuristic_price().alias("predicted_price"))
-    name = tables.write_predictions(scored, "predictions_" + root[-8:], root)
+    name = tables.write_table(scored, "predictions_" + root[-8:], root)
     return tables.read_table(spark, name)
 
 
@@ -246,7 +202,7 @@ def market_features(spark, sf):
 def encode_categories(spark, sf):
     raw = views.tx(spark, sf).select(TX, "supplier_id", F.nullif("category", F.lit("PROMO")).alias("category"))
     small = features.encode_categories(raw, {"category": "category_encoded"})
-    large = features.encode_categories(small, {"supplier_id": "supplier_encoded"}, inline_limit=16)
+    large = features.encode_categories(small, {"supplier_id": "supplier_encoded"})
     return large.select(TX, "category_encoded", "supplier_encoded")
 
 
@@ -303,8 +259,8 @@ def fill_zero(spark, sf):
     return features.fill_zero(holes, ["value", "user_id", "missing"])
 
 
-@query("""SELECT transaction_id, 'heuristic' AS model_used, cast(round(cast(quantity AS decimal(10,2)) * cast(unit_cost AS decimal(14,4))
-          * cast(market_index AS decimal(10,6)), 2) AS double) AS predicted_price FROM tx""")
+@query("""SELECT transaction_id, 'heuristic' AS model_used, cast(round(cast(quantity AS decimal(19,2)) * cast(unit_cost AS decimal(14,6))
+          * cast(market_index AS decimal(12,8)), 2) AS double) AS predicted_price FROM tx""")
 def heuristic_price(spark, sf):
     from stockyard.operators.supervised import score_prices
     return score_prices(views.tx(spark, sf)).select(TX, "predicted_price", "model_used")
@@ -360,9 +316,9 @@ def distinct_regions(spark, sf):
 # ---------------------------------------------------------------- aggregates
 
 
-@query(f"SELECT region, category, {METRICS_SQL}, round(avg(market_index) + 1e-11::double, 9) AS avg_market_index FROM tx GROUP BY region, category")
+@query(f"SELECT region, category, {METRICS_SQL}, cast(sum(cast(market_index AS decimal(38,12))) AS double) / count(market_index) AS avg_market_index FROM tx GROUP BY region, category")
 def regional_metrics(spark, sf):
-    return rounded_means(commerce.regional_metrics(views.tx(spark, sf)), avg_market_index=9)
+    return commerce.regional_metrics(views.tx(spark, sf))
 
 
 @query(f"SELECT region, {METRICS_SQL} FROM tx GROUP BY region")

@@ -16,11 +16,9 @@ from stockyard.operators import commerce, detections, drift, image_jobs, samplin
 from stockyard.operators.cluster import enriched_features
 from stockyard.operators.feature_store import FeatureStore
 from stockyard.operators.features import market_features
-from stockyard.plans import views
-from stockyard.plans.registry import query
 from stockyard.schema import MODEL_FEATURES, TARGET
 from stockyard.sources import tables
-from stockyard.workspace import fresh_dir, spread
+from stockyard.workspace import spread
 
 
 @dataclass
@@ -66,7 +64,9 @@ class Run:
         path = tables.archive_transactions(market_features(self.inputs.transactions), f"{self.root}/transactions")
         self.rows = tables.merge_partitions(self.spark, path)
         joined = commerce.join_warehouses(self.rows, self.inputs.warehouses)
-        tables.write_parquet(commerce.regional_metrics(self.rows), f"{self.root}/regional_metrics")
+        flagged = commerce.price_anomalies(self.rows)
+        tables.write_parquet(commerce.regional_metrics(flagged, F.sum("is_price_anomaly").alias("anomaly_count")),
+                             f"{self.root}/regional_metrics")
         self._add("data ingestion", joined.agg(F.count(F.lit(1)).alias("joined_rows")))
         self._add("data ingestion", tables.read_parquet(self.spark, f"{self.root}/regional_metrics").agg(
             F.count(F.lit(1)).alias("aggregated_rows"), F.sum("txn_count").alias("transactions")))
@@ -112,7 +112,7 @@ class Run:
         written = tables.read_parquet(self.spark, f"{self.root}/image_qa")
         self._add("computer vision", detections.track_summary(found, self.inputs.boxes))
         self._add("computer vision", written.agg(F.count(F.lit(1)).alias("images"),
-                                                 F.count_if("damage_detected").alias("damaged_images")))
+                                                 F.count_if(F.col("detections") > 0).alias("images_with_objects")))
 
     def monitoring(self) -> None:
         s = self.settings
@@ -139,14 +139,3 @@ class Run:
         self._add("run", self.spark.createDataFrame([(status, error)], "status string, error string"))
         path = tracking.write_report(reduce(DataFrame.unionByName, self.report), f"{self.root}/report")
         return self.spark.read.schema("stage string, key string, value string").json(path)
-
-
-@query()
-def stage_report(spark, sf):
-    """Report of a whole run with small ensembles."""
-    inputs = Inputs(views.tx(spark, sf), views.warehouses(spark, sf), views.img(spark, sf), views.det(spark, sf),
-                    views.frames(spark, sf))
-    space = {"trees": ("int", 2, 4), "depth": ("int", 2, 4), "rate": ("log", 0.1, 0.3),
-             "subsample": ("float", 0.6, 1.0), "features": ("float", 0.6, 1.0)}
-    settings = Settings(folds=2, trials=1, trees=3, depth=3, rate=0.3, space=space)
-    return Run(spark, inputs, fresh_dir(spark, "run"), settings).run_all()

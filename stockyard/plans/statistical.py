@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stockyard.operators import cluster, drift, metrics, neighbors, sampling, tracking
 from stockyard.plans import views
-from stockyard.plans.registry import h, query, rounded, rounded_means, u
+from stockyard.plans.registry import h, query, rounded, u
 from stockyard.schema import MODEL_FEATURES, NUMERIC_COLUMNS
 from stockyard.workspace import fresh_dir, materialize
 
@@ -128,14 +128,14 @@ def _tagged(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def _profile(c):
-    return (f"SELECT '{c}' AS feature, round(avg({c}) + 1e-6::double, 4) AS mean, round(stddev_samp({c}), 4) AS std, "
+    return (f"SELECT '{c}' AS feature, round(avg({c}), 3) AS mean, round(stddev_samp({c}), 4) AS std, "
             f"cast(min({c}) AS double) AS min, cast(max({c}) AS double) AS max FROM tx")
 
 
 @query(" UNION ALL ".join(_profile(c) for c in DRIFT_COLUMNS))
 def reference_profile(spark, sf):
     profile = drift.reference_profile(views.tx(spark, sf), DRIFT_COLUMNS)
-    return rounded(rounded_means(profile, mean=4), std=4)
+    return rounded(profile, mean=3, std=4)
 
 
 @query("SELECT pair, feature, round(d, 9) AS ks_statistic FROM ks")

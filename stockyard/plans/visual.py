@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from stockyard.functions import vision as V
 from stockyard.operators import detections as D
-from stockyard.operators import image_jobs, tracking
+from stockyard.operators import image_jobs
 from stockyard.plans import views
 from stockyard.plans.registry import corners, h, query, rounded, u
 from stockyard.sources import files, tables
 from stockyard.streaming import streams
-from stockyard.workspace import fresh_dir
+from stockyard.workspace import fresh_dir, materialize
 
 
 def _detections(spark, sf):
@@ -105,9 +105,9 @@ _SHIPMENT = """SELECT image_id, split_part(l, ':', 1) AS primary_category, cast(
   l AS all_labels, contains(l, 'hazmat') AS is_hazmat, contains(l, 'fragile') AS is_fragile FROM """
 
 
-def _shipment_columns(df):
+def _shipment_columns(df, *more):
     return df.select("image_id", "primary_category", "confidence", V.label_text(F.col("all_labels")).alias("all_labels"),
-                     "is_hazmat", "is_fragile")
+                     "is_hazmat", "is_fragile", *more)
 
 
 @query(_SHIPMENT + _LABELLED.format("img_stats"))
@@ -120,6 +120,9 @@ def classify_images(spark, sf):
     return _shipment_columns(image_jobs.classify_images(views.img(spark, sf)))
 
 
+# Fixed value: header of an 8 x 8 bitmap with 24 bits per pixel and rows from the top.
+BITMAP_8X8 = "424DF60000000000000036000000" "28000000" "08000000" "F8FFFFFF" "01001800" "00000000" "C0000000" + "00" * 16
+
 _STATS = "SELECT image_id, round(r, 6) AS r, round(g, 6) AS g, round(b, 6) AS b, round(sd, 6) AS sd FROM pixel_stats"
 
 
@@ -130,25 +133,25 @@ def image_stats(spark, sf):
 
 @query(_STATS.replace("image_id,", "image_id, 8 AS height, 8 AS width, 3 AS channels,"))
 def scan_images(spark, sf):
-    """PNG files written by the tasks, scanned back by the image reader."""
-    folder = fresh_dir(spark, "png")
-    written = files.write_files(files.encode_png(views.img(spark, sf)), folder, "file", "content")
-    written.write.mode("overwrite").parquet(fresh_dir(spark, "png-manifest"))
-    found = files.read_images(spark, folder).withColumn("image_id", F.col("stem").cast("bigint"))
-    stats = image_jobs.image_stats(found)
+    """Bitmap files written by the tasks, scanned back once by the image reader."""
+    folder = fresh_dir(spark, "bitmaps")
+    content = views.img(spark, sf).select(F.concat(F.col("image_id").cast("string"), F.lit(".bmp")).alias("file"),
+                                          F.concat(F.unhex(F.lit(BITMAP_8X8)), "image.data").alias("content"))
+    files.write_files(content, folder, "file", "content").write.parquet(fresh_dir(spark, "bitmap-manifest"))
+    found = materialize(files.read_images(spark, folder).withColumn("image_id", F.col("stem").cast("bigint")), "images")
     shape = found.select("image_id", "image.height", "image.width", F.col("image.nChannels").alias("channels"))
-    return rounded(shape.join(stats, "image_id"), r=6, g=6, b=6, sd=6)
+    return rounded(shape.join(image_jobs.image_stats(found), "image_id"), r=6, g=6, b=6, sd=6)
 
 
 @query("""WITH b AS (SELECT frame, class_name, x1, y1, x2, y2, row_number() OVER (PARTITION BY frame ORDER BY det_id) - 1 AS box_no
-    FROM capped WHERE area > 15000)
+    FROM capped)
   SELECT f.frame::varchar AS stem, CASE WHEN b.frame IS NOT NULL THEN concat('bay_', f.frame % 3 + 1) END AS camera, cast(box_no AS int) AS box_no,
          class_name AS label, cast(x1 AS int) AS x1, cast(y1 AS int) AS y1, cast(x2 AS int) AS x2, cast(y2 AS int) AS y2
   FROM (SELECT DISTINCT frame FROM det) f LEFT JOIN b ON f.frame = b.frame""")
 def scan_annotations(spark, sf):
-    """Sidecar documents for frames with large boxes; frames without one keep a row of nulls."""
+    """Sidecar documents of every frame with boxes; frames without one keep a row of nulls."""
     det = views.det(spark, sf)
-    boxes = D.first_per_frame(D.classify_boxes(det)).where("area > 15000")  # at most ten per frame
+    boxes = D.first_per_frame(D.classify_boxes(det))  # at most ten per frame
     documents = boxes.groupBy("frame").agg(F.transform(
         F.array_sort(F.collect_list(F.struct("det_id", "class_name", "bbox"))),
         lambda x: F.struct(x["class_name"].alias("label"), x["bbox"].alias("bbox"))).alias("boxes"))
@@ -202,58 +205,19 @@ def frame_motion(spark, sf):
 
 # ---------------------------------------------------------------- image jobs
 
-# Every disc of radius 40 covers an 8 x 8 image, so the mask is the dark side of the Otsu threshold.
-_OTSU = """WITH px AS (SELECT image_id, (299 * r + 587 * g + 114 * b + 500) // 1000 AS y FROM pixels),
-  c AS (SELECT image_id, y, count(*) AS n, sum(y) AS s FROM px GROUP BY 1, 2),
-  k AS (SELECT image_id, y, sum(n) OVER w AS n0, sum(s) OVER w AS s0, sum(n) OVER a AS n, sum(s) OVER a AS s FROM c
-        WINDOW w AS (PARTITION BY image_id ORDER BY y), a AS (PARTITION BY image_id)),
-  v AS (SELECT *, power((n * s0 - n0 * s)::double, 2) / (n0 * (n - n0))::double AS between_var FROM k WHERE n0 < n),
-  m AS (SELECT *, round(between_var / max(between_var) OVER (PARTITION BY image_id), 12) AS share FROM v),
-  t AS (SELECT image_id, n0, n FROM m QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY share DESC, y) = 1) """
-
-
-@query(_OTSU + "SELECT image_id, cast(n0 AS bigint) AS damage_area_pixels, round(n0 / n::double, 9) AS damage_ratio FROM t")
-def image_damage(spark, sf):
-    return rounded(image_jobs.image_damage(views.img(spark, sf)).drop("confidence"), damage_ratio=9)
-
+_OBJECTS = "string_agg(concat(class_name, ':', cast(round(confidence, 3) AS decimal(4,3))), ',' ORDER BY det_id)"
 
-@query(_OTSU + "SELECT image_id, round(100 * (n0 / n::double), 6) AS damage_pct FROM t")
-def chart_damage(spark, sf):
-    return rounded(tracking.chart_damage(image_jobs.image_damage(views.img(spark, sf))), damage_pct=6)
 
-
-@query(_OTSU + """, d AS (SELECT frame, count(*) AS n FROM capped GROUP BY frame)
-  SELECT image_id, coalesce(d.n, 0) AS detections, t.n0 / t.n::double > 0.01::double AS damage_detected,
-         (SELECT count(*) FROM capped c WHERE c.frame = t.image_id) AS objects
-  FROM t LEFT JOIN d ON d.frame = t.image_id""")
+@query(f"""WITH d AS (SELECT frame, count(*) AS n, {_OBJECTS} AS o FROM capped GROUP BY frame),
+  s AS ({_SHIPMENT + _LABELLED.format("pixel_stats")})
+  SELECT s.*, coalesce(d.n, 0) AS detections, coalesce(d.o, '') AS objects FROM s LEFT JOIN d ON d.frame = s.image_id""")
 def image_qa(spark, sf):
-    """Per-image report; the JSON text is unpacked far enough to be compared."""
+    """Per-image report, read from its JSON text."""
     capped = D.first_per_frame(_detections(spark, sf))
     report = image_jobs.image_qa(views.img(spark, sf), capped)
-    unpacked = F.from_json("report", "objects array<struct<class:string,conf:double>>, damage_detected boolean")
-    return report.withColumn("r", unpacked).select(
-        "image_id", "detections", F.col("r.damage_detected").alias("damage_detected"),
-        F.size("r.objects").cast("bigint").alias("objects"))
-
-
-@query()
-def image_prep(spark, sf):
-    """Images resized to 16 x 12 with RGB byte order."""
-    return image_jobs.preprocess(views.img(spark, sf), 16, 12)
-
-
-@query()
-def augment_images(spark, sf):
-    images = views.img(spark, sf).withColumn("bboxes", F.array(F.array(*[F.lit(float(v)) for v in (1, 2, 5, 7)])))
-    return image_jobs.augment_with_boxes(images, 2).select("image_id", "copy", "flipped", "bboxes", "image")
-
-
-@query()
-def augment_masks(spark, sf):
-    images = views.img(spark, sf).withColumn("mask", F.unhex(F.repeat(F.lit("00FF"), 32)))
-    return image_jobs.augment_with_mask(images).select("image_id", "copy", "flipped", "mask")
-
-
-@query()
-def colour_jitter(spark, sf):
-    return image_jobs.colour_jitter(views.img(spark, sf))
+    label = "struct<label:string,confidence:double>"
+    r = F.from_json("report", "detections bigint, objects array<struct<class:string,conf:double>>, shipment_labels struct<"
+                    f"primary_category:string,confidence:double,all_labels:array<{label}>,is_hazmat:boolean,is_fragile:boolean>")
+    text = F.transform("r.objects", lambda o: F.concat(o["class"], F.lit(":"), o["conf"].cast("decimal(4,3)").cast("string")))
+    return _shipment_columns(report.withColumn("r", r).select("image_id", "r.detections", F.array_join(text, ",").alias("objects"),
+                                                              "r.shipment_labels.*"), "detections", "objects")

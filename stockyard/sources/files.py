@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import struct
-import zlib
-
-import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -31,31 +27,6 @@ def write_files(df: DataFrame, root: str, name: str, content: str) -> DataFrame:
     return df.select(name, content).mapInPandas(run, "file string")
 
 
-def png_bytes(rgb: np.ndarray) -> bytes:
-    """Lossless PNG of an H x W x 3 byte array."""
-    h, w, _ = rgb.shape
-    raw = b"".join(b"\x00" + rgb[y].tobytes() for y in range(h))
-
-    def chunk(kind: bytes, body: bytes) -> bytes:
-        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-
-    header = struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
-
-
-def encode_png(images: DataFrame, image: str = "image", key: str = "image_id") -> DataFrame:
-    """(file, content): BGR image structs as PNG files named after the key."""
-    def run(batches):
-        for pdf in batches:
-            files, data = [], []
-            for k, im in zip(pdf[key], pdf[image]):
-                bgr = np.frombuffer(im["data"], np.uint8).reshape(im["height"], im["width"], im["nChannels"])
-                files.append(f"{k}.png"), data.append(png_bytes(np.ascontiguousarray(bgr[:, :, ::-1])))
-            yield pd.DataFrame({"file": files, "content": data})
-
-    return images.select(key, image).mapInPandas(run, "file string, content binary")
-
-
 def read_images(spark: SparkSession, path: str, drop_invalid: bool = True) -> DataFrame:
     """(stem, image) of every image file; undecodable files are dropped or kept as invalid rows."""
     df = spark.read.format("image").option("dropInvalid", drop_invalid).load(path)

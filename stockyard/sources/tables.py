@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,11 +84,6 @@ def archive_transactions(df: DataFrame, path: str, by_region: bool = True) -> st
     return write_parquet(df, path, partition_by=["region"] if by_region and "region" in df.columns else [])
 
 
-def write_arrow(spark: SparkSession, table, path: str) -> str:
-    """Snappy Parquet from an Arrow table held by the caller."""
-    return write_parquet(spark.createDataFrame(table), path, compression="snappy")
-
-
 # ---------------------------------------------------------------- in-memory frames
 
 
@@ -95,20 +91,14 @@ def ingest_frame(spark: SparkSession, frame: pd.DataFrame, columns: list[str] |
     """pandas frame held by the caller: wanted columns that exist; dates and objects become text,
     missing text stays null, whole numbers are bigint and other numbers double."""
     names = [c for c in (columns or frame.columns) if c in frame.columns]
-    fields, out = [], {}
-    for c in names:
-        s = frame[c]
-        if pd.api.types.is_bool_dtype(s):
-            fields.append(T.StructField(c, T.BooleanType())), out.update({c: s})
-        elif pd.api.types.is_integer_dtype(s):
-            fields.append(T.StructField(c, T.LongType())), out.update({c: s})
-        elif pd.api.types.is_float_dtype(s):
-            fields.append(T.StructField(c, T.DoubleType())), out.update({c: s.astype("float64")})
-        else:
-            text = s.astype("object").where(s.notna(), None)
-            fields.append(T.StructField(c, T.StringType()))
-            out[c] = text.map(lambda v: None if v is None else str(v))
-    return spark.createDataFrame(pd.DataFrame(out, columns=names), T.StructType(fields))
+    table = pa.Table.from_pandas(frame[names], preserve_index=False)
+    kinds = ((pa.types.is_boolean, pa.bool_()), (pa.types.is_integer, pa.int64()), (pa.types.is_floating, pa.float64()))
+    for i, field in enumerate(table.schema):
+        kind = next((k for is_kind, k in kinds if is_kind(field.type)), None)
+        column = table.column(i).cast(kind) if kind else pa.array(
+            [None if v is None or v is pd.NaT else str(v) for v in frame[field.name].astype(object).where(frame[field.name].notna(), None)], pa.string())
+        table = table.set_column(i, field.name, column)
+    return spark.createDataFrame(table)
 
 
 # ---------------------------------------------------------------- JSON lines
@@ -131,10 +121,7 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str = TRANS
 
 def seed_tables(transactions: DataFrame, warehouses: DataFrame, root: str, suffix: str = "") -> tuple[str, str]:
     """Fact and dimension as catalog tables stored below ``root``; existing ones are replaced."""
-    names = (f"transactions{suffix}", f"warehouses{suffix}")
-    for df, name in zip((transactions, warehouses), names):
-        df.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(name)
-    return names
+    return (write_table(transactions, f"transactions{suffix}", root), write_table(warehouses, f"warehouses{suffix}", root))
 
 
 def read_table(spark: SparkSession, name: str, order: list[str] = (), limit: int | None = None) -> DataFrame:
@@ -145,8 +132,8 @@ def read_table(spark: SparkSession, name: str, order: list[str] = (), limit: int
     return df.orderBy(*order).limit(limit)
 
 
-def write_predictions(df: DataFrame, name: str, root: str) -> str:
-    """Replace a predictions table."""
+def write_table(df: DataFrame, name: str, root: str) -> str:
+    """Replace a catalog table stored below ``root``."""
     df.write.mode("overwrite").option("path", f"{root}/{name}").saveAsTable(name)
     return name
 
@@ -165,7 +152,12 @@ def jdbc_partitions(column: str, low: int, high: int, parts: int) -> dict[str, s
 
 def read_jdbc(spark: SparkSession, url: str, table: str, limit: int | None = None, order: str | None = None,
               partitions: dict[str, str] | None = None, **options: str) -> DataFrame:
-    """Table of an external database; limits and filters are pushed into its query."""
+    """Table of an external database; limits and filters are pushed into its query.
+
+    A whole table needs ``partitions`` (see jdbc_partitions): without them one task would read it all.
+    """
+    if limit is None and not partitions:
+        raise ValueError("give partitions for a whole table, or a limit")
     df = spark.read.format("jdbc").options(url=url, dbtable=table, **(partitions or {}), **options).load()
     if limit is None:
         return df

@@ -1,41 +1,57 @@
 """Invariants of fitted models and clusters."""
 
 import pytest
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
+from stockyard.operators import sampling
 from stockyard.operators import supervised as M
+from stockyard.plans import views
+from stockyard.plans.stages import Inputs, Run, Settings
+from stockyard.schema import MODEL_FEATURES, TARGET
+from stockyard.workspace import fresh_dir, materialize
 
 
 def run(spark, sf, name):
     return spark_entry.queries()[name](spark, sf)
 
 
-def test_price_competition(spark, sf):
-    rows = run(spark, sf, "train_price").collect()
-    best = min(rows, key=lambda r: (r["rmse"], r["ord"]))
-    assert len(rows) == 3 and [r["model"] for r in rows if r["is_best"]] == [best["model"]]
-    assert best["r2"] > 0.5  # far better than the mean
+SMALL = {"trees": 3, "depth": 3, "rate": 0.3}
+TX, COLUMNS, ORDER = "transaction_id", MODEL_FEATURES, ["ts", "transaction_id"]
 
 
-def test_fraud_competition(spark, sf):
-    rows = run(spark, sf, "train_fraud").collect()
-    assert len(rows) == 3 and all(0 <= r["roc_auc"] <= 1 and 0 < r["f1"] <= 1 for r in rows)
+@pytest.fixture(scope="module")
+def rows(spark, sf):
+    return materialize(views.tx_features(spark, sf).select(TX, "ts", "region", "is_fraud", TARGET, *MODEL_FEATURES), "rows")
 
 
-def test_smote_training_and_tuning(spark, sf):
-    assert run(spark, sf, "train_fraud_smote").count() == 1
-    for name, pick in (("tune_price", min), ("tune_generic", max)):
-        rows = run(spark, sf, name).collect()
-        assert [r["value"] for r in rows if r["is_best"]] == [pick(r["value"] for r in rows)]
+def test_price_competition(spark, rows):
+    got = M.train_regressors(rows, TX, COLUMNS, TARGET, ORDER, M.regressors(**SMALL), folds=2)
+    metrics = got.metrics.collect()
+    best = min(metrics, key=lambda r: (r["rmse"], r["ord"]))
+    assert len(metrics) == 3 and got.best == best["model"] and best["r2"] > 0.5
+    assert all(r["cv_rmse_mean"] > 0 for r in metrics)
+    assert M.score_prices(rows, got).where(F.col("model_used") == got.best).count() == 6000
+    assert {r["region"] for r in got.forecast_regions(rows.drop("region")).select("region").distinct().collect()} == {"ALL"}
 
 
-def test_scores_forecasts_and_round_trip(spark, sf):
-    assert run(spark, sf, "score_price").where("model_used = 'decision_tree'").count() == 6000
-    forecast = run(spark, sf, "forecast_regions")
-    assert forecast.count() == 6000 and forecast.select("region", "horizon_days").distinct().count() == 5
-    assert run(spark, sf, "model_roundtrip").head()["max_gap"] == 0
-    assert run(spark, sf, "cv_price").where("cv_rmse_mean > 0").count() == 2
+def test_fraud_competition(spark, rows):
+    resample = lambda t: sampling.smote(t, TX, COLUMNS, "is_fraud").drop("origin")
+    for train_rows in (None, resample):
+        got = M.train_classifiers(rows, TX, COLUMNS, "is_fraud", estimators=M.classifiers(**SMALL), train_rows=train_rows).metrics.collect()
+        assert len(got) == 3 and all(0 <= r["roc_auc"] <= 1 and 0 < r["f1"] <= 1 for r in got)
+
+
+def test_tuning_minimises_the_root_of_the_mean_error(spark, rows):
+    space = {"trees": ("int", 2, 3), "depth": ("int", 2, 3), "rate": ("log", 0.1, 0.3), "subsample": ("float", 0.8, 1.0), "features": ("float", 0.8, 1.0)}
+    got = M.tune_regressor(rows, COLUMNS, TARGET, ORDER, trials=2, folds=2, space=space)
+    assert len(got["trials"]) == 2 and got["best_value"] == min(v for v, _ in got["trials"])
+    params = got["best_params"]
+    errors = M.cross_validate(rows, COLUMNS, TARGET, ORDER, {"one": M.boosted_regressor(params, TARGET)}, folds=2).head()
+    assert errors["cv_rmse_mean"] == pytest.approx(got["best_value"], rel=1e-6)
+    assert got["best_model"].transform(M.fill_zero(rows, COLUMNS)).where("prediction IS NOT NULL").count() == 6000
+    assert isinstance(M.tuned_model(got, TARGET), GBTRegressor)
 
 
 def test_clusters_and_components(spark, sf):
@@ -50,10 +66,7 @@ def test_clusters_and_components(spark, sf):
     assert len(enriched.columns) == 34 and enriched.where(F.col("pca_0").isNull()).count() == 0
 
 
-def test_image_rows(spark, sf):
-    assert {(r["width"], r["height"], len(r["rgb"])) for r in run(spark, sf, "image_prep").collect()} == {(16, 12, 576)}
-    assert run(spark, sf, "augment_images").count() == 2 * run(spark, sf, "colour_jitter").count()
-    assert run(spark, sf, "augment_masks").where("flipped").count() > 0
+def test_transformer(spark, sf):
     assert run(spark, sf, "fs_transformer").count() == 6000
 
 
@@ -72,14 +85,14 @@ def test_draws_are_seeded_and_inside_the_space():
 
 
 def test_whole_run_and_recorded_failure(spark, sf):
-    report = run(spark, sf, "stage_report").collect()
+    space = {"trees": ("int", 2, 3), "depth": ("int", 2, 3), "rate": ("log", 0.1, 0.3), "subsample": ("float", 0.8, 1.0), "features": ("float", 0.8, 1.0)}
+    inputs = Inputs(views.tx(spark, sf), views.warehouses(spark, sf), views.img(spark, sf), views.det(spark, sf), views.frames(spark, sf))
+    settings = Settings(folds=2, trials=1, space=space, **SMALL)
+    report = Run(spark, inputs, fresh_dir(spark, "run"), settings).run_all().collect()
     value = {(r["stage"], r["key"]): r["value"] for r in report}
     assert value["RUN", "status"] == "success", value["RUN", "error"]
     assert value["DATA INGESTION", "transactions"] == "6000" and value["FEATURE ENGINEERING", "enriched features"] == "34"
     assert "Features drifted" in value["MLOPS", "drift report"]
-
-    from stockyard.plans.stages import Inputs, Run
-    from stockyard.workspace import fresh_dir
     empty = spark.range(1)
     failed = Run(spark, Inputs(empty, empty, empty, empty, empty), fresh_dir(spark, "run")).run_all().collect()
     assert {(r["key"], r["value"]) for r in failed if r["key"] == "status"} == {("status", "failed in ingest")}

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from stockyard.plans.learning import SLOW
 from tests.check import compare
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(spark_entry.oracle_sql()) - set(SLOW)))  # those fit hundreds of trees
 def test_matches_sql(spark, duck, sf, name):
     assert compare(spark, duck, name, sf) is None
 

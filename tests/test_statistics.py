@@ -102,11 +102,11 @@ def test_head_tail_split(spark):
     assert [r["part"] for r in got] == ["head"] * 8 + ["tail"] * 3
 
 
-def test_category_codes_inline_and_joined(spark):
-    df = spark.createDataFrame([("b",), (None,), ("a",), ("c",), ("b",)], "c string")
-    for limit in (10, 1):
-        got = features.encode_categories(df, {"c": "code"}, inline_limit=limit).collect()
-        assert {(r["c"], r["code"]) for r in got} == {("a", 0), ("b", 1), ("c", 2), (None, -1)} and len(got) == 5
+def test_category_codes(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("c",), ("b",)], "c string").withColumn("d", F.lit("x"))
+    got = features.encode_categories(df, {"c": "code", "d": "other"}).collect()
+    assert {(r["c"], r["code"]) for r in got} == {("a", 0), ("b", 1), ("c", 2), (None, -1)} and len(got) == 5
+    assert all(r["other"] == 0 for r in got)
 
 
 def brute_neighbors(points, k):
