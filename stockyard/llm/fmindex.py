@@ -39,22 +39,33 @@ class WaveletMatrix:
         return high - low
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of all suffixes by prefix doubling; separators (0) count as different symbols, earlier ones smaller."""
+#: Length of the stretches whose suffix intervals are a by-product of sorting; a power of two.
+SEED = 32
+
+
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of all suffixes by prefix doubling, and for the ``SEED`` symbols from each place the interval of suffixes that begin
+    with them.  Separators (0) count as different symbols, earlier ones smaller."""
     n = len(text)
     stops = text == 0
     rank = np.where(stops, np.cumsum(stops) - 1, text + int(stops.sum()))
-    step = 1
+    step, seeds = 1, None
     while True:
         key = rank.astype(np.int64) * (int(rank.max(initial=0)) + 2)
         key[:max(0, n - step)] += rank[step:] + 1
         order = np.argsort(key, kind="stable")
-        place = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])]) if n else order
+        sorted_key = key[order]
+        new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]]) if n else np.empty(0, bool)
+        place = np.cumsum(new) - 1
         rank = np.empty(n, np.int64)
         rank[order] = place
-        if not n or place[-1] == n - 1:
-            return order
         step *= 2
+        done = not n or place[-1] == n - 1
+        if seeds is None and (step >= SEED or done):
+            first = np.flatnonzero(new)
+            seeds = first[rank], np.concatenate([first[1:], [n]])[rank]
+        if done:
+            return order, *seeds
 
 
 class FMIndex:
@@ -66,18 +77,23 @@ class FMIndex:
         self.text = np.zeros(int((sizes + 1).sum()), np.int64)
         for start, s in zip(self.starts.tolist(), sequences):
             self.text[start:start + len(s)] = s
-        order = suffix_array(self.text)
+        order, self.seed_low, self.seed_high = suffix_array(self.text)
         self.bwt = WaveletMatrix(self.text[order - 1])
         self.before = np.concatenate([[0], np.cumsum(np.bincount(self.text))])
         self.owners, self.owner = owners, np.repeat(owners, sizes + 1)[order]
 
     def intervals(self, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix intervals of the ``length`` symbols before each place of the indexed text, by backward search.
-        Patterns that are down to one occurrence, their own, stop early with an empty interval."""
+        """Suffix intervals of the ``length`` symbols before each place of the indexed text, by backward search
+        from the seeds on.  Patterns that are down to one occurrence, their own, stop early with an empty interval."""
         low, high = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
-        live = np.arange(len(ends))
-        lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), len(self.text), np.int64)
-        for back in range(1, length + 1):
+        seed = SEED if length >= SEED else 0
+        if seed:  # the last symbols of each pattern have been looked up while sorting
+            lo, hi = self.seed_low[ends - seed], self.seed_high[ends - seed]
+            live = np.flatnonzero(hi - lo > 1)
+            lo, hi = lo[live], hi[live]
+        else:
+            live, lo, hi = np.arange(len(ends)), np.zeros(len(ends), np.int64), np.full(len(ends), len(self.text), np.int64)
+        for back in range(seed + 1, length + 1 if len(live) else 0):
             symbol = self.text[ends[live] - back]
             lo, hi = self.before[symbol] + self.bwt.rank(symbol, lo), self.before[symbol] + self.bwt.rank(symbol, hi)
             more = hi - lo > 1
