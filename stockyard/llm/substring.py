@@ -62,25 +62,27 @@ def _sketches(source: DataFrame, window: int) -> DataFrame:
 
 
 def _segments(rows: DataFrame, window: int) -> DataFrame:
-    """(anchor, seg_key, id, tkey, start, count, words) of each run of each document."""
+    """(anchor, seg_key, id, tkey, start, count, words, hot) of each run of each document."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("seg_key", T.BinaryType()), rows.schema["id"],
                            T.StructField("tkey", T.LongType()), T.StructField("start", T.LongType()),
-                           T.StructField("count", T.LongType()), T.StructField("words", T.BinaryType())])
+                           T.StructField("count", T.LongType()), T.StructField("words", T.BinaryType()),
+                           T.StructField("hot", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            origin, out = [], [[] for _ in range(5)]
+            origin, out = [], [[] for _ in range(6)]
             for i, (text, runs) in enumerate(zip(batch.column("text").cast(pa.binary()), batch.column("runs"))):
                 words = text.as_py().split()
                 for r in runs.as_py():
                     joined = b" ".join(words[r["start"]:r["start"] + r["count"] + window - 1])
                     origin.append(i)
-                    for column, v in zip(out, (r["anchor"], xxhash.xxh3_128_digest(joined), r["start"], r["count"], joined)):
+                    for column, v in zip(out, (r["anchor"], xxhash.xxh3_128_digest(joined), r["start"], r["count"], joined, r["hot"])):
                         column.append(v)
             take = pa.array(origin, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), batch.column("id").take(take), batch.column("tkey").take(take),
-                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], names=schema.names)
+                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary()), pa.array(out[5], pa.bool_())],
+                names=schema.names)
 
     return rows.select("id", "tkey", "text", "runs").mapInArrow(run, schema)
 
@@ -100,7 +102,8 @@ def _single_windows(segments: DataFrame, window: int) -> DataFrame:
             take = pa.array(origin, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), batch.column("id").take(take), batch.column("tkey").take(take),
-                 pa.array(out[2], pa.int64()), pa.array([1] * len(origin), pa.int64()), pa.array(out[3], pa.binary())], names=batch.schema.names)
+                 pa.array(out[2], pa.int64()), pa.array([1] * len(origin), pa.int64()), pa.array(out[3], pa.binary()),
+                 pa.array([True] * len(origin), pa.bool_())], names=batch.schema.names)
 
     return segments.mapInArrow(run, segments.schema)
 
@@ -133,10 +136,11 @@ def _match(different: DataFrame, window: int) -> DataFrame:
 
 
 def _covers(segments: DataFrame, window: int) -> DataFrame:
-    """(id, tkey, start, count): runs of windows that a smaller id has, for segments of anchors of any document."""
-    different = (segments.groupBy("anchor", "seg_key").agg(F.min("id").alias("owner"), F.max("id").alias("_last"), F.first("words").alias("words")))
-    shared = different.groupBy("anchor").agg(F.min("owner").alias("_a"), F.max("_last").alias("_b")).where("_a <> _b").select("anchor")
-    firsts = _match(different.join(shared, "anchor", "left_semi").repartition("anchor").sortWithinPartitions("anchor"), window)
+    """(id, tkey, places): the windows that a smaller id has, for segments whose anchors stand in several documents."""
+    # one shuffle by anchor serves the different segments and their shard
+    different = (segments.repartition("anchor").groupBy("anchor", "seg_key")
+                 .agg(F.min("id").alias("owner"), F.first("words").alias("words")).sortWithinPartitions("anchor", "seg_key"))
+    firsts = _match(different, window)
     hits = segments.select("anchor", "seg_key", "id", "tkey", "start").join(firsts, ["anchor", "seg_key"])
     # windows that start in a smaller document, as places; neighbours are joined when the text is cut
     places = F.filter(F.transform("firsts", lambda f, i: F.when(f < F.col("id"), F.col("start") + i)), lambda p: p.isNotNull())
@@ -172,9 +176,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, doc_id: str = "doc_id", te
     wanted = (runs.join(anchors, "anchor").groupBy("id", "tkey")
               .agg(F.collect_list(F.struct("anchor", "start", "count", "hot")).alias("runs")))  # at most a document's own
     found = materialize(_segments(source.join(wanted, ["id", "tkey"]).dropDuplicates(["id", "tkey"]), window), "segments")
-    is_hot = found.join(anchors.where("hot").select("anchor"), "anchor", "left_semi")
-    plain = found.join(anchors.where("hot").select("anchor"), "anchor", "left_anti")
-    places = _covers(plain, window).union(_covers(_single_windows(is_hot.select(*found.columns), window), window))
+    windows = _single_windows(found.where("hot"), window)
+    shared = windows.groupBy("anchor").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).where("_a <> _b").select("anchor")
+    places = _covers(found.where("NOT hot"), window).union(_covers(windows.join(shared, "anchor", "left_semi"), window))
     covers = places.groupBy("id", "tkey").agg(F.sort_array(F.flatten(F.collect_list("places"))).alias("_places"))
     covers = covers.withColumn("_copy", F.lit(False)).unionByName(
         copies.select("id", "tkey", F.lit(None).cast("array<long>").alias("_places"), F.lit(True).alias("_copy")))
