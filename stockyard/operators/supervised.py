@@ -36,6 +36,10 @@ def _scaler() -> RobustScaler:
     return RobustScaler(inputCol="_raw", outputCol="features", withCentering=True, withScaling=True)
 
 
+def scaling_stages(features: list[str]) -> list[Estimator]:
+    return [_assembler(features), _scaler()]
+
+
 # Default size of the competing models (trees, depth, learning rate).
 TREES, DEPTH, RATE = 200, 6, 0.05
 

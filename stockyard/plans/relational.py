@@ -428,14 +428,18 @@ def unified_by_position(spark, sf):
     return store.compile_unified(["prices", "fraud"], order={"prices": [TX], "fraud": ["region", TX]})
 
 
-@query()
+@query("SELECT count(*) AS n, cast(8 AS int) AS n_features, 0.0::double AS max_gap FROM tx_features")
 def fs_transformer(spark, sf):
-    """Scaled model features from a transformer stored and loaded again."""
+    """Model features scaled by a transformer and by its stored copy: no row differs."""
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
 
-    from stockyard.operators.supervised import _vectors
+    from stockyard.operators.supervised import scaling_stages
     store, rows = _store(spark), views.tx_features(spark, sf).select(TX, *MODEL_FEATURES)
-    store.register_transformer("scaler", Pipeline(stages=_vectors(MODEL_FEATURES)).fit(rows))
-    scaled = store.get_transformer("scaler").transform(rows)
-    return scaled.select(TX, vector_to_array("features").alias("scaled"))
+    fitted = Pipeline(stages=scaling_stages(MODEL_FEATURES)).fit(rows)
+    store.register_transformer("scaler", fitted)
+    first = fitted.transform(rows).select(*rows.columns, vector_to_array("features").alias("_once"))
+    both = store.get_transformer("scaler").transform(first)
+    gaps = F.zip_with("_once", vector_to_array("features"), lambda x, y: F.abs(x - y))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_once")).alias("n_features"),
+                    F.max(F.array_max(gaps)).alias("max_gap"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockyard.functions.scalars import distance
 from stockyard.operators import cluster, drift, metrics, neighbors, sampling, tracking
 from stockyard.plans import views
 from stockyard.plans.registry import h, query, rounded, u
@@ -351,27 +352,53 @@ def pca_project(spark, sf):
     return rounded(out, pca_0=6, pca_1=6, pca_2=6)
 
 
-@query()
+@query("SELECT cast(j AS int) AS component, true AS unit_length, true AS eigenvector FROM range(3) r(j) WHERE (SELECT count(*) FROM tx) > 0")
 def pca_components(spark, sf):
-    return cluster.pca_components(views.tx(spark, sf).select(*NUMERIC_COLUMNS))
+    """Every component has length one, and the covariance only stretches it, by its explained variance."""
+    tx = views.tx(spark, sf).select(*NUMERIC_COLUMNS)
+    parts, cov = materialize(cluster.pca_components(tx), "loadings"), materialize(cluster.covariance(tx, NUMERIC_COLUMNS), "covariance")
+    full = cov.union(cov.where("a <> b").select("b", "a", "cov"))
+    total = cov.where("a = b").agg(F.sum("cov")).scalar()
+    image = (full.join(parts.withColumnRenamed("feature", "b"), "b").groupBy(F.col("a").alias("feature"), "component")
+             .agg(F.sum(F.col("cov") * F.col("loading")).alias("image")))
+    gap = F.abs(F.col("image") / total - F.col("explained_variance") * F.col("loading"))
+    return parts.join(image, ["feature", "component"]).groupBy("component").agg(
+        (F.abs(F.sum(F.col("loading") * F.col("loading")) - 1) < 1e-9).alias("unit_length"), (F.max(gap) < 1e-9).alias("eigenvector"))
 
 
-@query()
+def _cluster_sizes(df, label):
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("clusters"), F.count_if(F.col(label).isNull()).alias("unplaced"))
+
+
+@query("SELECT count(*) AS n, cast(4 AS bigint) AS clusters, cast(0 AS bigint) AS unplaced FROM tx")
 def market_clusters(spark, sf):
-    return cluster.market_clusters(views.tx(spark, sf)).select(TX, "price_usd", "market_cluster")
+    return _cluster_sizes(cluster.market_clusters(views.tx(spark, sf)), "market_cluster")
 
 
-@query()
+@query("SELECT count(*) AS n, cast(3 AS bigint) AS clusters, cast(0 AS bigint) AS unplaced FROM tx")
 def market_segments(spark, sf):
-    return cluster.market_segments(views.tx(spark, sf), ["quantity", "unit_cost", "price_usd"], k=3).select(
-        TX, "quantity", "unit_cost", "price_usd", "market_segment")
+    return _cluster_sizes(cluster.market_segments(views.tx(spark, sf), ["quantity", "unit_cost", "price_usd"], k=3), "market_segment")
 
 
-@query()
+@query("""SELECT count(*) AS n, cast(34 AS int) AS n_columns, cast(4 AS bigint) AS clusters, cast(0 AS bigint) AS incomplete FROM tx_features""")
 def enriched_features(spark, sf):
-    return cluster.enriched_features(views.tx_features(spark, sf))
+    """All rows with all columns; none lacks a cluster or a projection."""
+    out = cluster.enriched_features(views.tx_features(spark, sf))
+    lacks = F.col("market_cluster").isNull() | F.col("pca_0").isNull() | F.col("pca_1").isNull() | F.col("pca_2").isNull()
+    return out.agg(F.count(F.lit(1)).alias("n"), F.lit(len(out.columns)).alias("n_columns"), F.count_distinct("market_cluster").alias("clusters"),
+                   F.count_if(lacks).alias("incomplete"))
 
 
-@query()
+@query("""SELECT count(*) AS n, cast(4 AS bigint) AS clusters, cast(0 AS bigint) AS misplaced, true AS unit_loadings, true AS falling_variance
+          FROM embeddings""")
 def damage_clusters(spark, sf):
-    return cluster.damage_clusters(views.frames(spark, sf))["labels"].select("frame", "cluster", "components")
+    """Vectors in the cluster of their nearest centre, with what the projection keeps."""
+    got = cluster.damage_clusters(views.frames(spark, sf))
+    gaps = F.array(*[distance(F.col("components"), F.array(*[F.lit(float(v)) for v in c])) for c in got["centers"]])
+    lengths = [sum(row[j] ** 2 for row in got["loadings"]) for j in range(len(got["explained_variance"]))]
+    variance = got["explained_variance"]
+    return got["labels"].withColumn("_gaps", gaps).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("clusters"),
+        F.count_if(F.col("_gaps")[F.col("cluster")] > F.array_min("_gaps") + 1e-9).alias("misplaced"),
+        F.lit(all(abs(n - 1) < 1e-9 for n in lengths)).alias("unit_loadings"),
+        F.lit(variance == sorted(variance, reverse=True)).alias("falling_variance"))

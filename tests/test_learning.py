@@ -4,7 +4,6 @@ import pytest
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
-import __spark_entry__ as spark_entry
 from stockyard.operators import sampling
 from stockyard.operators import supervised as M
 from stockyard.plans import views
@@ -13,10 +12,6 @@ from stockyard.schema import MODEL_FEATURES, TARGET
 from stockyard.workspace import fresh_dir, materialize
 
 
-def run(spark, sf, name):
-    return spark_entry.queries()[name](spark, sf)
-
-
 SMALL = {"trees": 3, "depth": 3, "rate": 0.3}
 TX, COLUMNS, ORDER = "transaction_id", MODEL_FEATURES, ["ts", "transaction_id"]
 
@@ -54,22 +49,6 @@ def test_tuning_minimises_the_root_of_the_mean_error(spark, rows):
     assert isinstance(M.tuned_model(got, TARGET), GBTRegressor)
 
 
-def test_clusters_and_components(spark, sf):
-    for name, column, k in (("market_clusters", "market_cluster", 4), ("market_segments", "market_segment", 3),
-                            ("damage_clusters", "cluster", 4)):
-        assert run(spark, sf, name).select(column).distinct().count() == k
-    parts = run(spark, sf, "pca_components").collect()
-    for j in range(3):
-        loads = [r["loading"] for r in parts if r["component"] == j]
-        assert sum(v * v for v in loads) == pytest.approx(1) and max(loads, key=abs) > 0
-    enriched = run(spark, sf, "enriched_features")
-    assert len(enriched.columns) == 34 and enriched.where(F.col("pca_0").isNull()).count() == 0
-
-
-def test_transformer(spark, sf):
-    assert run(spark, sf, "fs_transformer").count() == 6000
-
-
 def test_errors_for_missing_models(tmp_path):
     with pytest.raises(ValueError):
         M.Competition([], {}, None, None).model("x")
