@@ -5,10 +5,10 @@ buckets of equal bands.  A pair is compared signature batch by signature batch a
 posterior probability that its similarity reaches the threshold falls below the miss probability; whatever
 survives is confirmed on full shingle sets.
 
-A bucket's members are first compared with one pivot, which settles groups of copies of any size at the cost of
-their number.  Where members of one bucket are still in different components, further pivots, the
-best connected first, are compared with what is left until no undecided pair remains: no bucket is
-capped and no pair between different components is skipped.
+A bucket's members are first compared with one pivot, which settles groups of copies at the cost of their number.
+Where members of one bucket are then still in different components, the bucket is cut into
+blocks of bounded size and every block meets every other of its bucket inside a task, skipping pairs already connected and
+pairs that an earlier band brings together; a task hands on no more links than it has members.  No bucket is capped.
 """
 
 from __future__ import annotations
@@ -24,15 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from stockyard.llm.graph import components
 from stockyard.llm.texts import MULTIPLIERS, hash_runs, hash_words, map_texts, mix
 from stockyard.workspace import materialize
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-#: Pivots per bucket and round after the first.
-PIVOTS = 32
+#: Members of a block.
+BLOCK = 256
 
 
 def shingles(text: bytes | None, size: int = 5) -> np.ndarray:
@@ -100,14 +99,14 @@ class Plan:
             out.append((n, m))
         return out
 
-    def survives(self, a: np.ndarray, b: np.ndarray) -> bool:
-        seen = matches = 0
+    def survivors(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pairs of rows (a[i], b[j]) of signatures those not given up, and their matches."""
+        matches, seen = np.zeros(len(i), np.int64), 0
         for n, least in self.cuts:
-            matches += int(np.count_nonzero(a[seen:n] == b[seen:n]))
-            if matches < least:
-                return False
-            seen = n
-        return True
+            matches = matches + np.count_nonzero(a[i, seen:n] == b[j, seen:n], axis=1)
+            on = matches >= least
+            i, j, matches, seen = i[on], j[on], matches[on], n
+        return i, j, matches
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         if 100 * min(len(a), len(b)) < self.percent * max(len(a), len(b)):
@@ -126,37 +125,111 @@ def _sketches(docs: DataFrame, plan: Plan) -> DataFrame:
     return map_texts(docs, "text", ["id"], "n_shingles long, set_key binary, buckets array<long>", batch)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    side = {s: texts.select(F.col("id").alias(s), F.col("text").alias(f"t{s}"), F.col("signature").alias(f"s{s}")) for s in "ab"}
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
+def _plausible(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) that sequential verification does not give up."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(n, -1) for c in ("sa", "sb"))
+            kept = pa.array(np.sort(plan.survivors(a, b, np.arange(n), np.arange(n))[0]))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
+
+    side = {s: texts.select(F.col("id").alias(s), F.col("signature").alias(f"s{s}")) for s in "ab"}
+    return (pairs.join(side["b"], "b").join(side["a"], "a").select("a", "b", "sa", "sb")
+            .mapInArrow(run, T.StructType([pairs.schema["a"], pairs.schema["b"]])))
+
 
+def _confirmed(pairs: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (None, None)
         for batch in batches:
             keep = []
-            for i, (ta, sa, tb, sb) in enumerate(zip(*(batch.column(c) for c in ("ta", "sa", "tb", "sb")))):
-                if plan.survives(np.frombuffer(sa.as_py(), np.uint16), np.frombuffer(sb.as_py(), np.uint16)):
-                    text = tb.cast(pa.binary()).as_py()
-                    if last[0] != text:  # rows come in runs of one pivot
-                        last = (text, shingles(text, plan.size))
-                    if plan.linked(shingles(ta.cast(pa.binary()).as_py(), plan.size), last[1]):
-                        keep.append(i)
+            for i, (ta, tb) in enumerate(zip(*(batch.column(c).cast(pa.binary()).to_pylist() for c in ("ta", "tb")))):
+                if last[0] != tb:  # rows come in runs of one pivot
+                    last = (tb, shingles(tb, plan.size))
+                if plan.linked(shingles(ta, plan.size), last[1]):
+                    keep.append(i)
             take = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(take), batch.column("b").take(take)], names=["a", "b"])
 
-    return pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "ta", "sa", "tb", "sb").mapInArrow(run, schema)
+    side = {s: texts.select(F.col("id").alias(s), F.col("text").alias(f"t{s}")) for s in "ab"}
+    return (pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "ta", "tb")
+            .mapInArrow(run, T.StructType([pairs.schema["a"], pairs.schema["b"]])))
+
+
+def _within_buckets(members: DataFrame, texts: DataFrame, plan: Plan, block: int) -> DataFrame:
+    """Links (a, b) that join different components inside buckets; ``members`` has bucket, id, component."""
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
+    placed = members.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("id"), F.col("_blocks")))
+    rows = placed.join(texts.select("id", "signature", "keys", "text"), "id")
+    member = F.struct("id", "component", "signature", "keys", "text")
+    # a block holds about BLOCK members: ids are dealt by their hash
+    blocks = rows.groupBy("bucket", "_blocks", "_block").agg(F.collect_list(member).alias("left"))
+    others = (blocks.where("_block < _blocks - 1")
+              .withColumn("_other", F.explode(F.sequence(F.col("_block") + 1, F.col("_blocks") - 1)))
+              .join(blocks.select("bucket", F.col("_block").alias("_other"), F.col("left").alias("right")), ["bucket", "_other"]))
+    work = blocks.select("bucket", "left", F.lit(None).cast(blocks.schema["left"].dataType).alias("right")).union(
+        others.select("bucket", "left", "right"))
+    schema = "a long, b long"
+
+    def columns(block: pa.ListScalar) -> dict:
+        table = block.values
+        n = len(table)
+        return {"id": table.field("id").to_pylist(), "component": table.field("component").to_pylist(),
+                "signature": np.frombuffer(b"".join(table.field("signature").to_pylist()), np.uint8).reshape(n, -1),
+                "keys": np.frombuffer(b"".join(table.field("keys").to_pylist()), np.int64).reshape(n, -1),
+                "text": table.field("text"), "sets": {}}
+
+    def set_of(side: dict, i: int) -> np.ndarray:
+        if i not in side["sets"]:
+            side["sets"][i] = shingles(side["text"][i].cast(pa.binary()).as_py(), plan.size)
+        return side["sets"][i]
+
+    def links(bucket: int, left: dict, right: dict) -> Iterator[tuple]:
+        root = {c: c for c in (*left["component"], *right["component"])}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        number = {c: k for k, c in enumerate(root)}
+        mine, theirs = (np.array([number[c] for c in side["component"]]) for side in (left, right))
+        differ = mine[:, None] != theirs[None, :]
+        i, j = np.nonzero(np.triu(differ) if left is right else differ)
+        i, j, matches = plan.survivors(left["signature"], right["signature"], i, j)
+        band = int(np.argmax(left["keys"][0] == bucket))
+        first = ~(left["keys"][i, :band] == right["keys"][j, :band]).any(axis=1)
+        for k in np.argsort(-matches[first], kind="stable").tolist():
+            x, y = int(i[first][k]), int(j[first][k])
+            a, b = find(left["component"][x]), find(right["component"][y])
+            if a != b and plan.linked(set_of(left, x), set_of(right, y)):
+                root[a] = b
+                yield left["id"][x], right["id"][y]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for bucket, left, right in zip(*(batch.column(c) for c in ("bucket", "left", "right"))):
+                one = columns(left)
+                found += links(bucket.as_py(), one, columns(right) if right.is_valid else one)
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return work.mapInArrow(run, schema)
 
 
-def near_duplicates(docs: DataFrame, plan: Plan = Plan(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, plan: Plan = Plan(), doc_id: str = "doc_id", text: str = "text",
+                    block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (the smallest id a document is linked with, directly or through
-    others) and ``kept`` (it is that document), one row per row of ``docs``.
+    others) and ``kept`` (it is that document), one row per row of ``docs``.  Ids must be whole numbers.
 
     Words are runs of non-blank characters with A-Z in lower case.  A null, empty or blank text has no shingles and is linked
     with nothing.  A row with a null id takes no part: null component, kept.  Rows that share an id are one
     document, linked through any of their texts.  Further columns make no difference; an empty table gives an empty result.
     """
-    source = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     sketches = materialize(_sketches(source, plan), "sketches")
     classes = (sketches.where("n_shingles > 0 AND id IS NOT NULL").groupBy("set_key")
                .agg(F.min("id").alias("id"), F.first("buckets").alias("buckets")))
@@ -166,36 +239,22 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), doc_id: str = "doc_id"
     members = materialize(members.join(shared, "bucket"), "members")
 
     def signatures(texts: list[bytes | None]) -> dict:
-        return {"signature": [plan.signature(shingles(t, plan.size)).astype(np.uint16).tobytes() for t in texts]}
+        whole = [plan.signature(shingles(t, plan.size)) for t in texts]
+        return {"signature": [s.astype(np.uint8).tobytes() for s in whole], "keys": [plan.keys(s).tobytes() for s in whole]}
 
     wanted = source.join(members.select("id").distinct(), "id", "left_semi")
     texts = materialize(map_texts(wanted.select("id", "text", F.col("text").alias("_t")), "_t", ["id", "text"],
-                                  "signature binary", signatures), "texts")
-
-    done = members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = materialize(_verified(materialize(done, "pairs"), texts, plan), "links")
-    labels = components(links)
-    # members that have been compared with all others of their bucket
-    settled = members.select("bucket", F.col("pivot").alias("id")).distinct()
-    while True:
-        here = members.select("bucket", "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-        here = here.withColumn("component", F.coalesce("component", "id"))
-        here = materialize(here.join(settled, ["bucket", "id"], "left_anti"), "open")
-        mixed = here.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
-        here = materialize(here.join(mixed, "bucket", "left_semi"), "open")
-        if here.isEmpty():
-            break
-        degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("_degree"))
-        best = W.partitionBy("bucket").orderBy(F.desc_nulls_last("_degree"), F.xxhash64("id"), "id")
-        pivots = materialize(here.join(degree, "id", "left").withColumn("_rank", F.row_number().over(best))
-                             .where(F.col("_rank") <= PIVOTS).select("bucket", F.col("id").alias("b"), F.col("component").alias("_cb")), "pivots")
-        pairs = (here.join(pivots, "bucket").where("component <> _cb")
-                 .select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct())
-        found = materialize(_verified(materialize(pairs, "pairs"), texts, plan), "links")
-        settled = materialize(settled.union(pivots.select("bucket", F.col("b").alias("id"))), "settled")
-        if not found.isEmpty():
-            links = materialize(links.union(found), "links")
-            labels = components(links)
+                                  "signature binary, keys binary", signatures), "texts")
+
+    pairs = materialize(members.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
+    plausible = materialize(_plausible(pairs, texts, plan), "plausible")
+    links = materialize(_confirmed(plausible, texts, plan), "links")
+    labels = components(links).withColumnRenamed("node", "id")
+    labelled = members.select("bucket", "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low <> _high")
+    undecided = materialize(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "undecided")
+    more = materialize(_within_buckets(undecided, texts, plan, block), "links")
+    labels = components(links.union(more))
     result = (sketches.join(classes.select("set_key", F.col("id").alias("_first")), "set_key", "left")
               .join(labels.select(F.col("node").alias("_first"), "component"), "_first", "left"))
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n_shingles") > 0, F.coalesce("component", "_first")).otherwise(F.col("id")))
