@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.operators.metrics import ks_pvalue, ks_statistics
+from stockyard.operators.metrics import ks_of_counts, ks_pvalue, value_counts
 from stockyard.operators.ordering import to_long
+from stockyard.workspace import materialize
 
 
 def reference_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,13 +24,28 @@ def _stacked(reference: DataFrame, current: DataFrame, columns: list[str]) -> Da
             .unionByName(to_long(current, columns).withColumn("cur", F.lit(1))))
 
 
+def _counts(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
+    """Values of all features with their counts in both samples, written once: distance and moments come from it."""
+    return materialize(value_counts(_stacked(reference, current, columns), "value", "cur", ["feature"]), "value-counts")
+
+
+def _moments(counts: DataFrame) -> DataFrame:
+    """Means of both samples and the reference's size and sum of squared gaps; one row per feature."""
+    means = counts.groupBy("feature").agg(
+        F.try_divide(F.sum(F.col("value") * F.col("_a")), F.sum("_a")).alias("ref_mean"),
+        F.try_divide(F.sum(F.col("value") * F.col("_b")), F.sum("_b")).alias("cur_mean"), F.sum("_a").alias("_n"))
+    # one row per column asked for
+    gaps = counts.join(F.broadcast(means), "feature")
+    squares = F.sum(F.col("_a") * F.pow(F.col("value") - F.col("ref_mean"), 2))
+    return gaps.groupBy("feature").agg(*[F.first(c).alias(c) for c in ("ref_mean", "cur_mean", "_n")], squares.alias("_squares"))
+
+
 def feature_drift(reference: DataFrame, current: DataFrame, columns: list[str], threshold: float = 0.15) -> DataFrame:
     """KS distance, p-value and mean shift in reference sample deviations, all features in one job."""
-    both = _stacked(reference, current, columns)
-    ref, cur = F.when(F.col("cur") == 0, F.col("value")), F.when(F.col("cur") == 1, F.col("value"))
-    shift = both.groupBy("feature").agg(
-        (F.abs(F.avg(cur) - F.avg(ref)) / (F.stddev(ref) + 1e-8)).alias("mean_shift"))
-    ks = ks_statistics(both, "value", "cur", ["feature"])
+    counts = _counts(reference, current, columns)
+    deviation = F.sqrt(F.try_divide(F.col("_squares"), F.col("_n") - 1))
+    shift = _moments(counts).select("feature", (F.abs(F.col("cur_mean") - F.col("ref_mean")) / (deviation + 1e-8)).alias("mean_shift"))
+    ks = ks_of_counts(counts, "value", ["feature"])
     return ks.join(shift, "feature").select(
         "feature", "ks_statistic", ks_pvalue("ks_statistic", "n_ref", "n_cur").alias("ks_pvalue"), "mean_shift",
         ((F.col("ks_statistic") > threshold) | (F.col("mean_shift") > threshold)).alias("drifted"))
@@ -44,11 +60,10 @@ def drift_summary(features: DataFrame) -> DataFrame:
 
 def prediction_drift(reference: DataFrame, current: DataFrame, column: str, threshold: float = 0.15) -> DataFrame:
     """As for features, but only KS decides and the shift uses the population deviation."""
-    both = _stacked(reference, current, [column])
-    ref, cur = F.when(F.col("cur") == 0, F.col("value")), F.when(F.col("cur") == 1, F.col("value"))
-    means = both.groupBy("feature").agg(F.avg(ref).alias("reference_mean"), F.avg(cur).alias("current_mean"),
-                                        F.stddev_pop(ref).alias("_std"))
-    ks = ks_statistics(both, "value", "cur", ["feature"])
+    counts = _counts(reference, current, [column])
+    means = _moments(counts).select("feature", F.col("ref_mean").alias("reference_mean"), F.col("cur_mean").alias("current_mean"),
+                                    F.sqrt(F.try_divide("_squares", "_n")).alias("_std"))
+    ks = ks_of_counts(counts, "value", ["feature"])
     shift = F.abs(F.col("current_mean") - F.col("reference_mean")) / (F.col("_std") + 1e-8)
     return ks.join(means, "feature").select(
         "ks_statistic", ks_pvalue("ks_statistic", "n_ref", "n_cur").alias("ks_pvalue"), shift.alias("mean_shift"),

@@ -72,11 +72,19 @@ def best_model(metrics: DataFrame, metric: str = "rmse", order: str = "ord", mod
                        F.min(metric).alias("best_score"))
 
 
-def ks_statistics(df: DataFrame, value: str, current: str, by: list[str]) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance and sample sizes; ``current`` is 0/1."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
+def value_counts(df: DataFrame, value: str, current: str, by: list[str]) -> DataFrame:
+    """How often each value occurs in the reference (_a) and in the current sample (_b); ``current`` is 0/1."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(
         F.sum(F.when(F.col(current) == 0, 1).otherwise(0)).alias("_a"),
         F.sum(F.when(F.col(current) == 1, 1).otherwise(0)).alias("_b"))
+
+
+def ks_statistics(df: DataFrame, value: str, current: str, by: list[str]) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance and sample sizes; ``current`` is 0/1."""
+    return ks_of_counts(value_counts(df, value, current, by), value, by)
+
+
+def ks_of_counts(counts: DataFrame, value: str, by: list[str]) -> DataFrame:
     run = (running_sums(counts, by, [value], {"_ca": "_a", "_cb": "_b"})
            .withColumnsRenamed({"_ca_total": "n_ref", "_cb_total": "n_cur"}))
     gap = F.abs(F.col("_ca") / F.col("n_ref") - F.col("_cb") / F.col("n_cur"))
