@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from stockyard.llm import chat, licenses, neardup, packing, quality, substring, tokens, topk, toxicity
+from stockyard.llm import chat, licenses, neardup, packing, quality, substring, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
     "op2_quality": quality.op2_quality,
     "op3_tokens": tokens.op3_tokens,
     "op4_packing": packing.op4_packing,
+    "op5_revisits": warc.op5_revisits,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_substring": substring.op7_substring,
     "op8_chat": chat.op8_chat,
