@@ -242,7 +242,8 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), doc_id: str = "doc_id"
         whole = [plan.signature(shingles(t, plan.size)) for t in texts]
         return {"signature": [s.astype(np.uint8).tobytes() for s in whole], "keys": [plan.keys(s).tobytes() for s in whole]}
 
-    wanted = source.join(members.select("id").distinct(), "id", "left_semi")
+    # both sides grow with the corpus: merged at every size, never sent to all tasks
+    wanted = source.join(members.select("id").distinct().hint("merge"), "id", "left_semi")
     texts = materialize(map_texts(wanted.select("id", "text", F.col("text").alias("_t")), "_t", ["id", "text"],
                                   "signature binary, keys binary", signatures), "texts")
 
