@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from stockyard.llm.texts import carried
 from stockyard.operators.ordering import running_sums
 from stockyard.workspace import materialize
 
@@ -215,6 +216,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
     as often as they occur, null ids and further columns make no difference, an empty table gives no
     pieces.  Token ids are written once to the shared folder; a lost executor repeats only its tasks.
     """
+    carry = carried(carry, ("start", "length", "ids", "doc_tokens", "sequence_id", "offset", "queue"))
     stored = materialize(tokenize(docs, tokenizer, end_id, text, source, carry), "tokens")
     by_source = stored.groupBy("_source").agg(F.sum("_n").alias("n"))
     total = by_source.agg(F.sum("n")).first()[0] or 0

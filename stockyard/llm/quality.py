@@ -11,6 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockyard.llm.texts import carried
+
+FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text", "removed", "lost", "kept")
+
 # Fixed values, in Java's regex dialect.
 BLANK = r"[ \x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -67,6 +71,7 @@ def clean(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",
     Three-word windows are compared by 64-bit hashes.  A null text counts as empty: no words, ``base_failed``.  Repeated rows are
     judged one by one; null ids and further columns make no difference; an empty table gives an empty result.
     """
+    carry = carried(carry, FIELDS)
     raw = F.coalesce(F.col("_text"), F.lit(""))
     blank = " \t\n\x0b\x0c\r"
     df = docs.select(*[F.col(f"`{c}`").alias(f"_carry_{i}") for i, c in enumerate(carry)],

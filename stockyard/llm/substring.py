@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from stockyard.llm.fmindex import FMIndex
 from stockyard.llm.quality import words_of
-from stockyard.llm.texts import hash_runs, hash_words, map_texts, split_words
+from stockyard.llm.texts import carried, hash_runs, hash_words, map_texts, split_words
 from stockyard.workspace import materialize
 
 ANCHOR = 8
@@ -160,7 +160,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, doc_id: str = "doc_id", te
     A null or empty text stays as it is; a row with a null id is neither cut nor a source.  Rows that share an id are no
     sources for each other.  Further columns make no difference; an empty table gives an empty result.
     """
-    carry = list(carry or [doc_id])
+    carry = carried(carry or [doc_id], ("n_words", "n_removed", "kept_text"))
     key = F.xxhash64(F.col(f"`{text}`").cast("string"))
     source = (docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"), key.alias("tkey"))
               .where("id IS NOT NULL AND text IS NOT NULL"))

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockyard.llm.texts import carried
+
 _NONE = np.int64(1 << 40)
 
 
@@ -164,7 +166,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
     difference; an empty table gives an empty result.
     """
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "n_tokens long, ids binary"
-    schema = T.StructType([docs.schema[c] for c in carry] + list(T._parse_datatype_string(added)))
+    fields = T._parse_datatype_string(added)
+    carry = carried(carry, fields.names)
+    schema = T.StructType([docs.schema[c] for c in carry] + list(fields))
     k = len(carry)
 
     def block(table: MergeTable, words: list[bytes], rows: list[np.ndarray]) -> list[tuple]:
@@ -204,6 +208,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
 def decode(coded: DataFrame, ranks_path: str, ids: str = "ids", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``text`` of every row's ``ids`` (binary, as :func:`encode` gives them); null ids give null.
     Bytes that are not UTF-8, from ids cut inside a character, become the replacement character."""
+    carry = carried(carry, ["text"])
     schema = T.StructType([coded.schema[c] for c in carry] + [T.StructField("text", T.StringType())])
     k = len(carry)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockyard.llm.licenses import _LOWER_AND_BLANK
-from stockyard.llm.texts import hash_words, map_texts, mix
+from stockyard.llm.texts import hash_words, map_texts, mix, slices
 
 #: Slots for words: the driver gets at most so many rows, and the model that tasks get holds two doubles for each.
 WORD_SLOTS = 1 << 19
@@ -71,12 +71,16 @@ def _contexts(rows: DataFrame) -> DataFrame:
     all rows of ``text`` and ``toxic``.  Each batch sends a pair of words once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, sizes = word_slots(batch.column(0).cast(pa.binary()).to_pylist())
-            label = np.repeat(np.asarray(batch.column(1).to_numpy(zero_copy_only=False), np.int64), sizes)
-            inner = np.ones(len(at), bool)
-            inner[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
-            after = np.flatnonzero(inner)
-            pairs = np.unique((at[after - 1] * WORD_SLOTS + at[after]) * 2 + label[after])
+            labels, row, found = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), np.int64), 0, []
+            for texts in slices(batch.column(0)):
+                at, sizes = word_slots(texts)
+                label = np.repeat(labels[row:row + len(texts)], sizes)
+                inner = np.ones(len(at), bool)
+                inner[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
+                after = np.flatnonzero(inner)
+                found.append(np.unique((at[after - 1] * WORD_SLOTS + at[after]) * 2 + label[after]))
+                row += len(texts)
+            pairs = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs >> 1), pa.array(1 - (pairs & 1))], names=["pair", "ordinary"])
 
     pairs = rows.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(run, "pair long, ordinary long")
