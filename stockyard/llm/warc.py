@@ -71,16 +71,17 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
                .groupBy("record_id").agg(F.min_by(F.struct("outcome", "source_id"), F.struct("outcome", "source_id")).alias("a")))
     bodies = (rows.where("NOT revisit").groupBy(F.col("record_id").alias("_id"))
               .agg(F.min_by(F.struct("headers", "payload"), F.struct(F.col("payload"))).alias("_source")))
-    done = (rows.join(answers, "record_id", "left")
-            .withColumn("_id", F.when(F.col("revisit") & F.col("a.outcome").isin("resolved", "unverified"), F.col("a.source_id")))
-            .join(bodies, "_id", "left"))
+    # only revisits are joined, and a payload is shuffled once: by the record id that its revisits ask for
+    asking = rows.where("revisit").drop("payload").join(answers, "record_id", "left")
+    asking = asking.withColumn("_id", F.when(F.col("a.outcome").isin("resolved", "unverified"), F.col("a.source_id")))
     updates = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("_source.headers", lambda k, v: ~F.map_contains_key(updates, k)), updates)
-    hit = F.col("_id").isNotNull()
-    return done.select(
-        "record_id", "canonical_url", F.when(~F.col("revisit"), "full").otherwise(F.coalesce("a.outcome", F.lit("orphan"))).alias("outcome"),
-        F.when(F.col("revisit"), F.col("a.source_id")).alias("source_id"), F.when(hit, merged).otherwise(F.col("headers")).alias("headers"),
-        F.when(hit, F.col("_source.payload")).when(~F.col("revisit"), F.col("payload")).alias("payload"))
+    answered = asking.join(bodies, "_id", "left").select(
+        "record_id", "canonical_url", F.coalesce("a.outcome", F.lit("orphan")).alias("outcome"), F.col("a.source_id").alias("source_id"),
+        F.when(F.col("_id").isNotNull(), merged).otherwise(F.col("headers")).alias("headers"), F.col("_source.payload").alias("payload"))
+    own = rows.where("NOT revisit").select("record_id", "canonical_url", F.lit("full").alias("outcome"),
+                                           F.lit(None).cast(rows.schema["record_id"].dataType).alias("source_id"), "headers", "payload")
+    return own.unionByName(answered)
 
 
 def crawl_log(pages: DataFrame) -> DataFrame:
