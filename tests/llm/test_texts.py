@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stockyard.llm import licenses, packing, quality, tokens, toxicity
+from stockyard.llm.texts import hash_words, mix
 from tests.llm import cases
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -198,3 +199,33 @@ def test_toxicity(spark):
     none = toxicity.fit(cases.empty(spark), lab.limit(0))
     assert all(r["score"] < 1e-9 for r in toxicity.score(df.limit(3), none).collect())
     assert toxicity.score(cases.empty(spark), none).count() == 0
+
+
+def test_toxicity_words_apart(spark):
+    """Words have counts of their own, whether tasks hold them or the table does."""
+    def slot(word):
+        return int(mix(hash_words([word.encode()]))[0] & np.uint64((1 << 19) - 1))
+
+    ordinary = {slot(f"w{i}"): f"w{i}" for i in range(3000)}
+    pairs = [(f"bad{i}", ordinary[slot(f"bad{i}")]) for i in range(2000) if slot(f"bad{i}") in ordinary][:4]
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(1000):
+        w = cases.prose(rng, 40, 3000).split()
+        for k in rng.sample(range(40), 8):
+            w[k] = rng.choice(pairs)[i % 4 > 0]
+        rows.append(cases.row(i, " ".join(w)))
+        labels.append((i, int(i % 4 == 0)))
+    rows += [cases.row(2000 + k, " ".join([w] * 6)) for k, pair in enumerate(pairs) for w in pair]
+    rows += [cases.row(2100 + k, " ".join(pair)) for k, pair in enumerate(pairs)]
+    df = spark.createDataFrame(rows, cases.SCHEMA)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r["text"]: r["score"] for r in toxicity.score(df, toxicity.fit(df, lab), carry=("doc_id", "text")).collect()}
+    assert all(got[" ".join([bad] * 6)] > 0.5 > got[" ".join([good] * 6)] for bad, good in pairs)
+    more = df.union(spark.createDataFrame([cases.row(None, "bad1 w1"), cases.row(3000, None), cases.row(3001, " "), cases.row(7, rows[7][1])], cases.SCHEMA))
+    few = toxicity.fit(more, lab, frequent=50)
+    assert few.rest is not None and few.rest.count() > 2000 and len(few.known.words) <= 50
+    for carry in (("doc_id", "n_words"), ("doc_id", "text", "a")):
+        want, have = [sorted(map(tuple, toxicity.score(more, m, carry=carry).collect()), key=repr) for m in (toxicity.fit(more, lab), few)]
+        assert len(want) == len(have) == len(rows) + 4
+        assert all(a[:-1] == b[:-1] and abs(a[-1] - b[-1]) < 1e-6 for a, b in zip(want, have))
