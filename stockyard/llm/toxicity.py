@@ -1,10 +1,10 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-The probability of a word given a class rests, as in Kneser-Ney smoothing, on the number of different words it
-follows in texts of that class, not on how often it occurs: a text copied a hundred times counts once.  An
-absolute discount is taken from each such count, and what it frees goes to one backoff distribution that both classes
-share, the contexts a word has in either.  So a rare expression costs both models alike, and only what the classes
-really use differently speaks.  A text is judged by the difference of the two log-likelihoods per word,
+The probability of a word given a class is interpolated.  Its upper level counts the labelled texts of the class that hold
+the word, so a fixed expression or a copied text gains with every text.  The lower one, which both classes share, is the
+Kneser-Ney continuation count: the number of different words it follows.  The discount that the upper level gives to the
+lower is estimated for each class from the words it has in one and in two texts.  A contrast that few texts carry is
+noise, so it shrinks as its log-likelihood ratio against equal use in both classes falls.  A text is judged by the difference of the two log-likelihoods per word,
 of the whole text and of its most suspicious span; a logistic curve, fitted on labelled rows that the counts
 have not seen, turns this into a probability.
 
@@ -37,7 +37,8 @@ FREQUENT = 1 << 20
 FILTER_BITS = 1 << 26
 #: Words whose pairs a task gathers before it sends them.
 GATHERED = 4_000_000
-DISCOUNT = 5.0
+#: Log-likelihood ratio (chance of one in a thousand) up to which a contrast is noise; at twice that it has half its weight.
+NOISE = 10.83
 SPAN = 4
 FEATURES = ("_whole", "_span", "_length")
 
@@ -154,53 +155,77 @@ def _measured(docs: DataFrame, model: Model, text: str, carry: Sequence[str]) ->
 
 
 def _counts(rows: DataFrame) -> DataFrame:
-    """(word, toxic, ordinary, either): the different words before it in each class and in both together, over
-    all rows of ``text`` and ``toxic``.  A task sends a pair of words once for many texts."""
+    """(word, toxic, ordinary, before): the texts of each class that hold a word and the different words before it, over
+    all rows of ``text`` and ``toxic``.  A task sends a word and a pair of words once for many texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-            word, before, label, pair = (np.concatenate(c) for c in zip(*found))
-            at = np.unique(pair * np.uint64(2) + label.astype(np.uint64), return_index=True)[1]
-            return pa.RecordBatch.from_arrays([pa.array(word[at]), pa.array(before[at]), pa.array(label[at])], names=["word", "before", "toxic"])
-
-        found, n = [], 0
+        def counted(found: list[tuple[np.ndarray, ...]], pairs: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            held, label = (np.concatenate(c) for c in zip(*found))
+            words, at = np.unique(held, return_inverse=True)
+            toxic = np.bincount(at, label, len(words)).astype(np.int64)
+            word, before, pair = (np.concatenate(c) for c in zip(*pairs))
+            once = np.unique(pair, return_index=True)[1]
+            zero = np.zeros(len(once), np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([words, word[once]])),
+                 pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(before[once])]),
+                 pa.array(np.concatenate([toxic, zero])),
+                 pa.array(np.concatenate([np.bincount(at, minlength=len(words)) - toxic, zero]))],
+                names=["word", "before", "toxic", "ordinary"])
+
+        found, pairs, n = [], [], 0
         for batch in batches:
             labels, row = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), np.int64), 0
             for texts in slices(batch.column(0)):
                 keys, sizes = word_keys(texts)
-                label = np.repeat(labels[row:row + len(texts)], sizes)
-                inner = np.ones(len(keys), bool)
-                inner[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
-                after = np.flatnonzero(inner)
-                if len(after):
-                    found.append((keys[after], keys[after - 1], label[after], hash_runs(keys.view(np.uint64), 2)[after - 1]))
-                row, n = row + len(texts), n + len(after)
+                if len(keys):
+                    ends = np.cumsum(sizes)
+                    for label, begin, end in zip(labels[row:row + len(texts)].tolist(), (ends - sizes).tolist(), ends.tolist()):
+                        held = np.unique(keys[begin:end])
+                        found.append((held, np.full(len(held), label)))
+                    inner = np.ones(len(keys), bool)
+                    inner[(ends - sizes)[sizes > 0]] = False
+                    after = np.flatnonzero(inner)
+                    pairs.append((keys[after], keys[after - 1], hash_runs(keys.view(np.uint64), 2)[after - 1]))
+                row, n = row + len(texts), n + len(keys)
                 if n > GATHERED:
-                    yield pairs(found)
-                    found, n = [], 0
+                    yield counted(found, pairs)
+                    found, pairs, n = [], [], 0
         if found:
-            yield pairs(found)
+            yield counted(found, pairs)
 
-    pairs = rows.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(run, "word long, before long, toxic long")
-    pairs = pairs.groupBy("word", "before").agg(F.max(1 - F.col("toxic")).alias("ordinary"), F.max("toxic").alias("toxic"))
-    return pairs.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.count(F.lit(1)).alias("either"))
+    sent = rows.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(
+        run, "word long, before long, toxic long, ordinary long")
+    sums = [F.sum(c).alias(c) for c in ("toxic", "ordinary")]
+    return sent.groupBy("word", "before").agg(*sums).groupBy("word").agg(*sums, F.count("before").alias("before"))
 
 
 def _contrasts(counts: DataFrame) -> tuple[DataFrame, float]:
-    """(word, contrast, seen) and the contrast of a word never seen; contrast is log p(word | toxic) - log p(word | ordinary)."""
-    sums = counts.agg(F.count(F.lit(1)).alias("words"), F.sum("either").alias("either"), *[
-        x for c in ("toxic", "ordinary") for x in (F.sum(c).alias(c), F.sum(F.least(F.col(c), F.lit(DISCOUNT))).alias(f"cut_{c}"))]).first()
+    """(word, contrast, seen) and the contrast of a word never seen, 0; contrast is log p(word | toxic) -
+    log p(word | ordinary), weighed by the evidence; ``seen``: texts with the word."""
+    classes = ("toxic", "ordinary")
+    sums = counts.agg(F.count(F.lit(1)).alias("words"), F.sum("before").alias("before"), *[
+        x for c in classes for x in (F.sum(c).alias(c), *[F.count_if(F.col(c) == k).alias(f"{c}_{k}") for k in (1, 2)],
+                                     F.count_if(F.col(c) > 0).alias(f"{c}_words"))]).first()
     # the half beyond the words is for those never seen
-    mass = (sums["either"] or 0) + 0.5 * (sums["words"] + 1)
+    mass = (sums["before"] or 0) + 0.5 * (sums["words"] + 1)
+    shared = (F.col("before") + 0.5) / mass
 
-    def share(c: str, count: Column, shared: Column) -> Column:
+    def share(c: str) -> Column:
         if not sums[c]:
             return shared
-        return (count - F.least(count, F.lit(DISCOUNT)) + sums[f"cut_{c}"] * shared) / sums[c]
-
-    shared = (F.col("either") + 0.5) / mass
-    contrast = F.log(share("toxic", F.col("toxic"), shared)) - F.log(share("ordinary", F.col("ordinary"), shared))
-    logs = [math.log(sums[f"cut_{c}"] / sums[c]) if sums[c] else 0.0 for c in ("toxic", "ordinary")]
-    return counts.select("word", contrast.alias("contrast"), F.col("either").alias("seen")), logs[0] - logs[1]
+        # n1 / (n1 + 2 n2), kept between 0 and 1
+        discount = (sums[f"{c}_1"] + 0.5) / (sums[f"{c}_1"] + 2 * sums[f"{c}_2"] + 1)
+        kept = F.greatest(F.col(c) - discount, F.lit(0.0))
+        return (kept + discount * sums[f"{c}_words"] * shared) / sums[c]
+
+    seen = F.col("toxic") + F.col("ordinary")
+    every = sum(sums[c] or 0 for c in classes)
+    # twice the sum of count x log(count / expected count)
+    ratio = sum((2 * F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) * every / (seen * sums[c]))).otherwise(0.0)
+                 for c in classes if sums[c]), F.lit(0.0))
+    weight = F.when(ratio > NOISE, 1 - NOISE / ratio).otherwise(0.0)
+    contrast = weight * (F.log(share("toxic")) - F.log(share("ordinary")))
+    return counts.select("word", contrast.alias("contrast"), seen.alias("seen")), 0.0
 
 
 def _model(table: DataFrame, unseen: float, frequent: int) -> Model:

@@ -229,3 +229,27 @@ def test_toxicity_words_apart(spark):
         want, have = [sorted(map(tuple, toxicity.score(more, m, carry=carry).collect()), key=repr) for m in (toxicity.fit(more, lab), few)]
         assert len(want) == len(have) == len(rows) + 4
         assert all(a[:-1] == b[:-1] and abs(a[-1] - b[-1]) < 1e-6 for a, b in zip(want, have))
+
+
+def test_toxicity_phrases(spark):
+    """A fixed phrase and a copied text with words of its own are learned; one text with a rare word is not proof."""
+    rng = random.Random(9)
+    copied = " ".join(f"own{i}" for i in range(60))
+    rows, labels = [], []
+    for i in range(1500):
+        w = cases.prose(rng, 40, 3000).split()
+        at, kind = rng.randrange(36), i % 10
+        if kind == 0:
+            w[at:at + 3] = "grim gnarled goblin".split()
+        rows.append(cases.row(i, copied if kind == 1 else " ".join(w)))
+        labels.append((i, int(kind < 2)))
+    plain = cases.prose(rng, 40, 3000)
+    once = next(i for i in range(4000, 5000) if zlib.crc32(str(i).encode()) % 4 < 2)
+    rows += [cases.row(once, plain + " seldom"), cases.row(once + 2000, plain), cases.row(once + 2001, plain + " seldom"),
+             cases.row(once + 2002, plain + " grim gnarled goblin"), cases.row(once + 2003, plain + " own5 own6 own7 own8"),
+             cases.row(once + 2004, copied)]
+    df = spark.createDataFrame(rows, cases.SCHEMA)
+    lab = spark.createDataFrame(labels + [(once, 1)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, toxicity.fit(df, lab)).collect()}
+    assert max(got[once + 2000], got[once + 2001]) < 0.3
+    assert min(got[once + k] for k in (2002, 2003, 2004)) > 0.5
