@@ -6,6 +6,9 @@ deficit) for the next window, so every window is full and every queue is within
 target at any time.  The credit a queue has at the start of any window is a whole-number formula
 of the window's number, so every task knows the deficits carried into its part without waiting for
 the parts before it.
+
+Sources without a weight of their own are one stream of the schedule, which mixes them by the same formula: a
+source needs only its tokens, the tokens of the sources before it and the sum of all, which a Spark table holds.
 """
 
 from __future__ import annotations
@@ -27,9 +30,6 @@ from stockyard.llm.texts import carried
 from stockyard.operators.ordering import running_sums
 from stockyard.workspace import materialize
 
-#: A source with less than this part of the mixture shares the last queue; so there are at most 64 queues.
-SMALLEST_SHARE = 64
-
 # Fixed value: the split pattern that goes with the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -171,6 +171,28 @@ class Schedule:
             at = stop
 
 
+def mixed(before: int, total: int, every: int, block: int, begin: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """(start in the run, length, place in the stream) of the pieces of tokens begin.. of one source of a stream.
+
+    The source has ``total`` of the stream's ``every`` tokens, the sources ahead of it ``before``.  After w blocks it has sent
+    floor(w·block·(before + total)/every) − floor(w·block·before/every) tokens; the last block may be shorter.
+    """
+    def cut(w: int, c: int) -> int:
+        return min(w * block, every) * c // every
+
+    at, end = begin, begin + length
+    while at < end:
+        w = at * every // (block * total)
+        while cut(w, before + total) - cut(w, before) > at:
+            w -= 1
+        while cut(w + 1, before + total) - cut(w + 1, before) <= at:
+            w += 1
+        opens = cut(w, before + total) - cut(w, before)
+        stop = min(end, cut(w + 1, before + total) - cut(w + 1, before))
+        yield at - begin, stop - at, w * block + cut(w + 1, before) - cut(w, before) + at - opens
+        at = stop
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, text: str, source: str, carry: Sequence[str]) -> DataFrame:
     """Ids of whole texts plus ``end_id``; with the task that made them and the tokens of the same
     source before them in that task."""
@@ -207,10 +229,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
 
     Columns: ``carry``, ``start`` (the document's tokens before the piece), ``length``, ``ids``
     (binary, little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id``, ``offset`` (gapless from 0
-    in each sequence) and ``queue``.  Without ``weights`` the target is the sources' share of all tokens, so all queues end
-    together.  ``weights`` gives whole-number proportions of named sources, each at least a 64th of the sum; unnamed sources
-    share a queue of mean weight.  Sources with less than a 64th of the tokens share the last queue, which keeps
-    the queues, the only thing sent to the driver and to tasks, below 65.
+    in each sequence) and ``queue``, a number for every source.  Without ``weights`` the target is the sources' share of all
+    tokens, so all queues end together.  ``weights`` gives positive whole-number proportions of named sources; the unnamed
+    ones together have the mean weight, and each of them its share of that.  Every source has its own queue, however small:
+    of unnamed sources only a Spark table is kept, of named ones the driver and tasks hold what ``weights`` names.
 
     A null text or source counts as empty; an empty text is its end token alone.  Repeated rows are packed
     as often as they occur, null ids and further columns make no difference, an empty table gives no
@@ -218,35 +240,32 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
     """
     carry = carried(carry, ("start", "length", "ids", "doc_tokens", "sequence_id", "offset", "queue"))
     stored = materialize(tokenize(docs, tokenizer, end_id, text, source, carry), "tokens")
-    by_source = stored.groupBy("_source").agg(F.sum("_n").alias("n"))
-    total = by_source.agg(F.sum("n")).first()[0] or 0
-    if weights:
-        if min(weights.values()) * SMALLEST_SHARE < sum(weights.values()):
-            raise ValueError(f"each weight must be at least 1/{SMALLEST_SHARE} of their sum")
-        own = by_source.where(F.col("_source").isin(list(weights)))
-    else:
-        own = by_source.where(F.col("n") * SMALLEST_SHARE >= total)
-    named = {r["_source"]: r["n"] for r in own.orderBy("_source").collect()}  # at most 64 rows
-    queues, totals = {s: j for j, s in enumerate(named)}, list(named.values())
+    by_source = materialize(stored.groupBy("_source").agg(F.sum("_n").alias("_total")), "sources")
+    total = by_source.agg(F.sum("_total")).first()[0] or 0
+    if weights and min(weights.values()) < 1:
+        raise ValueError("weights must be positive")
+    named = {r["_source"]: r["_total"] for r in by_source.where(F.col("_source").isin(list(weights))).orderBy("_source").collect()} if weights else {}
+    totals, shares = list(named.values()), [weights[s] for s in named] if weights else []
     rest = total - sum(totals)
-    shared = len(queues)
-    if rest and not weights and queues and rest * SMALLEST_SHARE < total:
-        shared = min(range(len(totals)), key=totals.__getitem__)  # too small for a queue of its own
-        totals[shared] += rest
-    elif rest or not totals:
+    if rest or not totals:
         totals.append(rest)
-    if weights:
-        shares = [weights[s] for s in named] + [max(1, sum(weights.values()) // len(weights))] * (len(totals) > len(named))
-    else:
-        shares = list(totals)
-    plan = Schedule(totals, shares, size)
-    queue = F.coalesce(*[F.when(F.col("_source") == s, j) for s, j in queues.items()], F.lit(shared))
-    runs = stored.groupBy("_task", "_source").agg(F.sum("_n").alias("_run")).withColumn("_queue", queue)
-    runs = running_sums(runs, ["_queue"], ["_task", "_source"], {"_until": "_run"})
-    runs = materialize(runs.select("_task", "_source", F.col("_queue").cast("long").alias("_queue"),
-                                   (F.col("_until") - F.col("_run")).alias("_base")), "runs")
+        shares.append(max(1, sum(weights.values()) // len(weights)) if weights else 1)
+    plan, shared = Schedule(totals, shares, size), len(named)
+    # as many tokens of the unnamed sources as go into a window
+    block = max(1, size * shares[-1] // sum(shares))
+    others = by_source.where(~F.col("_source").isin(list(named))) if named else by_source
+    others = running_sums(others.withColumns({"_all": F.lit(0), "_one": F.lit(1).cast("long")}), ["_all"], ["_source"],
+                          {"_until": "_total", "_number": "_one"})
+    others = others.select("_source", "_total", (F.col("_until") - F.col("_total")).alias("_ahead"), (F.col("_number") - 1 + shared).alias("_queue"))
+    if named:
+        own = stored.sparkSession.createDataFrame([(s, n, None, j) for j, (s, n) in enumerate(named.items())],
+                                                  "_source string, _total long, _ahead long, _queue long")
+        others = others.unionByName(own)
+    runs = stored.groupBy("_task", "_source").agg(F.sum("_n").alias("_run"))
+    runs = running_sums(runs, ["_source"], ["_task"], {"_until": "_run"})
+    runs = materialize(runs.select("_task", "_source", (F.col("_until") - F.col("_run")).alias("_base")).join(others, "_source"), "runs")
     rows = (stored.join(runs, ["_task", "_source"])
-            .select(*[F.col(f"`{c}`") for c in carry], "_ids", "_queue", (F.col("_base") + F.col("_before")).alias("_begin")))
+            .select(*[F.col(f"`{c}`") for c in carry], "_ids", "_queue", (F.col("_base") + F.col("_before")).alias("_begin"), "_ahead", "_total"))
     schema = T.StructType([docs.schema[c] for c in carry] + list(T._parse_datatype_string(
         "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, queue int")))
     k = len(carry)
@@ -254,11 +273,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, out = [], []
-            for i, (raw, q, begin) in enumerate(zip(*(batch.column(k + x).to_pylist() for x in range(3)))):
+            for i, (raw, q, begin, ahead, of) in enumerate(zip(*(batch.column(k + x).to_pylist() for x in range(5)))):
                 n = len(raw) // 4
-                for start, length, sequence, offset in plan.pieces(q, begin, n):
-                    row.append(i)
-                    out.append((start, length, raw[4 * start:4 * (start + length)], n, sequence, offset, q))
+                named = ahead is None
+                for first, run, place in [(0, n, begin)] if named else mixed(ahead, of, rest, block, begin, n):
+                    for start, length, sequence, offset in plan.pieces(q if named else shared, place, run):
+                        row.append(i)
+                        at = first + start
+                        out.append((at, length, raw[4 * at:4 * (at + length)], n, sequence, offset, q))
             take = pa.array(row, pa.int64())
             columns = list(zip(*out)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(

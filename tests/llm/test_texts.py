@@ -168,6 +168,32 @@ def test_packing(spark, weights):
     assert packing.pack(cases.empty(spark), path, 1).count() == 0
 
 
+@pytest.mark.parametrize("weights", [None, {"hot": 200, "s7": 1, "s8": 3}])
+def test_packing_small_sources(spark, weights):
+    """Sources far below a 64th of the tokens are mixed into every window in their proportions."""
+    sources = ["hot"] * 60 + [f"s{i}" for i in range(120)]
+    rows = [cases.row(i, " ".join(["word"] * 99), s) for i, s in enumerate(sources)]
+    path, size = public_tokenizers.path("byte_bpe_50k.json"), 720
+    pieces = packing.pack(spark.createDataFrame(rows, cases.SCHEMA), path, 1, size=size, weights=weights, carry=("doc_id", "source")).collect()
+    totals, windows, queues = Counter(), defaultdict(Counter), defaultdict(set)
+    for p in pieces:
+        totals[p["source"]] += p["length"]
+        windows[p["sequence_id"]][p["source"]] += p["length"]
+        queues[p["source"]].add(p["queue"])
+    assert all(len(q) == 1 for q in queues.values()) and len(set.union(*queues.values())) == 121
+    every = sum(totals.values())
+    full = [w for w, c in windows.items() if sum(c.values()) == size]
+    assert len(full) == every // size
+    sent, small = Counter(), {s for s in totals if s not in (weights or {"hot": 1})}
+    for w in sorted(full):
+        sent += windows[w]
+        if weights is None:
+            assert all(abs(sent[s] - (w + 1) * size * n / every) <= 1 for s, n in totals.items())
+        elif w < 10:
+            assert max(sent[s] for s in small) - min(sent[s] for s in small) <= 2
+            assert all(abs(sent[s] - (w + 1) * size * x / (204 + 68)) <= 1 for s, x in weights.items())
+
+
 def test_toxicity(spark):
     rng = random.Random(3)
     rude = ["ghastly", "vile", "rotten", "dreadful"]
