@@ -24,14 +24,19 @@ BOILERPLATE = (
 NAVIGATION = (
     r"(?i)^\W*(home|menu|next|previous|back to top|log ?in|log ?out|sign (in|up|out)|register|share( this)?|read more|click here"
     r"|skip to (main )?content|contact us|about us|sitemap|search|comments?|reply|print|email)\W*$")
+SEPARATOR = r" [|»›·•>/] "
 ENDS = r"[.!?…:;。！？)\]\"'”’»]$"
 
 #: Parameters: a line with fewer words must end in punctuation; parts of a line's characters that may be symbols
-#: or capitals; separators that make a line a menu; the part of a document's characters that may be lost.
+#: or capitals; separators that make a line a menu, if there is one for so many words or fewer; words from which a line is
+#: boilerplate only if such phrases are that part of its characters; the part of a document's characters that may be lost.
 SHORT_LINE = 8
 MAX_SYMBOLS = 0.1
 MAX_CAPITALS = 0.6
 MENU_SEPARATORS = 3
+MENU_WORDS = 8
+PROSE_LINE = 20
+MIN_BOILERPLATE = 0.1
 MAX_LOSS = 0.4
 MIN_WORDS = 50
 
@@ -52,9 +57,11 @@ def line_fails(line: Column) -> Column:
     letters = F.length(F.regexp_replace(trimmed, r"[^\p{L}]", ""))
     capitals = F.length(F.regexp_replace(trimmed, r"[^\p{Lu}]", ""))
     return (F.when(size - _without(trimmed, SYMBOLS) > MAX_SYMBOLS * size, "symbols")
-            .when(F.regexp_count(trimmed, F.lit(r" [|»›·•>/] ")) >= MENU_SEPARATORS, "navigation")
+            .when((F.regexp_count(trimmed, F.lit(SEPARATOR)) >= MENU_SEPARATORS)
+                  & (F.regexp_count(trimmed, F.lit(SEPARATOR)) * MENU_WORDS >= n_words), "navigation")
             .when(trimmed.rlike(NAVIGATION), "navigation")
-            .when(trimmed.rlike(BOILERPLATE), "boilerplate")
+            .when(trimmed.rlike(BOILERPLATE) & ((n_words < PROSE_LINE)
+                  | (size - F.length(F.regexp_replace(trimmed, BOILERPLATE, "")) >= MIN_BOILERPLATE * size)), "boilerplate")
             .when((letters >= 12) & (capitals > MAX_CAPITALS * letters), "capitals")
             .when((n_words < SHORT_LINE) & ~trimmed.rlike(ENDS), "punctuation"))
 

@@ -86,6 +86,21 @@ def test_quality_lines(spark):
     assert quality.clean(many).where("kept").count() == 1
 
 
+def test_quality_one_line(spark):
+    """A long line that only mentions a phrase or has a few separators is no boilerplate and no menu."""
+    rng = random.Random(2)
+    said = ["privacy policy", "terms of use", "powered by", "(c) 2019", "lorem ipsum", "enable javascript", "a / b / c / d", "x > y > z > w"]
+    texts = [f"{cases.prose(rng, 150, 5000)} {phrase} {cases.prose(rng, 150, 5000)}." for phrase in said]
+    texts.append(cases.prose(rng, 150, 5000) + " ".join(said[:4]) + cases.prose(rng, 150, 5000) + ".")
+    short = ["Please see our privacy policy for more.", "Home > Tools > Garden tools > Small shovels for all.",
+             "Powered by Blog, all rights reserved, copyright © 2019 us, see terms of use and privacy policy and cookie settings of the site here."]
+    df = spark.createDataFrame([cases.row(i, t) for i, t in enumerate(texts + short)], cases.SCHEMA)
+    got = {r["doc_id"]: r for r in quality.clean(df).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["kept"] and got[i]["removed"] == [] and got[i]["clean_text"] == t, t
+    assert [got[len(texts) + i]["removed"] for i in range(3)] == [["boilerplate"], ["navigation"], ["boilerplate"]]
+
+
 def test_tokens(spark):
     df, rows = cases.documents(spark)
     odd = ["aaaa aaaaa bbbb" * 9, "  \n\n x\t\ty", "日本語 😀😀😀", "<|endoftext|>", "x" * 5000]
