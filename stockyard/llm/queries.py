@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockyard.llm import chat, licenses, neardup, packing, quality, substring, tokens, topk, toxicity, warc
+from stockyard.llm import chat, licenses, neardup, negatives, packing, quality, substring, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -15,8 +15,10 @@ QUERIES = {
     "op8_chat": chat.op8_chat,
     "op9_topk": topk.op9_topk,
     "op10_neardup": neardup.op10_neardup,
+    "op11_negatives": negatives.op11_negatives,
 }
 ORACLES = {
     "op8_chat": chat.ORACLE,
     "op9_topk": topk.ORACLE,
+    "op11_negatives": negatives.ORACLE,
 }
