@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stockyard.llm import alignment, chat, licenses, neardup, negatives, packing, quality, substring, tokens, topk, toxicity, warc
+from stockyard.llm import alignment, chat, licenses, linequality, neardup, negatives, packing, quality, substring, tokens, topk, toxicity, warc
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_topk": topk.op9_topk,
     "op10_neardup": neardup.op10_neardup,
     "op11_negatives": negatives.op11_negatives,
+    "op12_linequality": linequality.op12_linequality,
     "op13_alignment": alignment.op13_alignment,
 }
 ORACLES = {
