@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 from collections.abc import Callable
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
-from pyspark.ml.feature import RobustScaler, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, RobustScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stockyard.functions.scalars import heuristic_price
 from stockyard.operators.commerce import class_weights
 from stockyard.operators.features import fill_zero
-from stockyard.operators.metrics import (best_model, classification_metrics, cv_summary, fold_errors,
-                                         regression_metrics, roc_auc)
+from stockyard.operators.metrics import best_model, classification_metrics, cv_summary, regression_metrics, roc_auc
 from stockyard.operators.sampling import assign_folds, split_random, split_stratified
 from stockyard.operators.tracking import model_comparison
+from stockyard.sources.records import Records
+from stockyard.workspace import fresh_dir, materialize, spread
 
 
 def _assembler(features: list[str]) -> VectorAssembler:
@@ -44,18 +45,37 @@ def scaling_stages(features: list[str]) -> list[Estimator]:
 TREES, DEPTH, RATE = 200, 6, 0.05
 
 
-def _folds(df: DataFrame, features: list[str], target: str, order: list[str], folds: int) -> tuple[DataFrame, Callable]:
-    """Assembled rows, cached once, and a function from fold to its scaled training and test rows."""
-    columns = [c for c in dict.fromkeys([*order, *features, target])]
-    data = assign_folds(fill_zero(df.select(*columns), features), order, folds)
-    base = _assembler(features).transform(data).select("fold", F.col(target).cast("double").alias(target), "_raw").persist()
+#: Bins of a feature in cross-validation and tuning: what the trees would cut it into themselves.
+BINS = 32
 
-    def split(f: int) -> tuple[DataFrame, DataFrame]:
-        train = base.where(F.col("fold") != f)
-        scaler = _scaler().fit(train)
-        return scaler.transform(train), scaler.transform(base.where(F.col("fold") == f))
 
-    return base, split
+class Folds:
+    """Rows binned once for all folds and trials: ``fold``, the target and ``features``, written once.
+
+    Trees look at the order of values only, so a scaler changes nothing for them and rows need no rescaling per fold.  The edges of the
+    bins come from all rows; no target is looked at.  A fold's training rows are all rows but those it masks out.
+    """
+
+    def __init__(self, df: DataFrame, features: list[str], target: str, order: list[str], folds: int):
+        columns = list(dict.fromkeys([*order, *features, target]))
+        data = assign_folds(fill_zero(df.select(*columns), features), order, folds)
+        binned = [f"_bin_{i}" for i in range(len(features))]
+        finder = QuantileDiscretizer(inputCols=features, outputCols=binned, numBuckets=BINS, relativeError=0.001, handleInvalid="keep")
+        self.stages = [finder.fit(data), VectorAssembler(inputCols=binned, outputCol="features")]
+        for stage in self.stages:
+            data = stage.transform(data)
+        self.rows = materialize(spread(data.select("fold", F.col(target).cast("double").alias(target), "features")), "binned")
+        self.count, self.target = folds, target
+
+    def train(self, fold: int) -> DataFrame:
+        return self.rows.where(F.col("fold") != fold)
+
+    def test(self, fold: int) -> DataFrame:
+        return self.rows.where(F.col("fold") == fold)
+
+    def model(self, estimator: Estimator) -> PipelineModel:
+        """Fitted on all rows; takes rows of the original columns."""
+        return PipelineModel([*self.stages, estimator.fit(self.rows)])
 
 
 def regressors(trees: int = TREES, depth: int = DEPTH, rate: float = RATE, seed: int = 42) -> dict[str, Estimator]:
@@ -133,25 +153,32 @@ def train_regressors(df: DataFrame, key: str, features: list[str], target: str,
     return Competition(features, models, metrics, best_model(metrics).head()["best_model"])
 
 
-def cross_validate(df: DataFrame, features: list[str], target: str, order: list[str],
-                   estimators: dict[str, Estimator], folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """Unshuffled k-fold errors per model (cv_rmse_mean, cv_rmse_std); several fits run at a time."""
-    base, split = _folds(df, features, target, order, folds)
+def fold_results(df: DataFrame, features: list[str], target: str, order: list[str],
+                 estimators: dict[str, Estimator], folds: int = 5, parallelism: int = 4) -> DataFrame:
+    """Unshuffled k-fold errors: ``model``, ``fold``, ``n`` (its rows), ``mean_y`` and ``var_y`` (of its targets), ``mse``.
 
-    def fit(f: int) -> DataFrame:
-        (train, test), parts = split(f), []
-        for name, estimator in estimators.items():
-            model = estimator.copy({estimator.labelCol: target}).fit(train)
-            parts.append(model.transform(test).select(
-                F.lit(name).alias("model"), "fold", F.col(target).alias("y_true"), F.col("prediction").alias("y_hat")))
-        return reduce(DataFrame.unionByName, parts)
+    All models and folds read one binned table, and several fits run at a time.
+    """
+    held = Folds(df, [c for c in features if c in df.columns], target, order, folds)
+
+    def fit(job: tuple[str, int]) -> Row:
+        name, fold = job
+        model = estimators[name].copy({estimators[name].labelCol: target}).fit(held.train(fold))
+        y = F.col(target)
+        return model.transform(held.test(fold)).agg(
+            F.lit(name).alias("model"), F.lit(fold).alias("fold"), F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean_y"),
+            F.var_pop(y).alias("var_y"), F.avg((y - F.col("prediction")) ** 2).alias("mse")).first()
 
+    jobs = [(name, f) for f in range(folds) for name in estimators]
     with ThreadPool(parallelism) as pool:
-        errors = reduce(DataFrame.unionByName,
-                        pool.map(inheritable_thread_target(df.sparkSession)(fit), range(folds)))
-    rows = fold_errors(errors, by=["model"]).collect()  # models x folds rows
-    base.unpersist()
-    return cv_summary(df.sparkSession.createDataFrame(rows), by=["model"])
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs, chunksize=1)  # models x folds rows
+    return df.sparkSession.createDataFrame(rows, "model string, fold int, n long, mean_y double, var_y double, mse double")
+
+
+def cross_validate(df: DataFrame, features: list[str], target: str, order: list[str],
+                   estimators: dict[str, Estimator], folds: int = 5, parallelism: int = 4) -> DataFrame:
+    """Unshuffled k-fold errors per model: cv_rmse_mean, cv_rmse_std."""
+    return cv_summary(fold_results(df, features, target, order, estimators, folds, parallelism), by=["model"])
 
 
 def train_classifiers(df: DataFrame, key: str, features: list[str], label: str, weighted: bool = True,
@@ -221,41 +248,104 @@ def boosted_regressor(params: dict, target: str, seed: int = 42) -> Estimator:
                         subsamplingRate=params["subsample"], featureSubsetStrategy=str(params["features"]), seed=seed)
 
 
-def _mean(values: list[float]) -> float:
-    return sum(values) / len(values)
+LEDGER = "trial int, fold int, value double, study string"
+
+
+class Ledger:
+    """Finished folds of a study, one record each, so that a driver that starts again repeats none of them.
+
+    A ledger belongs to one study: opening it for another one is refused.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, study: dict):
+        self.records, self.study = Records(spark, path, LEDGER), json.dumps(study, sort_keys=True, default=str)
+        self.records.create("study", {"trial": -1, "fold": -1, "study": self.study})
+        rows = self.records.read().collect()  # one record per trial and fold
+        if any(r["study"] not in (None, self.study) for r in rows):
+            raise ValueError(f"the ledger at {path} belongs to another study")
+        self.done = {(r["trial"], r["fold"]): r["value"] for r in rows if r["trial"] >= 0}
+
+    def run(self, trial: int, fold: int, fit: Callable[[int, int], float]) -> float:
+        if (trial, fold) not in self.done:
+            value = fit(trial, fold)
+            self.records.create(f"trial-{trial:05d}-fold-{fold:03d}", {"trial": trial, "fold": fold, "value": value})
+            self.done[trial, fold] = value
+        return self.done[trial, fold]
+
+
+def ideal_value(evaluator: Evaluator) -> float | None:
+    """The best a fold can reach; None if the metric has no bound."""
+    metric = evaluator.getOrDefault("metricName")
+    if evaluator.isLargerBetter():
+        return 1.0 if metric in ("r2", "areaUnderROC", "areaUnderPR", "accuracy", "f1") else None
+    return 0.0 if metric in ("mse", "rmse", "mae", "logLoss", "hammingLoss") else None
+
+
+def race(trials: int, folds: int, run: Callable[[list[tuple[int, int]]], list[float]], larger: bool, ideal: float | None) -> dict[int, list[float]]:
+    """Values of each trial's finished folds.  A trial stops once it cannot win: even with ideal values in its other folds its mean would be
+    worse than that of a finished one.  Nothing is sampled or estimated, so the winner is that of the full search.
+
+    First all trials run one fold, then the one that leads finishes, then the others go on fold by fold, ``run`` taking a whole step at once.
+    """
+    sign = -1.0 if larger else 1.0
+    values: dict[int, list[float]] = {t: [] for t in range(trials)}
+
+    def step(jobs: list[tuple[int, int]]) -> None:
+        for (t, _), value in zip(jobs, run(jobs)):
+            values[t].append(value)
+
+    if folds > 1:
+        step([(t, 0) for t in range(trials)])
+        lead = min(range(trials), key=lambda t: sign * values[t][0])
+        step([(lead, f) for f in range(1, folds)])
+    for f in range(min(1, folds - 1), folds):
+        best = min((sign * sum(v) for v in values.values() if len(v) == folds), default=math.inf)
+
+        def may_win(v: list[float]) -> bool:
+            return ideal is None or sign * (sum(v) + (folds - len(v)) * ideal) <= best
+
+        jobs = [(t, f) for t, v in values.items() if len(v) == f and may_win(v)]
+        if jobs:
+            step(jobs)
+    return values
 
 
 def tune_generic(df: DataFrame, features: list[str], target: str, factory: Callable[[dict], Estimator],
                  space: dict, evaluator: Evaluator, order: list[str], trials: int = 10, folds: int = 5,
-                 parallelism: int = 4, seed: int = 42, combine: Callable[[list[float]], float] = _mean) -> dict:
-    """Random search over contiguous folds; the evaluator says whether larger is better, ``combine`` makes a trial's
-    value of its folds' values.  All fits share one pool; only the winner is fitted on all rows."""
+                 parallelism: int = 4, seed: int = 42, ledger: str | None = None, racing: bool = True) -> dict:
+    """Random search over contiguous folds; the evaluator says whether larger is better, and the mean over folds decides, the first trial on ties.
+
+    With ``racing`` (where the metric has a bound) a trial that cannot win any more stops; ``values`` has what each trial ran, ``folds_saved`` the
+    fits that were not needed.  ``ledger`` names a folder that keeps finished folds, and a search that starts again there goes on from them.
+    Only the winner is fitted on all rows.
+    """
     features = [c for c in features if c in df.columns]
-    base, split = _folds(df, features, target, order, folds)
-    parts, draws = [split(f) for f in range(folds)], draw_params(space, trials, seed)
+    held, draws = Folds(df, features, target, order, folds), draw_params(space, trials, seed)
+    study = {"space": space, "trials": trials, "folds": folds, "seed": seed, "features": features, "target": target, "order": order,
+             "metric": evaluator.getOrDefault("metricName")}
+    book = Ledger(df.sparkSession, ledger or fresh_dir(df.sparkSession, "trials"), study)
 
-    def fit(job: tuple[int, int]) -> float:
-        (train, test), params = parts[job[1]], draws[job[0]]
-        return evaluator.evaluate(factory(params).fit(train).transform(test))
+    def fit(trial: int, fold: int) -> float:
+        return evaluator.evaluate(factory(draws[trial]).fit(held.train(fold)).transform(held.test(fold)))
 
-    jobs = [(t, f) for t in range(trials) for f in range(folds)]
     with ThreadPool(parallelism) as pool:
-        values = pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs)
-    results = [(combine(values[t * folds:(t + 1) * folds]), params) for t, params in enumerate(draws)]
-    pick = max if evaluator.isLargerBetter() else min
-    value, params = pick(results, key=lambda r: r[0])
-    scaler = _scaler().fit(base)
-    model = PipelineModel([_assembler(features), scaler, factory(params).fit(scaler.transform(base))])
-    base.unpersist()
-    return {"best_params": params, "best_value": value, "best_model": model, "features": features, "trials": results}
+        one = inheritable_thread_target(df.sparkSession)(lambda job: book.run(*job, fit))
+        values = race(trials, folds, lambda jobs: pool.map(one, jobs, chunksize=1), evaluator.isLargerBetter(),
+                      ideal_value(evaluator) if racing else None)
+    means = {t: sum(v) / folds for t, v in values.items() if len(v) == folds}
+    winner = (max if evaluator.isLargerBetter() else min)(means, key=means.get)
+    return {"best_params": draws[winner], "best_value": means[winner], "best_trial": winner, "best_model": held.model(factory(draws[winner])),
+            "features": features, "params": draws, "values": values, "means": means,
+            "folds_saved": trials * folds - sum(map(len, values.values()))}
 
 
 def tune_regressor(df: DataFrame, features: list[str], target: str, order: list[str], trials: int = 20,
-                   folds: int = 5, space: dict | None = None, seed: int = 42) -> dict:
-    """Minimises the root of the mean squared error averaged over folds."""
+                   folds: int = 5, space: dict | None = None, seed: int = 42, **more) -> dict:
+    """Minimises the root of the mean squared error averaged over folds, which is ``best_value``."""
     evaluator = RegressionEvaluator(labelCol=target, metricName="mse")
-    return tune_generic(df, features, target, lambda p: boosted_regressor(p, target, seed), space or SEARCH_SPACE,
-                        evaluator, order, trials, folds, seed=seed, combine=lambda v: math.sqrt(_mean(v)))
+    found = tune_generic(df, features, target, lambda p: boosted_regressor(p, target, seed), space or SEARCH_SPACE,
+                         evaluator, order, trials, folds, seed=seed, **more)
+    return found | {"best_value": math.sqrt(found["best_value"])}
 
 
 def tuned_model(result: dict | None, target: str, seed: int = 42) -> Estimator:
