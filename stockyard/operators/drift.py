@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.operators.metrics import ks_of_counts, ks_pvalue, value_counts
+from stockyard.operators.metrics import ks_of_counts, ks_pvalue, ks_statistics, value_counts
 from stockyard.operators.ordering import to_long
 from stockyard.workspace import materialize
 
@@ -51,6 +51,16 @@ def feature_drift(reference: DataFrame, current: DataFrame, columns: list[str],
         ((F.col("ks_statistic") > threshold) | (F.col("mean_shift") > threshold)).alias("drifted"))
 
 
+def grouped_drift(df: DataFrame, value: str, current: str, by: list[str]) -> DataFrame:
+    """Distance and p-value of one column between the rows with ``current`` 0 and 1 of every group that has both.
+
+    Groups are keys like any others: values are counted per group before a shuffle, and a group is ordered by ranges, so neither their number nor
+    the size of one matters.
+    """
+    ks = ks_statistics(df.withColumn(value, F.col(value).cast("double")), value, current, by)
+    return ks.select(*by, "n_ref", "n_cur", "ks_statistic", ks_pvalue("ks_statistic", "n_ref", "n_cur").alias("ks_pvalue"))
+
+
 def drift_summary(features: DataFrame) -> DataFrame:
     """Number of drifted features, whether any drifted, and their share."""
     n = F.count_if("drifted")

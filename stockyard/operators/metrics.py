@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockyard.operators.ordering import running_sums
 
@@ -92,13 +97,97 @@ def ks_of_counts(counts: DataFrame, value: str, by: list[str]) -> DataFrame:
             .agg(F.max(gap).alias("ks_statistic"), F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur")))
 
 
-def ks_pvalue(d: Column | str, n: Column | str, m: Column | str, terms: int = 20) -> Column:
-    """Asymptotic Kolmogorov tail 2 * sum (-1)^(j-1) exp(-2 j^2 lambda^2), clipped to [0, 1].
+#: Largest sample for which the tail is counted exactly; beyond it (fixed value of the usual two-sample test) a limit with corrections answers.
+EXACT_SAMPLE = 10_000
+
 
-    Below lambda = 0.2 the tail is 1 to twelve digits while the truncated series has not converged.
+def _lattice_tail(h: int, n: int, m: int) -> float:
+    """Chance that |i/n - j/m| reaches h / lcm(n, m) somewhere on a random lattice path from (0, 0) to (n, m).
+
+    Paths are followed by diagonals s = i + j: a path to (i, s - i) came from (i - 1, s - i) with chance i / s.  Points inside the band hold the
+    chance to have left it before, all others 1; only the band is kept, so the work is at most (n + m) x the smaller sample.
+    """
+    n, m = sorted((n, m))
+    g = math.gcd(n, m)
+    a, b = n // g, m // g  # (i, j) is inside the band while |i b - j a| < h
+    left = np.ones(n + 2)  # left[i + 1] belongs to i
+    if h <= 0:
+        return 1.0
+    left[1] = 0.0
+    low = high = 0
+    for s in range(1, n + m + 1):
+        new_low = max((s * a - h) // (a + b) + 1, 0, s - m)
+        new_high = min(-((-s * a - h) // (a + b)) - 1, n, s)
+        if new_low > new_high:
+            return 1.0
+        i = np.arange(new_low, new_high + 1)
+        inside = (left[new_low:new_high + 1] * i + left[new_low + 1:new_high + 2] * (s - i)) / s
+        left[low + 1:high + 2] = 1.0
+        left[new_low + 1:new_high + 2] = inside
+        low, high = new_low, new_high
+    return float(left[n + 1])
+
+
+def _durbin_cdf(n: int, d: float) -> float:
+    """Chance that the distance of n uniform values from their distribution stays below d: a power of a small matrix."""
+    k = int(n * d) + 1
+    size, gap = 2 * k - 1, k - n * d
+    i = np.arange(size)
+    fact = np.array([math.lgamma(x + 1) for x in range(size + 2)])
+    step = np.where(i[:, None] - i[None, :] + 1 >= 0, np.exp(-fact[np.maximum(i[:, None] - i[None, :] + 1, 0)]), 0.0)
+    edge = gap ** (i + 1.0) * np.exp(-fact[i + 1])
+    step[:, 0] -= edge
+    step[-1, :] -= edge[::-1]
+    step[-1, 0] += max(2 * gap - 1, 0.0) ** size * math.exp(-fact[size])
+    total, power, scale, shift = np.eye(size), step, 0.0, 0.0
+    for bit in bin(n)[:1:-1]:
+        if bit == "1":
+            total, scale = total @ power, scale + shift
+        power, shift = power @ power, 2 * shift
+        largest = np.abs(power).max()
+        power, shift = power / largest, shift + math.log(largest)
+        largest = np.abs(total).max()
+        total, scale = total / largest, scale + math.log(largest)
+    value = total[k - 1, k - 1]
+    return math.exp(math.log(value) + scale + math.lgamma(n + 1) - n * math.log(n)) if value > 0 else 0.0
+
+
+def _limit_cdf(n: int, d: float) -> float:
+    """The same for large n: Kolmogorov's limit with the corrections of order n^-1/2, n^-1 and n^-3/2 (Pelz and Good)."""
+    z = d * math.sqrt(n)
+    k = np.arange(-60, 61)
+    q, r = (k + 0.5) ** 2 * math.pi ** 2, k ** 2 * math.pi ** 2
+    e, f, c = np.exp(-q / (2 * z * z)), np.exp(-r / (2 * z * z)), math.sqrt(math.pi / 2)
+    first = ((q - z * z) * e).sum() * c / (6 * z ** 4)
+    second = (((6 * z ** 6 + 2 * z ** 4) + (2 * z ** 4 - 5 * z * z) * q + (1 - 2 * z * z) * q * q) * e).sum() * c / (72 * z ** 7) - (
+        r * f).sum() * c / (36 * z ** 3)
+    third = ((q ** 3 * (5 - 30 * z * z) + q * q * (212 * z ** 4 - 60 * z * z) + q * (135 * z ** 4 - 96 * z ** 6)
+              - 30 * z ** 6 - 90 * z ** 8) * e).sum() * c / (6480 * z ** 10) + (r * (3 * z * z - r) * f).sum() * c / (216 * z ** 6)
+    return c / z * e.sum() + first / math.sqrt(n) + second / n + third / n ** 1.5
+
+
+def ks_tail(d: float, n: int, m: int) -> float:
+    """Two-sided p-value of a two-sample distance d between samples of n and m values.
+
+    Exact up to EXACT_SAMPLE values a side; beyond, the tail of the one-sample distance at the effective size nm / (n + m), exact again up to 500.
     """
-    d, n, m = (F.col(c) if isinstance(c, str) else c for c in (d, n, m))
-    lam = d * F.sqrt(n.cast("double") * m / (n + m))
-    series = sum((F.lit(2.0 if j % 2 else -2.0) * F.exp(F.lit(-2.0 * j * j) * lam * lam)
-                  for j in range(1, terms + 1)), F.lit(0.0))
-    return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    if max(n, m) <= EXACT_SAMPLE:
+        return _lattice_tail(round(d * (n // math.gcd(n, m) * m)), n, m)
+    size = max(1, int(np.round(n * m / (n + m))))
+    z2 = size * d * d
+    if size * d <= 0.5:
+        return 1.0
+    if z2 >= 370 or d >= 1:
+        return 0.0
+    if z2 < 0.02 * min(1.0, size / 500):  # below, the tail is 1 to more than twelve digits
+        return 1.0
+    return min(1.0, max(0.0, 1.0 - (_durbin_cdf(size, d) if size <= 500 else _limit_cdf(size, d))))
+
+
+def _ks_tails(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(x) or not (a > 0 and b > 0) else ks_tail(float(x), int(a), int(b)) for x, a, b in zip(d, n, m)], dtype="float64")
+
+
+def ks_pvalue(d: Column | str, n: Column | str, m: Column | str) -> Column:
+    """p-values of two-sample distances (:func:`ks_tail`), one for each row of distance and sample sizes; null without samples."""
+    return F.pandas_udf(_ks_tails, T.DoubleType())(d, n, m)

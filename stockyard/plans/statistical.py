@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stockyard.functions.scalars import distance
 from stockyard.operators import cluster, drift, metrics, neighbors, sampling, tracking
 from stockyard.plans import views
-from stockyard.plans.registry import h, query, rounded, u
+from stockyard.plans.registry import h, ks_p, query, rounded, u
 from stockyard.schema import MODEL_FEATURES, NUMERIC_COLUMNS
 from stockyard.workspace import fresh_dir, materialize
 
@@ -149,6 +149,20 @@ def ks_pvalue(spark, sf):
     return rounded(_tagged(_drift(spark, sf)).select("pair", "feature", "ks_pvalue"), ks_pvalue=9)
 
 
+@query(f"""WITH c AS (SELECT region, cast(date_trunc('week', ts) AS date) AS week, price_usd AS value, count(*) FILTER (shipping_days <= 10) AS a,
+    count(*) FILTER (shipping_days > 10) AS b FROM tx GROUP BY 1, 2, 3),
+  x AS (SELECT region, week, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER g AS n, sum(b) OVER g AS m FROM c
+        WINDOW w AS (PARTITION BY region, week ORDER BY value), g AS (PARTITION BY region, week)),
+  k AS (SELECT region, week, cast(max(n) AS bigint) AS n_ref, cast(max(m) AS bigint) AS n_cur, max(abs(ca / n - cb / m)) AS d
+        FROM x WHERE n > 0 AND m > 0 GROUP BY 1, 2)
+  SELECT region, strftime(week, '%Y-%m-%d') AS week, n_ref, n_cur, round(d, 9) AS ks_statistic, round({ks_p("d", "n_ref", "n_cur")}, 9) AS ks_pvalue FROM k""")
+def weekly_drift(spark, sf):
+    """Prices of slow and quick shipments of every region and week: many small samples, exact tails."""
+    tx = views.tx(spark, sf).select("region", F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd").alias("week"), "price_usd",
+                                    (F.col("shipping_days") > 10).cast("int").alias("slow"))
+    return rounded(drift.grouped_drift(tx, "price_usd", "slow", ["region", "week"]), ks_statistic=9, ks_pvalue=9)
+
+
 @query("""SELECT pair, feature, round(ks_statistic, 9) AS ks_statistic, round(ks_pvalue, 9) AS ks_pvalue,
           round(mean_shift, 6) AS mean_shift, drifted FROM drift""")
 def feature_drift(spark, sf):

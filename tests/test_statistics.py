@@ -1,7 +1,9 @@
 """Ordering, metrics, drift and neighbours against brute force."""
 
+import functools
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -148,3 +150,58 @@ def test_smote_sizes_and_segments(spark):
     assert few.where("origin = 'synthetic'").count() == 0
     with pytest.raises(ValueError):
         sampling.smote(df, "key", ["a", "b"], "y", ratio=1.5)
+
+
+def _paths(n, m, h):
+    """Share of the lattice paths that reach |i m - j n| >= h, by counting them."""
+    @functools.cache
+    def inside(i, j):
+        if abs(i * m - j * n) >= h:
+            return 0
+        return 1 if i == j == 0 else (inside(i - 1, j) if i else 0) + (inside(i, j - 1) if j else 0)
+
+    return 1 - Fraction(inside(n, m), math.comb(n + m, n))
+
+
+@pytest.mark.parametrize("n,m", [(1, 1), (1, 9), (7, 7), (12, 18), (13, 8), (30, 29), (40, 10)])
+def test_exact_ks_tail_counts_paths(n, m):
+    unit = math.gcd(n, m)
+    for h in range(0, n * m + 1, max(unit, n * m // 12 // unit * unit)):
+        assert metrics.ks_tail(h / (n * m), n, m) == pytest.approx(float(_paths(n, m, h)), abs=1e-12)
+    assert metrics.ks_tail(0.0, n, m) == 1.0
+
+
+def test_known_ks_tails():
+    """Values of published tables and closed forms."""
+    assert metrics.ks_tail(1.0, 5, 5) == pytest.approx(2 / math.comb(10, 5), abs=1e-15)
+    # equal samples: alternating sum of binomials
+    for n, h in ((2000, 70), (9999, 200)):
+        want, k = 0.0, n // h
+        logs = math.lgamma(2 * n + 1)
+        for j in range(k, 0, -1):
+            want += (-1) ** (j - 1) * 2 * math.exp(2 * math.lgamma(n + 1) - math.lgamma(n - j * h + 1) - math.lgamma(n + j * h + 1))
+        assert logs > 0 and metrics.ks_tail(h / n, n, n) == pytest.approx(want, abs=1e-9)
+
+
+def test_limits_meet_the_exact_distribution():
+    for n in (50, 300):
+        for z in (0.45, 0.7, 1.1, 1.9):
+            exact = metrics._durbin_cdf(n, z / math.sqrt(n))
+            assert metrics._limit_cdf(n, z / math.sqrt(n)) == pytest.approx(exact, abs=0.2 / n ** 2)
+    assert metrics._durbin_cdf(1, 0.75) == pytest.approx(0.5) and metrics._durbin_cdf(10, 0.274) == pytest.approx(0.6284796154565, abs=1e-9)
+    # both sides of the limit of exact counting agree as far as an effective size allows
+    below, above = metrics.ks_tail(0.02, 10_000, 10_000), metrics.ks_tail(0.02, 10_001, 10_001)
+    assert abs(below - above) < 2e-3 and metrics.ks_tail(0.3, 20_000, 20_000) == 0.0 and metrics.ks_tail(1e-5, 20_000, 30_000) == 1.0
+
+
+def test_grouped_drift(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "a", "b", "lonely"]), float(rng.randrange(6)), rng.randrange(2)) for _ in range(120)]
+    rows = [(g, v, 0 if g == "lonely" else c) for g, v, c in rows] + [("a", None, 1)]
+    got = drift.grouped_drift(spark.createDataFrame(rows, "g string, v double, c int"), "v", "c", ["g"]).collect()
+    assert {r["g"] for r in got} == {None, "a", "b"}
+    for r in got:
+        x, y = ([v for g, v, c in rows if g == r["g"] and c == k and v is not None] for k in (0, 1))
+        d = max(abs(sum(v <= t for v in x) / len(x) - sum(v <= t for v in y) / len(y)) for t in range(6))
+        assert (r["n_ref"], r["n_cur"]) == (len(x), len(y)) and r["ks_statistic"] == pytest.approx(d)
+        assert r["ks_pvalue"] == pytest.approx(float(_paths(len(x), len(y), round(d * len(x) * len(y)))), abs=1e-12)
