@@ -1,10 +1,12 @@
 """Exact k nearest neighbours of every row, without comparing all pairs.
 
-Points are laid along a space-filling curve and cut into tiles of a fixed number of rows, so a
-tile is never larger than planned however the data clump.  A tile answers its own points first;
-the distance to the k-th answer then tells which other tiles could hold something nearer (their
-bounding boxes are compared), and only those are visited.  Copies of one vector are thinned to
-the k + 1 lowest ids beforehand: no query can need more of them, since ties go to the lowest id.
+Every point gets further coordinates: its distances to a few pivots, which by the triangle inequality bound its distance to
+anything else.  Points are laid in an order that keeps near ones together (a space-filling curve in few dimensions, nearest pivot and
+distance to it in many) and cut into tiles of a fixed number of rows, so a tile is never larger than planned however the data
+clump.  A tile answers its own points first; the distance to the k-th answer then tells which other tiles could hold something
+nearer, and only those are visited.  They are found by descending a tree of bounds over the tiles, one join a level, so
+no table of tiles is sent around whatever their number.  Copies of one vector are thinned to the k + 1 lowest ids beforehand: no
+query can need more of them, since ties go to the lowest id.
 """
 
 from __future__ import annotations
@@ -19,26 +21,46 @@ from stockyard.operators.ordering import number_rows
 from stockyard.workspace import materialize
 
 DIGITS = 6             # distances are compared at this many decimals, ties by id
-MAX_TILES = 65_536     # bounding boxes sent to the tasks: at most this many
+PIVOTS = 24            # rows whose distances to all others are kept
+PIVOT_SAMPLE = 2048    # rows, chosen by the hash of the id, that pivots are taken from
+CURVE_AXES = 6         # axes up to which the space-filling curve orders points
+FANOUT = 64            # tiles or nodes below a node of the tree
+BOXES_PER_TASK = 512
 VISITS_PER_TASK = 20_000
 _BLOCK = 4_000_000     # distances held at a time inside a task
 
 
-def curve_position(axes: list[str], low: list[float], high: list[float]) -> Column:
-    """Bit-interleaved cell number; all axes share one cell width, so cells are cubes."""
+def wide_axes(low: list[float], high: list[float]) -> list[int]:
+    """Axes with a spread that matters, the widest first."""
     spreads = [h - l for l, h in zip(low, high)]
     widest = max(spreads, default=0.0)
-    if widest <= 0:
+    return sorted((i for i, s in enumerate(spreads) if widest > 0 and s * 1024 > widest), key=lambda i: -spreads[i])
+
+
+def curve_position(axes: list[str], low: list[float], high: list[float]) -> Column:
+    """Bit-interleaved cell number; all axes share one cell width, so cells are cubes."""
+    used = wide_axes(low, high)[:CURVE_AXES]
+    if not used:
         return F.lit(0).cast("bigint")
-    used = sorted((i for i, s in enumerate(spreads) if s * 1024 > widest), key=lambda i: -spreads[i])[:6]
-    bits = min(16, 60 // len(used))
-    terms = []
+    widest, bits, terms = high[used[0]] - low[used[0]], min(16, 60 // len(used)), []
     for a, i in enumerate(used):
         cell = f"least({2 ** bits - 1}L, floor(({axes[i]} - {low[i]!r}D) / {widest!r}D * {2 ** bits}))"
         terms += [f"shiftleft(shiftright({cell}, {b}) & 1L, {b * len(used) + a})" for b in range(bits)]
     return F.expr(" | ".join(terms))
 
 
+def pick_pivots(points: DataFrame, count: int = PIVOTS) -> np.ndarray:
+    """Rows far from each other, out of PIVOT_SAMPLE rows chosen by hash: each next one is the farthest from those before."""
+    sample = np.array([r["vec"] for r in points.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("vec").collect()], float)
+    chosen, gap = [0], np.full(len(sample), np.inf)
+    while len(chosen) < min(count, len(sample)):
+        gap = np.minimum(gap, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+        if gap.max() <= 0:
+            break
+        chosen.append(int(gap.argmax()))
+    return sample[chosen]
+
+
 def nearest(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, point, distance) of the k nearest points per query; equal distances go to the lower position."""
     parts = []
@@ -60,51 +82,127 @@ def nearest(queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 
+def _near(lows: str, highs: str, other_lows: str, other_highs: str, dims: int, radius: str) -> Column:
+    """Whether two boxes can hold points within ``radius``: by plain coordinates, and by each pivot alone."""
+    gaps = F.transform(F.arrays_zip(F.col(lows).alias("a"), F.col(highs).alias("b"), F.col(other_lows).alias("c"), F.col(other_highs).alias("d")),
+                       lambda x: F.greatest(F.lit(0.0), x["c"] - x["b"], x["a"] - x["d"]))
+    plain = F.aggregate(F.slice(gaps, 1, dims), F.lit(0.0), lambda s, x: s + x * x)
+    return (F.sqrt(plain) <= F.col(radius)) & F.forall(F.slice(gaps, dims + 1, 2 ** 16), lambda x: x <= F.col(radius))
+
+
+def _bounds(rows: DataFrame, key: str, lows: list[Column], highs: list[Column], *more: Column) -> DataFrame:
+    """Lowest and highest coordinates of every ``key`` as arrays."""
+    columns = [F.min(c).alias(f"_l{i}") for i, c in enumerate(lows)] + [F.max(c).alias(f"_h{i}") for i, c in enumerate(highs)]
+    return rows.groupBy(key).agg(*columns, *more).select(
+        key, F.array(*[f"_l{i}" for i in range(len(lows))]).alias("lows"), F.array(*[f"_h{i}" for i in range(len(highs))]).alias("highs"),
+        *[c for c in ("radius",) if more])
+
+
+def _close_tiles(tiles: DataFrame, count: int, dims: int, width: int) -> DataFrame:
+    """(tile, other, lows, highs) of every tile that may hold something within ``radius`` of a point of ``tile``, found from the top
+    of a tree with FANOUT nodes below each; a level is one join on the node."""
+    levels = [tiles.select(F.col("tile").alias("node"), "lows", "highs")]
+    while -(-count // FANOUT ** (len(levels) - 1)) > FANOUT:
+        below = levels[-1].withColumn("node", F.floor(F.col("node") / FANOUT).cast("int"))
+        levels.append(materialize(_bounds(below, "node", [F.col("lows")[i] for i in range(width)], [F.col("highs")[i] for i in range(width)]), "nodes"))
+    top = -(-count // FANOUT ** (len(levels) - 1))  # at most FANOUT nodes
+    pairs = tiles.select("tile", F.col("lows").alias("_lows"), F.col("highs").alias("_highs"), "radius",
+                         F.explode(F.sequence(F.lit(0), F.lit(top - 1))).alias("node"))
+    for depth, level in reversed(list(enumerate(levels))):
+        pairs = pairs.join(level, "node").where(_near("_lows", "_highs", "lows", "highs", dims, "radius"))
+        if depth:
+            last = -(-count // FANOUT ** (depth - 1)) - 1
+            children = F.sequence(F.col("node") * FANOUT, F.least(F.col("node") * FANOUT + FANOUT - 1, F.lit(last)))
+            pairs = pairs.select("tile", "_lows", "_highs", "radius", F.explode(children).alias("node"))
+    return pairs.where(F.col("node") != F.col("tile")).select("tile", F.col("node").alias("other"), "lows", "highs")
+
+
+class Tiles:
+    """``flat`` (id and coordinates), ``tiled`` (and tile), ``own`` (id, dist, other inside the tile) and ``visits`` (id, tile): the other tiles
+    each point has to see."""
+
+    def __init__(self, points: DataFrame, k: int, tile_rows: int):
+        dims, pivots = len(points.select("vec").head()["vec"]), pick_pivots(points)
+        self.names = [f"v{i}" for i in range(dims)]
+        axes = self.names + [f"p{i}" for i in range(len(pivots))]
+        names, width = self.names, len(axes)
+
+        def widen(batches):
+            for pdf in batches:
+                x = np.stack(pdf["vec"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, dims))
+                far = np.sqrt(np.maximum(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2), 0))
+                out = pd.DataFrame(np.concatenate([x, far], axis=1), columns=axes)
+                out.insert(0, "id", pdf["id"].to_numpy())
+                out["cell"] = far.argmin(axis=1).astype("int32") if len(pdf) else np.zeros(0, "int32")
+                yield out
+
+        schema = "id string, " + ", ".join(f"{c} double" for c in axes) + ", cell int"
+        # points come with the vectors of a bounded batch
+        flat = materialize(points.select("id", "vec").mapInPandas(widen, schema), "flat")
+        bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
+        low, high = bounds[1::2], bounds[2::2]
+        if len(wide_axes(low, high)) <= CURVE_AXES:
+            order = [curve_position(names, low, high)]
+        else:
+            order = ["cell", F.element_at(F.array(*axes[dims:]), F.col("cell") + 1)]
+        keyed = flat.withColumns({f"_o{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(order)})
+        ordered = number_rows(keyed, [*[f"_o{i}" for i in range(len(order))], "id"], "_no")
+        self.flat = flat.select("id", *names)
+        self.tiled = ordered.select("id", *axes, F.floor(F.col("_no") / tile_rows).cast("int").alias("tile"))
+
+        def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+            """Neighbours within the tile, and how far from each point the others can lie."""
+            pdf = pdf.sort_values("id", ignore_index=True)
+            ids, pts = pdf["id"].to_numpy(), pdf[names].to_numpy()
+            q, p, dist = nearest(pts, pts, k)
+            radius = np.full(len(pts), np.inf)
+            full = np.bincount(q, minlength=len(pts)) == k
+            last = np.searchsorted(q, np.arange(len(pts)), side="right") - 1
+            # distances are compared when rounded, and pivots' distances have rounding errors of their own
+            radius[full] = dist[last[full]] * (1 + 1e-9) + 2 * 10.0 ** -DIGITS
+            tile = int(pdf["tile"].iloc[0])
+            found = pd.concat([pd.DataFrame({"id": ids[q], "dist": dist, "other": ids[p], "tile": tile, "radius": np.nan}),
+                               pd.DataFrame({"id": ids, "dist": np.nan, "other": None, "tile": tile, "radius": radius})], ignore_index=True)
+            return found
+
+        first = materialize(self.tiled.groupBy("tile").applyInPandas(
+            inside, "id string, dist double, other string, tile int, radius double"), "first")
+        self.own = first.where("other IS NOT NULL").select("id", "dist", "other")
+        reach = first.where("other IS NULL").select("id", "tile", "radius")
+        columns = [F.col(c) for c in axes]
+        tiles = materialize(_bounds(self.tiled.join(reach.select("id", "radius"), "id"), "tile", columns, columns,
+                                    F.max("radius").alias("radius")), "tiles")
+        close = materialize(_close_tiles(tiles, -(-bounds[0] // tile_rows), dims, width), "close-tiles")
+
+        def ask(pts: pd.DataFrame, boxes: pd.DataFrame) -> pd.DataFrame:
+            """Which of the tiles each point has to visit."""
+            if pts.empty or boxes.empty:
+                return pd.DataFrame({"id": [], "tile": []})
+            x, radius, out = pts[axes].to_numpy(), pts["radius"].to_numpy(), []
+            for t, lows, highs in zip(boxes["other"], boxes["lows"], boxes["highs"]):
+                gap = np.maximum(0, np.maximum(np.asarray(lows) - x, x - np.asarray(highs)))
+                asks = (np.sqrt((gap[:, :dims] ** 2).sum(axis=1)) <= radius) & (gap[:, dims:] <= radius[:, None]).all(axis=1)
+                out.append(pd.DataFrame({"id": pts["id"].to_numpy()[asks], "tile": t}))
+            return pd.concat(out, ignore_index=True)
+
+        # a tile with many boxes to look at is split: boxes by number, its points repeated per part
+        parts = close.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BOXES_PER_TASK).cast("int").alias("parts"))
+        asking = (self.tiled.join(reach.select("id", "radius"), "id").join(parts, "tile")
+                  .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "radius", *axes))
+        boxes = close.join(parts, "tile").select("tile", F.pmod(F.col("other"), F.col("parts")).alias("part"), "other", "lows", "highs")
+        self.visits = materialize(asking.groupBy("tile", "part").cogroup(boxes.groupBy("tile", "part"))
+                                  .applyInPandas(ask, "id string, tile int"), "visits")
+
+
 def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
     """(id, dist, other) with the k nearest points of every point, itself included."""
-    dims = len(points.select("vec").head()["vec"])
-    names = [f"v{i}" for i in range(dims)]
-    flat = points.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(names)])
-    bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
-    rows = max(tile_rows, -(-bounds[0] // MAX_TILES))
-    position = curve_position(names, bounds[1::2], bounds[2::2])
-    ordered = number_rows(flat.withColumn("_z", position), ["_z", *names, "id"], "_no").drop("_z")
-    tiled = ordered.withColumn("tile", F.floor(F.col("_no") / rows).cast("int")).drop("_no")
-
-    boxes = tiled.groupBy("tile").agg(*[f(c) for c in names for f in (F.min, F.max)])
-    table = np.array(sorted(tuple(r) for r in boxes.collect()), dtype=float)  # at most MAX_TILES rows
-    shared = points.sparkSession.sparkContext.broadcast((table[:, 1::2], table[:, 2::2]))
-
-    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Neighbours within the tile (tile is null) and the other tiles each point has to visit."""
-        pdf = pdf.sort_values("id", ignore_index=True)
-        lows, highs = shared.value
-        own, ids, pts = int(pdf["tile"].iloc[0]), pdf["id"].to_numpy(), pdf[names].to_numpy()
-        q, p, dist = nearest(pts, pts, k)
-        radius = np.full(len(pts), np.inf)
-        full = np.bincount(q, minlength=len(pts)) == k
-        last = np.searchsorted(q, np.arange(len(pts)), side="right") - 1
-        radius[full] = dist[last[full]] + 10.0 ** -DIGITS
-        # tiles that touch this tile's box grown by its largest radius, then point by point
-        gap = np.maximum(0, np.maximum(lows - pts.max(axis=0), pts.min(axis=0) - highs))
-        close = np.flatnonzero((np.sqrt((gap ** 2).sum(axis=1)) <= radius.max()) & (np.arange(len(lows)) != own))
-        out = [pd.DataFrame({"id": ids[q], "dist": dist, "other": ids[p], "tile": None})]
-        for t in close:
-            gap = np.maximum(0, np.maximum(lows[t] - pts, pts - highs[t]))
-            asks = np.sqrt((gap ** 2).sum(axis=1)) <= radius
-            out.append(pd.DataFrame({"id": ids[asks], "dist": None, "other": None, "tile": t}))
-        found = pd.concat([o.astype({"tile": "Int32", "dist": "Float64"}) for o in out], ignore_index=True)
-        return found
-
-    first = materialize(tiled.groupBy("tile").applyInPandas(
-        inside, "id string, dist double, other string, tile int"), "first")
-
+    plan = Tiles(points, k, tile_rows)
+    names, visits = plan.names, plan.visits
     # a tile with many visitors is split: visitors by hash, the tile's own rows repeated per part
-    visits = first.where("tile IS NOT NULL").select("id", "tile")
     parts = visits.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).cast("int").alias("parts"))
-    asking = (visits.join(flat, "id").join(parts, "tile")
+    asking = (visits.join(plan.flat, "id").join(parts, "tile")
               .select("tile", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", *names))
-    hosts = (tiled.join(parts, "tile")
+    hosts = (plan.tiled.join(parts, "tile")
              .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", *names))
 
     def visit(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -116,7 +214,7 @@ def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
 
     second = (asking.groupBy("tile", "part").cogroup(hosts.groupBy("tile", "part"))
               .applyInPandas(visit, "id string, dist double, other string"))
-    every = first.where("tile IS NULL").drop("tile").unionByName(second)
+    every = plan.own.unionByName(second)
     best = W.partitionBy("id").orderBy("dist", "other")
     return every.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k).drop("_r")
 
@@ -124,9 +222,11 @@ def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
 def k_nearest(points: DataFrame, k: int = 5, tile_rows: int = 1024) -> DataFrame:
     """(id string, vec array<double>) -> (id, vec, neighbors), nearest first, the row itself left out.
 
-    ``neighbors`` is array<struct<dist,id>>; ids must be unique.
+    ``neighbors`` is array<struct<dist,id>>; ids must be unique, vectors of one length and without nulls.
     """
     points = materialize(points.select("id", "vec"), "points")
+    if points.isEmpty():
+        return points.withColumn("neighbors", F.array().cast("array<struct<dist:double,id:string>>"))
     copies = W.partitionBy("vec").orderBy("id")
     kept = materialize(points.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= k + 1)
                        .select("id", "vec", "_copy"), "kept")

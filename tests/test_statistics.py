@@ -119,8 +119,10 @@ def brute_neighbors(points, k):
     return out
 
 
-@pytest.mark.parametrize("kind", ["spread", "clumped", "copies", "flat"])
-def test_neighbors_equal_brute_force(spark, kind):
+@pytest.mark.parametrize("kind", ["spread", "clumped", "copies", "flat", "wide", "wide clumps"])
+def test_neighbors_equal_brute_force(spark, kind, monkeypatch):
+    monkeypatch.setattr(neighbors, "FANOUT", 3)
+    monkeypatch.setattr(neighbors, "BOXES_PER_TASK", 4)
     rng = np.random.default_rng(5)
     n = 240
     if kind == "spread":
@@ -130,12 +132,23 @@ def test_neighbors_equal_brute_force(spark, kind):
     elif kind == "copies":  # two fifths of all rows are one vector
         xs = np.round(rng.normal(size=(n, 3)) * 2)
         xs[: 2 * n // 5] = 0
+    elif kind == "wide":
+        xs = rng.normal(size=(n, 64))
+    elif kind == "wide clumps":
+        xs = np.concatenate([rng.normal(size=(1, 64)) * 5 + rng.normal(size=(n // 8, 64)) * 0.1 for _ in range(8)])
     else:
         xs = np.ones((n, 3))
     points = [(f"p{i:03d}", [float(v) for v in x]) for i, x in enumerate(xs)]
     df = spark.createDataFrame(points, "id string, vec array<double>")
-    got = {r["id"]: [x["id"] for x in r["neighbors"]] for r in neighbors.k_nearest(df, 5, tile_rows=32).collect()}
+    got = {r["id"]: [x["id"] for x in r["neighbors"]] for r in neighbors.k_nearest(df, 5, tile_rows=16).collect()}
     assert got == brute_neighbors(points, 5)
+    if kind == "wide clumps":  # a point sees the tiles of its own clump and the edges between clumps
+        assert neighbors.Tiles(df, 6, 16).visits.count() < 0.4 * n * (n // 16)
+
+
+def test_neighbors_of_nothing(spark):
+    assert neighbors.k_nearest(spark.createDataFrame([], "id string, vec array<double>")).count() == 0
+    assert neighbors.k_nearest(spark.createDataFrame([("a", [1.0])], "id string, vec array<double>")).head()["neighbors"] == []
 
 
 def test_smote_sizes_and_segments(spark):
