@@ -122,10 +122,16 @@ class Tiles:
     each point has to see."""
 
     def __init__(self, points: DataFrame, k: int, tile_rows: int):
-        dims, pivots = len(points.select("vec").head()["vec"]), pick_pivots(points)
-        self.names = [f"v{i}" for i in range(dims)]
-        axes = self.names + [f"p{i}" for i in range(len(pivots))]
-        names, width = self.names, len(axes)
+        dims = len(points.select("vec").head()["vec"])
+        self.names = names = [f"v{i}" for i in range(dims)]
+        flat = points.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(names)])
+        bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
+        low, high = bounds[1::2], bounds[2::2]
+        # where few axes matter, boxes along the curve are tight and pivots add nothing
+        few = len(wide_axes(low, high)) <= CURVE_AXES
+        pivots = np.zeros((0, dims)) if few else pick_pivots(points)
+        axes = names + [f"p{i}" for i in range(len(pivots))]
+        width = len(axes)
 
         def widen(batches):
             for pdf in batches:
@@ -136,14 +142,12 @@ class Tiles:
                 out["cell"] = far.argmin(axis=1).astype("int32") if len(pdf) else np.zeros(0, "int32")
                 yield out
 
-        schema = "id string, " + ", ".join(f"{c} double" for c in axes) + ", cell int"
-        # points come with the vectors of a bounded batch
-        flat = materialize(points.select("id", "vec").mapInPandas(widen, schema), "flat")
-        bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
-        low, high = bounds[1::2], bounds[2::2]
-        if len(wide_axes(low, high)) <= CURVE_AXES:
+        if few:
             order = [curve_position(names, low, high)]
         else:
+            # points come with the vectors of a bounded batch
+            schema = "id string, " + ", ".join(f"{c} double" for c in axes) + ", cell int"
+            flat = materialize(points.select("id", "vec").mapInPandas(widen, schema), "flat")
             order = ["cell", F.element_at(F.array(*axes[dims:]), F.col("cell") + 1)]
         keyed = flat.withColumns({f"_o{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(order)})
         ordered = number_rows(keyed, [*[f"_o{i}" for i in range(len(order))], "id"], "_no")
@@ -161,17 +165,16 @@ class Tiles:
             # distances are compared when rounded, and pivots' distances have rounding errors of their own
             radius[full] = dist[last[full]] * (1 + 1e-9) + 2 * 10.0 ** -DIGITS
             tile = int(pdf["tile"].iloc[0])
-            found = pd.concat([pd.DataFrame({"id": ids[q], "dist": dist, "other": ids[p], "tile": tile, "radius": np.nan}),
-                               pd.DataFrame({"id": ids, "dist": np.nan, "other": None, "tile": tile, "radius": radius})], ignore_index=True)
-            return found
+            points = pdf[["id", "tile", *axes]].assign(radius=radius)
+            return pd.concat([points, pd.DataFrame({"id": ids[q], "dist": dist, "other": ids[p], "tile": tile})], ignore_index=True)[fields]
 
+        fields = ["id", "tile", *axes, "radius", "dist", "other"]
         first = materialize(self.tiled.groupBy("tile").applyInPandas(
-            inside, "id string, dist double, other string, tile int, radius double"), "first")
+            inside, "id string, tile int, " + ", ".join(f"{c} double" for c in [*axes, "radius", "dist"]) + ", other string"), "first")
         self.own = first.where("other IS NOT NULL").select("id", "dist", "other")
-        reach = first.where("other IS NULL").select("id", "tile", "radius")
+        reach = first.where("other IS NULL").drop("dist", "other")
         columns = [F.col(c) for c in axes]
-        tiles = materialize(_bounds(self.tiled.join(reach.select("id", "radius"), "id"), "tile", columns, columns,
-                                    F.max("radius").alias("radius")), "tiles")
+        tiles = materialize(_bounds(reach, "tile", columns, columns, F.max("radius").alias("radius")), "tiles")
         close = materialize(_close_tiles(tiles, -(-bounds[0] // tile_rows), dims, width), "close-tiles")
 
         def ask(pts: pd.DataFrame, boxes: pd.DataFrame) -> pd.DataFrame:
@@ -187,7 +190,7 @@ class Tiles:
 
         # a tile with many boxes to look at is split: boxes by number, its points repeated per part
         parts = close.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BOXES_PER_TASK).cast("int").alias("parts"))
-        asking = (self.tiled.join(reach.select("id", "radius"), "id").join(parts, "tile")
+        asking = (reach.join(parts, "tile")
                   .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "radius", *axes))
         boxes = close.join(parts, "tile").select("tile", F.pmod(F.col("other"), F.col("parts")).alias("part"), "other", "lows", "highs")
         self.visits = materialize(asking.groupBy("tile", "part").cogroup(boxes.groupBy("tile", "part"))
