@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.functions.scalars import distance
+from stockyard.functions.scalars import distance, exact_avg, hash_int, keyed
 from stockyard.operators.features import enrich_numeric, fill_zero
 from stockyard.schema import NUMERIC_COLUMNS
 from stockyard.workspace import materialize
@@ -53,21 +52,64 @@ def _assembled(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]
     return fill_zero(df, columns), columns
 
 
+def _nearest(vec: Column, centers: list[list[float]], digits: int = 9) -> Column:
+    """Number of the nearest centre; the lowest wins a tie."""
+    gaps = [F.struct(F.round(distance(vec, F.array(*[F.lit(float(v)) for v in c])), digits).alias("d"), F.lit(i).alias("cluster"))
+            for i, c in enumerate(centers)]
+    return F.array_min(F.array(*gaps))["cluster"]
+
+
+def lloyd(df: DataFrame, columns: list[str], key: str | None = None, k: int = 4, max_iter: int = 50, seed: int = 42,
+          output: str = "cluster") -> DataFrame:
+    """Labels by Lloyd's steps from k rows as seeds (smallest hashes of ``key``), until no label changes or ``max_iter`` labellings are done.
+
+    A step is one pass that sends one row per cluster: the exact mean of its points and the sums of two hashes of (point, label).  If these
+    fingerprints are those of the step before, so are the labels, and no row's label has to be kept to find out.  As all labels start at 0, a first step
+    that puts everything into cluster 0 ends it too.  A cluster that loses all points keeps its centre.
+    """
+    names = [f"_x{i}" for i in range(len(columns))]
+    named = key or F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    points = materialize(df.select(F.col(named).alias("_key") if key else named.alias("_key"),
+                                   *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)]), "points")
+    rows = points.orderBy(hash_int(keyed("_key", seed)), "_key").limit(k).select(*names).collect()  # k rows
+    centers, before = [[float(v) for v in r] for r in rows], None
+    vec = F.array(*names)
+    mark = F.xxhash64("_key", "_label")
+    for step in range(max_iter):
+        if not centers:
+            break
+        sums = points.withColumn("_label", _nearest(vec, centers)).groupBy("_label").agg(
+            *[exact_avg(n, 12).alias(n) for n in names], F.count(F.lit(1)).alias("_n"),
+            *[F.sum(F.shiftrightunsigned(mark, at).bitwiseAND(F.lit((1 << 24) - 1))).alias(f"_f{at}") for at in (0, 32)]).collect()  # k rows
+        now = sorted((r["_label"], r["_n"], r["_f0"], r["_f32"]) for r in sums)
+        if now == before or (step == 0 and [r[0] for r in now] == [0]) or step == max_iter - 1:
+            break
+        before = now
+        for r in sums:
+            centers[r["_label"]] = [r[n] for n in names]
+    label = _nearest(F.array(*[F.col(c).cast("double") for c in columns]), centers) if centers else F.lit(None)
+    return df.withColumn(output, label.cast("int"))
+
+
+def standardised(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``_std_<column>``: gap to the mean in sample deviations; 0 where all values are equal."""
+    stats = df.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("d", F.stddev))]).first()
+    return df.withColumns({f"_std_{c}": (F.col(c) - F.lit(stats[f"m_{i}"])) / F.lit(stats[f"d_{i}"]) if stats[f"d_{i}"] else F.lit(0.0)
+                           for i, c in enumerate(columns)})
+
+
 def market_clusters(df: DataFrame, columns: list[str] | None = None, k: int = 4, scale: bool = False,
-                    seed: int = 42, output: str = "market_cluster", max_iter: int = 50) -> DataFrame:
-    """k-means labels on the raw (default) or standardised columns."""
+                    seed: int = 42, output: str = "market_cluster", max_iter: int = 50, key: str | None = None) -> DataFrame:
+    """Lloyd's labels on the raw (default) or standardised columns."""
     filled, columns = _assembled(df, columns or NUMERIC_COLUMNS)
-    stages = [VectorAssembler(inputCols=columns, outputCol="_raw")]
-    if scale:
-        stages.append(StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True))
-    stages.append(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_std" if scale else "_raw",
-                         predictionCol=output))
-    model = Pipeline(stages=stages).fit(filled)
-    return model.transform(filled).drop("_raw", "_std")
+    if not scale:
+        return lloyd(filled, columns, key, k, max_iter, seed, output)
+    wide = [f"_std_{c}" for c in columns]
+    return lloyd(standardised(filled, columns), wide, key, k, max_iter, seed, output).drop(*wide)
 
 
-def market_segments(df: DataFrame, columns: list[str], k: int = 4, seed: int = 42) -> DataFrame:
-    return market_clusters(df, columns, k, scale=True, seed=seed, output="market_segment")
+def market_segments(df: DataFrame, columns: list[str], k: int = 4, seed: int = 42, key: str | None = None) -> DataFrame:
+    return market_clusters(df, columns, k, scale=True, seed=seed, output="market_segment", key=key)
 
 
 def fit_pca(df: DataFrame, columns: list[str], k: int):
@@ -101,10 +143,11 @@ def project(df: DataFrame, columns: list[str], loadings: list[list[float]], pref
         for j in range(len(loadings[0]))})
 
 
-def enriched_features(df: DataFrame, k: int = 4, components: int = 3, scale: bool = False, seed: int = 42) -> DataFrame:
+def enriched_features(df: DataFrame, k: int = 4, components: int = 3, scale: bool = False, seed: int = 42,
+                      key: str | None = None) -> DataFrame:
     """z-scores and signed logs, market cluster, and projections on the first components."""
     available = [c for c in NUMERIC_COLUMNS if c in df.columns]
-    clustered = market_clusters(enrich_numeric(df, available), available, k, scale, seed)
+    clustered = market_clusters(enrich_numeric(df, available), available, k, scale, seed, key=key)
     model, _ = fit_pca(df, available, components)
     return project(clustered, available, oriented_loadings(model.pc))
 

@@ -72,7 +72,7 @@ class Run:
             F.count(F.lit(1)).alias("aggregated_rows"), F.sum("txn_count").alias("transactions")))
 
     def features(self) -> None:
-        self.store.register("transaction_features", enriched_features(self.rows), "enriched transactions",
+        self.store.register("transaction_features", enriched_features(self.rows, key=self.settings.key), "enriched transactions",
                             ["transactions", "pca"])
         self.enriched = spread(self.store.get("transaction_features"))
         self.store.register("market_features", self.enriched.select(

@@ -380,27 +380,46 @@ def pca_components(spark, sf):
         (F.abs(F.sum(F.col("loading") * F.col("loading")) - 1) < 1e-9).alias("unit_length"), (F.max(gap) < 1e-9).alias("eigenvector"))
 
 
-def _cluster_sizes(df, label):
-    return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("clusters"), F.count_if(F.col(label).isNull()).alias("unplaced"))
+def _lloyd_sql(source: str, values: list[str], k: int, output: str, more: str = "", steps: int = 50) -> str:
+    """All steps one after another; once labels repeat, further steps change nothing."""
+    gap = " + ".join(f"power(vec[{i}] - c.vec[{i}], 2)" for i in range(1, len(values) + 1))
+    label = f"list_min(list_transform(cs, lambda c: {{'d': round(sqrt({gap}), 9), 'cluster': c.cluster}})).cluster"
+    mean = ", ".join(f"cast(sum(cast(vec[{i}] AS decimal(38,12))) AS double) / count(*)" for i in range(1, len(values) + 1))
+    ctes = [f"pts AS MATERIALIZED (SELECT transaction_id, [{', '.join(values)}] AS vec{more} FROM {source})",
+            f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, transaction_id) - 1 AS cluster, vec FROM (
+                SELECT *, {h("concat(transaction_id, '|42')")} AS h FROM pts) s ORDER BY h, transaction_id LIMIT {k})"""]
+    for i in range(steps - 1):
+        ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.vec, c.vec) AS vec FROM c{i} c LEFT JOIN (
+            SELECT cluster, [{mean}] AS vec FROM (SELECT {label} AS cluster, vec FROM pts,
+              (SELECT list({{'cluster': cluster, 'vec': vec}} ORDER BY cluster) AS cs FROM c{i}) l) a GROUP BY cluster) m ON c.cluster = m.cluster)""")
+    return (f"WITH {', '.join(ctes)} SELECT transaction_id, cast({label} AS int) AS {output}{more} FROM pts, "
+            f"(SELECT list({{'cluster': cluster, 'vec': vec}} ORDER BY cluster) AS cs FROM c{steps - 1}) l")
+
+
+@query(_lloyd_sql("tx", [f"{c}::double" for c in NUMERIC_COLUMNS], 4, "market_cluster"))
+def market_clusters(spark, sf):
+    return cluster.market_clusters(views.tx(spark, sf), key=TX).select(TX, "market_cluster")
 
 
-@query("SELECT count(*) AS n, cast(4 AS bigint) AS clusters, cast(0 AS bigint) AS unplaced FROM tx")
-def market_clusters(spark, sf):
-    return _cluster_sizes(cluster.market_clusters(views.tx(spark, sf)), "market_cluster")
+SEGMENT_COLUMNS = ["quantity", "unit_cost", "price_usd"]
 
 
-@query("SELECT count(*) AS n, cast(3 AS bigint) AS clusters, cast(0 AS bigint) AS unplaced FROM tx")
+@query(_lloyd_sql("tx, (SELECT " + ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS d{i}" for i, c in enumerate(SEGMENT_COLUMNS)) + " FROM tx) s",
+                  [f"({c} - m{i}) / d{i}" for i, c in enumerate(SEGMENT_COLUMNS)], 3, "market_segment"))
 def market_segments(spark, sf):
-    return _cluster_sizes(cluster.market_segments(views.tx(spark, sf), ["quantity", "unit_cost", "price_usd"], k=3), "market_segment")
+    return cluster.market_segments(views.tx(spark, sf), SEGMENT_COLUMNS, k=3, key=TX).select(TX, "market_segment")
 
 
-@query("""SELECT count(*) AS n, cast(34 AS int) AS n_columns, cast(4 AS bigint) AS clusters, cast(0 AS bigint) AS incomplete FROM tx_features""")
+@query(_lloyd_sql("tx_features", [f"{c}::double" for c in NUMERIC_COLUMNS], 4, "market_cluster").replace(
+    "SELECT transaction_id, cast(", "SELECT transaction_id, cast(34 AS int) AS n_columns, true AS projected, cast("))
 def enriched_features(spark, sf):
-    """All rows with all columns; none lacks a cluster or a projection."""
-    out = cluster.enriched_features(views.tx_features(spark, sf))
-    lacks = F.col("market_cluster").isNull() | F.col("pca_0").isNull() | F.col("pca_1").isNull() | F.col("pca_2").isNull()
-    return out.agg(F.count(F.lit(1)).alias("n"), F.lit(len(out.columns)).alias("n_columns"), F.count_distinct("market_cluster").alias("clusters"),
-                   F.count_if(lacks).alias("incomplete"))
+    """Every row's cluster, the number of columns, and whether its projections are the products of its columns with the loadings."""
+    out = cluster.enriched_features(views.tx_features(spark, sf), key=TX)
+    loadings = {(r["feature"], r["component"]): r["loading"] for r in cluster.pca_components(views.tx(spark, sf)).collect()}  # columns x components
+    same = [F.abs(F.col(f"pca_{j}") - sum((F.col(c) * F.lit(loadings[c, j]) for c in NUMERIC_COLUMNS), F.lit(0.0)))
+            <= 1e-6 * (1 + F.abs(F.col(f"pca_{j}"))) for j in range(3)]
+    return out.select(TX, F.lit(len(out.columns)).alias("n_columns"), F.coalesce(same[0] & same[1] & same[2], F.lit(False)).alias("projected"),
+                      "market_cluster")
 
 
 @query("""SELECT count(*) AS n, cast(4 AS bigint) AS clusters, cast(0 AS bigint) AS misplaced, true AS unit_loadings, true AS falling_variance

@@ -11,7 +11,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stockyard.operators import commerce, drift, features, metrics, neighbors, ordering, sampling
+from stockyard.functions.scalars import hash_int, keyed
+from stockyard.operators import cluster, commerce, drift, features, metrics, neighbors, ordering, sampling
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -218,3 +219,29 @@ def test_grouped_drift(spark):
         d = max(abs(sum(v <= t for v in x) / len(x) - sum(v <= t for v in y) / len(y)) for t in range(6))
         assert (r["n_ref"], r["n_cur"]) == (len(x), len(y)) and r["ks_statistic"] == pytest.approx(d)
         assert r["ks_pvalue"] == pytest.approx(float(_paths(len(x), len(y), round(d * len(x) * len(y)))), abs=1e-12)
+
+
+@pytest.mark.parametrize("most", [1, 3, 50])
+def test_lloyd_follows_its_steps(spark, most, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(c, 0.6, (40, 2)) for c in ((0, 0), (3, 3), (0, 4))]).round(3)
+    df = spark.createDataFrame([(f"k{i}", *map(float, v)) for i, v in enumerate(x)], "key string, a double, b double")
+    seeds = [r["key"] for r in df.orderBy(hash_int(keyed("key", 42)), "key").limit(4).collect()]
+    centers, labels, steps = [x[int(s[1:])] for s in seeds], np.zeros(len(x), int), 0
+    for _ in range(most):
+        new = np.array([min(range(4), key=lambda c: (round(math.dist(v, centers[c]), 9), c)) for v in x])
+        if (new == labels).all():
+            break
+        labels, steps = new, steps + 1
+        for c in range(4):
+            if (labels == c).any():
+                centers[c] = x[labels == c].mean(axis=0)
+    passes, average = [], cluster.exact_avg
+    monkeypatch.setattr(cluster, "exact_avg", lambda c, d: passes.append(c) or average(c, d))
+    got = {r["key"]: r["cluster"] for r in cluster.lloyd(df, ["a", "b"], "key", 4, most).collect()}
+    assert got == {f"k{i}": int(v) for i, v in enumerate(labels)}
+    # it stopped when labels repeated: one pass more than labellings that changed something
+    assert len(passes) // 2 == min(most, steps + 1) and (most < 50 or steps < 49)
+    # equal points, fewer rows than clusters, none at all
+    assert {r["cluster"] for r in cluster.lloyd(df.withColumns({"a": F.lit(1.0), "b": F.lit(1.0)}), ["a", "b"], "key").collect()} == {0}
+    assert cluster.lloyd(df.limit(2), ["a", "b"], k=4).count() == 2 and cluster.lloyd(df.limit(0), ["a", "b"]).count() == 0
