@@ -14,9 +14,9 @@ def _totals() -> list[Column]:
             *[F.sum(f"is_{k}").alias(f"{k}_count") for k in ("fraud", "defect")]]
 
 
-def regional_metrics(df: DataFrame, *more: Column) -> DataFrame:
-    """Region x category: counts, revenue, fraud, defects and mean market index (and ``more`` aggregates)."""
-    return df.groupBy("region", "category").agg(
+def regional_metrics(df: DataFrame, *more: Column, by: list[str] = ()) -> DataFrame:
+    """Region x category (and ``by``): counts, revenue, fraud, defects and mean market index (and ``more`` aggregates)."""
+    return df.groupBy(*by, "region", "category").agg(
         F.count("transaction_id").alias("txn_count"), *_totals(), S.exact_avg("market_index", 12).alias("avg_market_index"), *more)
 
 
@@ -25,12 +25,16 @@ def regional_summary(df: DataFrame) -> DataFrame:
 
 
 def price_anomalies(df: DataFrame, threshold: float = 3.0, column: str = "price_usd",
-                    flag: str = "is_price_anomaly") -> DataFrame:
-    """1 where |x - mean| > threshold x sample deviation (a null deviation counts as 1)."""
-    stats = df.agg(F.avg(column).alias("mean"), F.coalesce(F.stddev(column), F.lit(1.0)).alias("std"))
+                    flag: str = "is_price_anomaly", by: str | None = None) -> DataFrame:
+    """1 where |x - mean| > threshold x sample deviation (a null deviation counts as 1), of all rows or of those with the same ``by`` (not null)."""
+    columns = F.avg(column).alias("mean"), F.coalesce(F.stddev(column), F.lit(1.0)).alias("std")
     gap = F.abs(F.col(column) - F.col("_stats.mean"))
-    return (df.withColumn("_stats", one_row(stats))
-            .withColumn(flag, F.when(gap > F.lit(threshold) * F.col("_stats.std"), 1).otherwise(0))
+    if by:
+        stats = df.groupBy(by).agg(*columns).select(by, F.struct("mean", "std").alias("_stats"))
+        known = df.join(stats, by)
+    else:
+        known = df.withColumn("_stats", one_row(df.agg(*columns)))
+    return (known.withColumn(flag, F.when(gap > F.lit(threshold) * F.col("_stats.std"), 1).otherwise(0))
             .drop("_stats"))
 
 

@@ -1,13 +1,16 @@
 """Readers, writers, feature store, image jobs and streams."""
 
 import json
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockyard.functions import vision as V
 from stockyard.operators import detections as D
+from stockyard.operators import feature_store
 from stockyard.operators import image_jobs as I
 from stockyard.operators.commerce import regional_metrics, regional_summary
 from stockyard.operators.feature_store import FeatureStore
@@ -86,6 +89,26 @@ def test_store_overwrites_lists_and_raises(spark):
     assert list(store.metadata().head()["tags"]) == ["g", "h"]
 
 
+def test_two_writers_of_the_registry(spark, monkeypatch):
+    """Writers with clocks of their own commit at once; every commit gets its own number, the newest one wins for every reader, and snapshots keep the rest."""
+    monkeypatch.setattr(feature_store, "COMPACT", 5)
+    root = fresh_dir(spark, "s")
+    stores = [FeatureStore(spark, root) for _ in range(4)]
+    with ThreadPool(4) as pool:
+        got = pool.map(lambda i: (stores[i % 4]._append("group", f"g{i % 3}", f"p{i}", ["c"], i), i), range(24), chunksize=1)
+    assert sorted(n for n, _ in got) == list(range(1, 25))
+    want = {}
+    for seq, i in sorted(got):
+        want[f"g{i % 3}"] = (f"p{i}", i)
+    for store in (stores[0], FeatureStore(spark, root)):
+        assert {r["name"]: (r["path"], r["n_rows"]) for r in store.groups().collect()} == want
+    firsts = {}
+    for seq, i in sorted(got):
+        firsts.setdefault(f"g{i % 3}", seq)
+    assert [r["name"] for r in stores[0].groups().collect()] == sorted(firsts, key=firsts.get)
+    assert len(stores[0].registry.names()) < 24  # what a snapshot holds does not stay for ever
+
+
 def test_run_log_appends(spark):
     log = RunLog(spark, fresh_dir(spark, "r"))
     for run in ("a", "b"):
@@ -137,15 +160,59 @@ def test_image_files_and_sidecars(spark, tmp_path):
 # ---------------------------------------------------------------- streams
 
 
-def test_stream_in_several_batches_equals_the_table(spark):
+def test_running_totals_are_an_upsert_log(spark):
+    """Nine batches, the last ones of one region only: they write its keys alone, and snapshots and a restart change no total."""
     rows = transactions(spark, 300)
-    path = tables.write_json(rows.coalesce(1), fresh_dir(spark, "in"), rows_per_file=60)
-    out = fresh_dir(spark, "states")
-    running = streams.running_regional_metrics(streams.json_stream(spark, path), out)
-    assert spark.read.parquet(out).select("batch_id").distinct().count() == 5
-    exact = regional_metrics(rows)
+    path, out, state = (fresh_dir(spark, n) for n in ("in", "totals", "state"))
+    tables.write_json(rows.coalesce(1), path, rows_per_file=60)
+    exact = lambda df: {(r["region"], r["category"]): r["txn_count"] for r in regional_metrics(df).collect()}
+    running = lambda: {(r["region"], r["category"]): r["txn_count"] for r in streams.running_regional_metrics(
+        streams.json_stream(spark, path), out, 2, state).collect()}
+    assert running() == exact(rows)
+    region = rows.first()["region"]
+    late = rows.where(F.col("region") == region).limit(12)
+    for _ in range(4):
+        late.coalesce(1).write.mode("append").json(path)
+        rows = rows.union(late)
+    assert running() == exact(rows)
+    deltas = spark.read.parquet(f"{out}/delta")
+    assert [r["batch_id"] for r in deltas.select("batch_id").distinct().orderBy("batch_id").collect()] == list(range(9))
+    assert {r["region"] for r in deltas.where("batch_id >= 5").select("region").distinct().collect()} == {region}
+    changed = deltas.groupBy("batch_id").count().collect()
+    assert all(r["count"] <= late.select("category").distinct().count() for r in changed if r["batch_id"] >= 5)
+    assert streams.Records(spark, f"{out}/_snapshots", "upto long").names() == [f"snapshot-{n:012d}" for n in (1, 3, 5, 7)]
     columns = ["region", "category", "txn_count", "total_revenue", "fraud_count"]
-    assert running.select(columns).exceptAll(exact.select(columns)).isEmpty() and running.count() == exact.count()
+    final = streams.running_regional_metrics(streams.json_stream(spark, path), out, 2, state)
+    assert final.select(columns).exceptAll(regional_metrics(rows).select(columns)).isEmpty()
+    assert streams.running_regional_metrics(streams.json_stream(spark, fresh_dir_with_nothing(spark)), fresh_dir(spark, "none")).count() == 0
+
+
+def fresh_dir_with_nothing(spark):
+    path = fresh_dir(spark, "empty")
+    spark.createDataFrame([], "x int").write.json(path)
+    return path
+
+
+def test_a_replayed_batch_leaves_one_result(spark):
+    """Batches numbered in the data: a second stream over the same files, in triggers of several files, replaces what the first has written."""
+    rows = transactions(spark, 240).withColumn("batch", F.pmod(F.xxhash64("transaction_id"), F.lit(4)).cast("int"))
+    path, out = fresh_dir(spark, "in"), fresh_dir(spark, "batches")
+    rows.repartition("batch").write.partitionBy("batch").json(path)
+    schema = T.StructType([*rows.drop("batch").schema.fields, T.StructField("batch", T.IntegerType())])
+    results = [sorted(map(tuple, streams.batch_metrics(streams.json_stream(spark, path, schema, files), out, 1.0, "batch").collect()))
+               for files in (1, 3)]
+    assert results[0] == results[1] and {r[0] for r in results[0]} == {0, 1, 2, 3}
+    ledger = streams.Records(spark, f"{out}/_ledger", "batch_id long, micro_batch long, n long").read().collect()
+    assert {r["batch_id"]: r["n"] for r in ledger} == {r["batch"]: r["count"] for r in rows.groupBy("batch").count().collect()}
+    assert max(r["micro_batch"] for r in ledger) == 1
+    for n in range(4):  # each batch is flagged by its own statistics
+        own = [r["price_usd"] for r in rows.where(F.col("batch") == n).collect()]
+        mean = sum(own) / len(own)
+        std = (sum((v - mean) ** 2 for v in own) / (len(own) - 1)) ** 0.5
+        got = streams.regional_metrics(rows.where(F.col("batch") == n)).count()
+        assert got == len([r for r in results[0] if r[0] == n])
+        flags = spark.read.parquet(out).where(F.col("batch_id") == n).agg(F.sum("anomaly_count")).head()[0]
+        assert flags == sum(abs(v - mean) > std for v in own)
 
 
 def test_stream_resumes_from_its_checkpoint(spark):
