@@ -35,9 +35,21 @@ def cents(c: Column | str) -> Column:
     return F.round(col(c) * 100).cast("bigint")
 
 
+_LOW_BITS = 24
+
+
 def exact_sum(c: Column | str, places: int = 6) -> Column:
-    """Sum in decimals of so many places: no order of adding matters, and nothing of a cent is lost."""
-    return F.sum(col(c).cast(f"decimal(38,{places})")).cast("double")
+    """Sum in units of so many decimal places: no order of adding matters, and nothing of a cent is lost.
+
+    Up to six places a value is a whole number of units (below 9.2e12 at six), whose high and low bits are added apart as plain integers: neither sum
+    can overflow before 10^11 rows.  More places are added as decimals.  A NaN or infinite value is an error.
+    """
+    if places > 6:
+        return F.sum(col(c).cast(f"decimal(38,{places})")).cast("double")
+    units = F.round(col(c) * F.lit(float(10 ** places))).cast("bigint")
+    high, low = F.sum(F.shiftright(units, _LOW_BITS)), F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    total = high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(9,0)") + low.cast("decimal(20,0)")
+    return (total.cast("decimal(32,0)") / F.lit(10 ** places).cast("decimal(7,0)")).cast("double")
 
 
 def exact_avg(c: Column | str, places: int = 6) -> Column:

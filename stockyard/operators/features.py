@@ -24,9 +24,11 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
 def encode_categories(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Add 0-based codes ``{column: code column}`` in sorted order of the values; null gives -1.
 
-    The distinct values of all columns are numbered together as one table, whatever their number, and joined.
+    The rows' distinct combinations are found in one pass, before anything is multiplied; their values are numbered together as one
+    table, whatever their number, and joined.
     """
-    pairs = df.select(F.explode(F.array(*[
+    combinations = df.select(*columns).distinct()
+    pairs = combinations.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("_c"), F.col(c).cast("string").alias("_v")) for c in columns])).alias("p")).select("p.*")
     codes = materialize(rank_within(pairs.where("_v IS NOT NULL").distinct(), ["_c"], ["_v"], "_code"), "codes")
     for column, code in columns.items():

@@ -120,12 +120,8 @@ def _pairs(spark, sf) -> dict[str, tuple[DataFrame, DataFrame]]:
             "label": (tx.where("is_fraud = 0"), tx.where("is_fraud = 1"))}
 
 
-def _drift(spark, sf) -> dict[str, DataFrame]:
-    return {n: drift.feature_drift(a, b, DRIFT_COLUMNS) for n, (a, b) in _pairs(spark, sf).items()}
-
-
-def _tagged(frames: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [f.withColumn("pair", F.lit(n)) for n, f in frames.items()])
+def _drift(spark, sf) -> DataFrame:
+    return drift.feature_drifts(_pairs(spark, sf), DRIFT_COLUMNS)
 
 
 def _profile(c):
@@ -141,12 +137,12 @@ def reference_profile(spark, sf):
 
 @query("SELECT pair, feature, round(d, 9) AS ks_statistic FROM ks")
 def ks_statistic(spark, sf):
-    return rounded(_tagged(_drift(spark, sf)).select("pair", "feature", "ks_statistic"), ks_statistic=9)
+    return rounded(_drift(spark, sf).select("pair", "feature", "ks_statistic"), ks_statistic=9)
 
 
 @query("SELECT pair, feature, round(p, 9) AS ks_pvalue FROM ks_p")
 def ks_pvalue(spark, sf):
-    return rounded(_tagged(_drift(spark, sf)).select("pair", "feature", "ks_pvalue"), ks_pvalue=9)
+    return rounded(_drift(spark, sf).select("pair", "feature", "ks_pvalue"), ks_pvalue=9)
 
 
 @query(f"""WITH c AS (SELECT region, cast(date_trunc('week', ts) AS date) AS week, price_usd AS value, count(*) FILTER (shipping_days <= 10) AS a,
@@ -166,13 +162,13 @@ def weekly_drift(spark, sf):
 @query("""SELECT pair, feature, round(ks_statistic, 9) AS ks_statistic, round(ks_pvalue, 9) AS ks_pvalue,
           round(mean_shift, 6) AS mean_shift, drifted FROM drift""")
 def feature_drift(spark, sf):
-    return rounded(_tagged(_drift(spark, sf)), ks_statistic=9, ks_pvalue=9, mean_shift=6)
+    return rounded(_drift(spark, sf), ks_statistic=9, ks_pvalue=9, mean_shift=6)
 
 
 @query("""SELECT pair, count(*) FILTER (drifted) AS n_drifted, bool_or(drifted) AS drift_detected,
           round(count(*) FILTER (drifted) / count(*)::double, 9) AS drift_ratio FROM drift GROUP BY pair""")
 def drift_summary(spark, sf):
-    return rounded(_tagged({n: drift.drift_summary(f) for n, f in _drift(spark, sf).items()}), drift_ratio=9)
+    return rounded(drift.drift_summary(_drift(spark, sf), ["pair"]), drift_ratio=9)
 
 
 _PRED_LONG = """SELECT 'pred' AS feature, y_hat AS value, label AS cur FROM scored"""
