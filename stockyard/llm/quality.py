@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockyard.functions.scalars import let
 from stockyard.llm.texts import carried
 
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "clean_text", "removed", "lost", "kept")
@@ -25,6 +26,7 @@ NAVIGATION = (
     r"(?i)^\W*(home|menu|next|previous|back to top|log ?in|log ?out|sign (in|up|out)|register|share( this)?|read more|click here"
     r"|skip to (main )?content|contact us|about us|sitemap|search|comments?|reply|print|email)\W*$")
 SEPARATOR = r" [|»›·•>/] "
+TWO_CAPITALS = r"\p{Lu}[^\p{L}]*\p{Lu}"
 ENDS = r"[.!?…:;。！？)\]\"'”’»]$"
 
 #: Parameters: a line with fewer words must end in punctuation; parts of a line's characters that may be symbols
@@ -50,20 +52,23 @@ def words_of(text: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    """Name of the first rule that a line with words breaks; null for a good line."""
+    """Name of the first rule that a line with words breaks; null for a good line.
+
+    What several rules need is bound once per line; what one rule needs is only worked out if no rule before it is broken.
+    """
+    def rules(text: Column, size: Column, n_words: Column) -> Column:
+        menu = let(F.regexp_count(text, F.lit(SEPARATOR)), lambda n: (n >= MENU_SEPARATORS) & (n * MENU_WORDS >= n_words))
+        phrases = text.rlike(BOILERPLATE) & ((n_words < PROSE_LINE) | (size - F.length(F.regexp_replace(text, BOILERPLATE, "")) >= MIN_BOILERPLATE * size))
+        letters, capitals = (F.length(F.regexp_replace(text, f"[^\\p{{{k}}}]", "")) for k in ("L", "Lu"))
+        # more than half capitals among a dozen letters: two of them follow each other
+        shouted = text.rlike(TWO_CAPITALS) & let(letters, lambda n: (n >= 12) & (capitals > MAX_CAPITALS * n))
+        return (F.when(size - _without(text, SYMBOLS) > MAX_SYMBOLS * size, "symbols").when(menu | text.rlike(NAVIGATION), "navigation")
+                .when(phrases, "boilerplate").when(shouted, "capitals")
+                .when((n_words < SHORT_LINE) & ~text.rlike(ENDS), "punctuation"))
+
     trimmed = F.regexp_replace(line, f"^{BLANK}+|{BLANK}+$", "")
-    size = F.length(trimmed)
-    n_words = F.size(F.split(trimmed, f"{BLANK}+"))
-    letters = F.length(F.regexp_replace(trimmed, r"[^\p{L}]", ""))
-    capitals = F.length(F.regexp_replace(trimmed, r"[^\p{Lu}]", ""))
-    return (F.when(size - _without(trimmed, SYMBOLS) > MAX_SYMBOLS * size, "symbols")
-            .when((F.regexp_count(trimmed, F.lit(SEPARATOR)) >= MENU_SEPARATORS)
-                  & (F.regexp_count(trimmed, F.lit(SEPARATOR)) * MENU_WORDS >= n_words), "navigation")
-            .when(trimmed.rlike(NAVIGATION), "navigation")
-            .when(trimmed.rlike(BOILERPLATE) & ((n_words < PROSE_LINE)
-                  | (size - F.length(F.regexp_replace(trimmed, BOILERPLATE, "")) >= MIN_BOILERPLATE * size)), "boilerplate")
-            .when((letters >= 12) & (capitals > MAX_CAPITALS * letters), "capitals")
-            .when((n_words < SHORT_LINE) & ~trimmed.rlike(ENDS), "punctuation"))
+    known = let(trimmed, lambda t: F.struct(t.alias("text"), F.length(t).alias("size"), F.size(F.split(t, f"{BLANK}+")).alias("n_words")))
+    return let(known, lambda k: rules(k["text"], k["size"], k["n_words"]))
 
 
 def clean(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -102,14 +107,13 @@ def clean(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",
     df = df.withColumn("_places", F.sort_array(F.transform(F.filter("_ordered", repeated), lambda x: x["at"])))
     # a window covers three words, less those the previous one has covered
     covered = F.transform("_places", lambda p, j: F.coalesce(F.least(F.lit(3), p - F.get("_places", j - 1)), F.lit(3)))
-    with_words = F.filter("_lines", lambda x: x.rlike(f"[^{BLANK[1:-1]}]"))
     df = df.withColumns({
         "_repeat": F.coalesce(F.aggregate(covered, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long"),
-        "_filled": with_words,
-        "_judged": F.transform("_lines", lambda x: F.struct(
-            x.alias("line"), F.when(x.rlike(f"[^{BLANK[1:-1]}]"), line_fails(x)).alias("rule"))),
+        "_judged": F.transform("_lines", lambda x: let(x.rlike(f"[^{BLANK[1:-1]}]"), lambda filled: F.struct(
+            x.alias("line"), filled.alias("filled"), F.when(filled, line_fails(x)).alias("rule")))),
     })
     df = df.withColumns({
+        "_filled": F.transform(F.filter("_judged", lambda x: x["filled"]), lambda x: x["line"]),
         "_clean": F.array_join(F.transform(F.filter("_judged", lambda x: x["rule"].isNull()), lambda x: x["line"]), "\n"),
         "_removed": F.transform(F.filter("_judged", lambda x: x["rule"].isNotNull()), lambda x: x["rule"]),
         "_chars": _without(F.col("_text"), blank).cast("long"),
