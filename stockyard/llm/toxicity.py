@@ -256,6 +256,16 @@ def _side(doc_id: str) -> F.Column:
     return F.crc32(F.col(f"`{doc_id}`").cast("string").cast("binary")) % 4
 
 
+def _maybe_labelled(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows whose id may be labelled, by a filter of FILTER_BITS bits, so that few other texts are sent to the join that
+    decides.  The filter has a fixed size (2^20 cells at most); a fuller one only lets more rows through."""
+    bit = F.xxhash64("id").bitwiseAND(F.lit(FILTER_BITS - 1))
+    cells = (known.select(bit.alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_cell"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit & 63 AS int))")).alias("_bits")))
+    held = rows.withColumn("_bit", bit).withColumn("_cell", F.shiftright("_bit", 6)).join(F.broadcast(cells), "_cell")
+    return held.where(F.expr("shiftright(_bits, cast(_bit & 63 AS int)) & 1 = 1")).select(*rows.columns)
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         frequent: int = FREQUENT) -> Model:
     """Models and curve from the labelled rows whose crc32(id) mod 4 is not 2: those at 0 and 1 are counted, those
@@ -267,6 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
             .where(F.col("id").isNotNull() & (_side("id") != 2)))
     # labels grow with the corpus: merged at every size, never sent to all tasks
+    rows = _maybe_labelled(rows, known.where(_side("id") != 2))
     known = known.where(_side("id") != 2).hint("merge")
     counted = _counts(rows.where(_side("id") < 2).join(known.where(_side("id") < 2), "id"))
     model = _model(*_contrasts(materialize(counted, "words")), frequent)
