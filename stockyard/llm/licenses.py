@@ -40,7 +40,8 @@ PERMISSIVE = ("mit", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "isc", "0bsd"
 TAG = "spdx license identifier"
 
 _TAG_LINE = re.compile(rb"spdx-license-identifier\s*:[ \t]*([^\r\n]*)", re.I)
-_PIECE = re.compile(r"\(|\)|[A-Za-z0-9.+:\-]+")
+_CLOSER = re.compile(r"\s*(\*/|-->|\*\)|#\}|%>|\?>|\"\"\"|\'\'\')")
+_PIECE = re.compile(r"\s*(?:([()]|[A-Za-z0-9.+:\-]+)|$)")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 _LOWER_AND_BLANK = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                          for b in range(256))
@@ -49,14 +50,21 @@ _LOWER_AND_BLANK = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <
 def parse_expression(text: str) -> list[str] | None:
     """Reverse Polish form of a licence expression by the shunting-yard method; None if malformed.
 
-    ``with`` binds tighter than ``and``, ``and`` tighter than ``or``; all bind to the left.  Reading
-    stops before the first piece that cannot continue the expression (a comment's end, say).
+    ``with`` binds tighter than ``and``, ``and`` tighter than ``or``; all bind to the left.  The closing mark of a
+    comment ends the expression; any other character or piece that cannot continue it makes it malformed, since a
+    licence that is not understood must not be skipped.
     """
+    closer = _CLOSER.search(text)
+    text = (text[:closer.start()] if closer else text).strip()
     out: list[str] = []
     waiting: list[str] = []
     operand_next = True
-    for found in _PIECE.finditer(text):
-        piece, low = found[0], found[0].lower()
+    at = 0
+    while at < len(text):
+        found = _PIECE.match(text, at)
+        if not found:
+            return None
+        at, piece, low = found.end(), found[1], found[1].lower()
         if operand_next:
             if piece == "(":
                 waiting.append(piece)
@@ -69,7 +77,7 @@ def parse_expression(text: str) -> list[str] | None:
             while waiting and waiting[-1] != "(":
                 out.append(waiting.pop())
             if not waiting:
-                break
+                return None
             waiting.pop()
         elif low in _BINDS:
             while waiting and waiting[-1] != "(" and _BINDS[waiting[-1]] >= _BINDS[low]:
@@ -77,7 +85,7 @@ def parse_expression(text: str) -> list[str] | None:
             waiting.append(low)
             operand_next = True
         else:
-            break
+            return None
     if operand_next:
         return None
     while waiting:
@@ -129,7 +137,8 @@ def scan(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",)
     Adds ``n_words``, ``n_base`` (places of base phrases, overlapping ones included), ``first_word``
     and ``last_word`` (their smallest and largest start, else null), ``base_labels``, ``labels``
     (base, notices and tags; distinct, sorted, comma-joined), ``expressions`` (as written, one per
-    line), ``permissive`` (every tag can be met with the permissive licences; null without a well-formed tag)
+    line), ``permissive`` (every tag can be met with the permissive licences; false if a well-formed one cannot, null
+    without a well-formed tag or beside a malformed one)
     and ``score``: 0 without evidence, 1 with a well-formed tag, 0.6 for one label of phrases, 0.2
     more for each further one up to 0.95.
 
@@ -149,11 +158,12 @@ def scan(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",)
                 base_labels.add(of_base)
             labels.update(x for x in (of_base, of_notice) if x)
             tagged |= is_tag
-        verdicts, written = [], []
+        verdicts, written, malformed = [], [], False
         phrases = len(labels)
         for line in _TAG_LINE.findall(raw) if tagged else ():
             expression = line.decode("utf-8", "replace").strip()
             found = evaluate(expression, allowed)
+            malformed |= found is None
             if found:
                 verdicts.append(found[0])
                 written.append(expression)
@@ -163,7 +173,7 @@ def scan(docs: DataFrame, text: str = "text", carry: Sequence[str] = ("doc_id",)
         score = 1.0 if verdicts else min(0.95, 0.4 + 0.2 * phrases) if phrases else 0.0
         return (len(words), len(places), places[0] if places else None, places[-1] if places else None,
                 ",".join(sorted(base_labels)), ",".join(sorted(labels)), "\n".join(written),
-                all(verdicts) if verdicts else None, score)
+                False if not all(verdicts) else True if verdicts and not malformed else None, score)
 
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "expressions", "permissive", "score")
 

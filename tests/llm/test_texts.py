@@ -28,10 +28,10 @@ def test_expressions():
     for text, want in {
         "MIT": True, "GPL-2.0-only": False, "MIT OR GPL-2.0-only": True, "MIT AND GPL-2.0-only": False,
         "MIT OR GPL-2.0-only AND GPL-3.0-only": True, "(MIT OR GPL-2.0-only) AND GPL-3.0-only": False,
-        "Apache-2.0 WITH LLVM-exception AND MIT": True, "MIT */": True, "((MIT))": True,
+        "Apache-2.0 WITH LLVM-exception AND MIT": True, "MIT */": True, "((MIT))": True, "MIT --> GPL-3.0-only": True, "MIT*/": True,
     }.items():
         assert licenses.evaluate(text, allowed)[0] is want, text
-    for text in ("", "AND MIT", "MIT OR", "(MIT", ")", "( )"):
+    for text in ("", "AND MIT", "MIT OR", "(MIT", ")", "( )", "MIT)", "MIT/GPL-3.0-only", "MIT GPL-3.0-only", "MIT, GPL-3.0-only", "MIT & ISC", "*/"):
         assert licenses.evaluate(text, allowed) is None, text
     assert licenses.evaluate("GPL-2.0 WITH Classpath-exception-2.0 OR MIT", allowed) == (True, ["gpl-2.0 with classpath-exception-2.0", "mit"])
 
@@ -39,7 +39,8 @@ def test_expressions():
 def test_licenses(spark):
     texts = ["The MIT License. MIT license mit-LICENSE", "GNU General Public License, version 3", "mit licenses", None, "", " ",
              "x SPDX-License-Identifier: MIT OR GPL-2.0-only\nend", "SPDX-License-Identifier: (MIT", "All rights reserved.",
-             "é mit license", "mit\x7flicense", "w " * 50_000 + "Apache License", "GNU Affero General Public License"]
+             "é mit license", "mit\x7flicense", "w " * 50_000 + "Apache License", "GNU Affero General Public License",
+             "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: MIT/GPL-3.0-only"]
     df = spark.createDataFrame([cases.row(i if i else None, t) for i, t in enumerate(texts)], cases.SCHEMA)
     got = {r["doc_id"] or 0: r for r in licenses.scan(df).collect()}
     for i, t in enumerate(texts):
@@ -52,6 +53,7 @@ def test_licenses(spark):
     assert got[6]["permissive"] is True and "spdx:mit" in got[6]["labels"] and got[6]["score"] == 1
     assert got[7]["permissive"] is None and got[8]["labels"] == "all-rights-reserved" and got[12]["labels"] == "agpl,gpl"
     assert got[3]["labels"] == "" and got[3]["score"] == 0
+    assert got[13]["permissive"] is None and got[13]["expressions"] == "MIT"
     assert licenses.scan(cases.empty(spark)).count() == 0
 
 
