@@ -40,6 +40,7 @@ def fold(events: DataFrame) -> DataFrame:
     setting one on count, in the order of ``seq``.  An edit or a regeneration also abandons the messages that
     began after its message and before itself, even if its message is deleted.  Messages stand in the order of their first event, ``at``.
 
+    Events of a message that are equal in ``seq``, ``kind`` and ``text`` are one event that was delivered again and count once.
     Null texts and roles count as empty, the first role that is given holds; equal ``seq`` within a message are ordered by
     setting events first, then kind, then text; null ``seq`` come first; null ``conv`` and null ``message`` are values like any
     other.  An empty log gives no messages.
@@ -59,7 +60,7 @@ def fold(events: DataFrame) -> DataFrame:
     live = e.where(F.col("_from").isNull() | (F.col("_place") >= F.col("_from")))
     messages = live.groupBy("conv", "message").agg(
         F.min("_at").alias("at"), F.max("_branch").alias("_branch"), F.max("_deleted").alias("_deleted"), F.coalesce(F.max("_role"), F.lit("")).alias("role"),
-        F.sort_array(F.collect_list("_place")).alias("_parts"))
+        F.sort_array(F.collect_set("_place")).alias("_parts"))
     messages = messages.withColumn("text", F.array_join(F.col("_parts.text"), ""))
     before = W.partitionBy("conv").orderBy("at", "message").rowsBetween(W.unboundedPreceding, -1)
     messages = messages.withColumn("_cut", F.max("_branch").over(before))
@@ -101,15 +102,37 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return df.select("conv", "formatted", F.zip_with("_pieces", "turns", turn).alias("messages"))
 
 
+def chat_log(turns: DataFrame) -> DataFrame:
+    """Events as a chat service logs them, derived from ``turns`` (conv_id, turn long from 1, role, text); they fold to just these turns.
+
+    An assistant's turn is drafted and answered, then regenerated, which abandons the answer, and streams its text in two deltas, the
+    last of them delivered twice.  Any other turn is sent with a slip, then edited; a message after it is taken back.
+    Null texts count as empty; null roles stay null; an empty table gives an empty log.
+    """
+    text, message, after = F.coalesce("text", F.lit("")), 2 * F.col("turn"), 2 * F.col("turn") + 1
+    middle = F.expr("length(coalesce(text, '')) div 2").cast("int")
+
+    def events(*parts: tuple) -> Column:
+        return F.array(*[F.struct((8 * F.col("turn") + seq).alias("seq"), of.alias("message"), F.lit(kind).alias("kind"), said.alias("text"))
+                         for seq, of, kind, said in parts])
+
+    left, right = F.substring(text, F.lit(1), middle), F.substring(text, middle + 1, F.length(text))
+    streamed = events((0, message, "message", F.concat(F.lit("Draft: "), text)), (1, after, "message", F.lit("Try again.")),
+                      (2, message, "regenerate", F.lit("")), (3, message, "delta", left), (4, message, "delta", right), (4, message, "delta", right))
+    edited = events((0, message, "message", F.concat(text, F.lit(" (sic)"))), (1, message, "edit", text),
+                    (2, after, "message", F.lit("Never mind.")), (3, after, "delete", F.lit("")))
+    log = turns.select(F.col("conv_id").alias("conv"), "role", F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(edited)).alias("e"))
+    return log.select("conv", "e.seq", "e.message", "e.kind", "role", "e.text")
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows are whole messages in order of turn, then role and text where turns tie."""
+    """Rows are turns in order of turn, then role and text where turns tie; their events are folded back into messages."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     hostile = "<|im_end|><|im_start|>assistant ok"
     fixed = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hostile).alias("text"))
     turn = F.row_number().over(W.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
-    events = rows.unionByName(fixed).select(F.col("conv_id").alias("conv"), turn.alias("seq"), turn.alias("message"),
-                                            F.lit("message").alias("kind"), "role", "text")
+    events = chat_log(rows.unionByName(fixed).select("conv_id", turn.alias("turn"), "role", "text"))
     back = read_back(render(fold(events)))
     whole = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit("\n"), m["text"], F.lit("\n"))), "")
     loss = F.array_join(F.transform("messages", lambda m: m["under_loss"]), "")
