@@ -74,9 +74,12 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     # only revisits are joined, and a payload is shuffled once: by the record id that its revisits ask for
     asking = rows.where("revisit").drop("payload").join(answers, "record_id", "left")
     asking = asking.withColumn("_id", F.when(F.col("a.outcome").isin("resolved", "unverified"), F.col("a.source_id")))
+    # those that ask for none are spread by a second key: nulls of one key would meet in one task
+    asking = asking.withColumn("_spread", F.when(F.col("_id").isNull(), F.hash("record_id", "canonical_url")).otherwise(0))
+    bodies = bodies.withColumn("_spread", F.lit(0))
     updates = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("_source.headers", lambda k, v: ~F.map_contains_key(updates, k)), updates)
-    answered = asking.join(bodies, "_id", "left").select(
+    answered = asking.join(bodies, ["_id", "_spread"], "left").select(
         "record_id", "canonical_url", F.coalesce("a.outcome", F.lit("orphan")).alias("outcome"), F.col("a.source_id").alias("source_id"),
         F.when(F.col("_id").isNotNull(), merged).otherwise(F.col("headers")).alias("headers"), F.col("_source.payload").alias("payload"))
     own = rows.where("NOT revisit").select("record_id", "canonical_url", F.lit("full").alias("outcome"),
