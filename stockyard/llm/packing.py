@@ -1,14 +1,9 @@
 """Mixture-controlled packing of token streams into fixed windows by deficit round-robin.
 
-Every source is a queue of tokens.  In each window a queue earns its target share of the window as
-credit, sends as many whole tokens as its credit allows, and keeps the rest of the credit (its
-deficit) for the next window, so every window is full and every queue is within one token of its
-target at any time.  The credit a queue has at the start of any window is a whole-number formula
-of the window's number, so every task knows the deficits carried into its part without waiting for
-the parts before it.
-
-Sources without a weight of their own are one stream of the schedule, which mixes them by the same formula: a
-source needs only its tokens, the tokens of the sources before it and the sum of all, which a Spark table holds.
+Every source is a queue of packets, parts of documents of a set size.  In each round a queue earns its target
+share of a window as credit, sends the packets its credit pays for, and keeps the rest (its deficit) for the next
+round.  The round in which a packet can be paid is a formula of the tokens before it in its queue, so the deficits are known everywhere, and
+the packets in order of round and queue are one stream, which is cut into full windows by a distributed running sum.
 """
 
 from __future__ import annotations
@@ -81,130 +76,41 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-class Schedule:
-    """Which window, and which place in it, every token of every queue has.
+class Windows:
+    """The sequences of a stream of ``total`` tokens: full ones of ``size``, then what is left in powers of two, nothing padded."""
 
-    ``totals`` are the queues' tokens, ``weights`` the whole-number target proportions.  While all queues last, window
-    w ends when queue j has sent floor(w·size·C[j+1]/D) − floor(w·size·C[j]/D) tokens, C being the
-    weights summed up to j and D their sum.  When a queue cannot fill its share any more, one window
-    takes its last tokens and the others go on in their proportions.  What is left for less than one window is
-    cut into sequences whose lengths are powers of two: nothing is padded.
-    """
+    def __init__(self, total: int, size: int):
+        self.size, self.full = size, total // size
+        self.tail = [0]  # where the sequences behind the full ones start and end, from the first of them
+        for bit in reversed(range((total % size).bit_length())):
+            if total % size >> bit & 1:
+                self.tail.append(self.tail[-1] + (1 << bit))
 
-    def __init__(self, totals: Sequence[int], weights: Sequence[int], size: int):
-        self.size, n = size, len(totals)
-        left, sent = list(totals), [0] * n
-        self.parts: list[tuple[int, int, list[int], list[int]]] = []  # first window, windows, sent before, C
-        window = 0
-        while sum(left) >= size:
-            live = [w if rest else 0 for w, rest in zip(weights, left)]
-            count = min(rest * sum(live) // (size * w) for w, rest in zip(live, left) if w)
-            shares = live if count else self._last_window(left, live, size)
-            sums = [0]
-            for w in shares:
-                sums.append(sums[-1] + w)
-            self.parts.append((window, max(count, 1), list(sent), sums))
-            for j in range(n):
-                used = self._sent(self.parts[-1], j, max(count, 1)) - sent[j]
-                sent[j] += used
-                left[j] -= used
-            window += max(count, 1)
-        self.windows, self.tail_from, self.tail_before = window, sent, [sum(left[:j]) for j in range(n)]
-        rest, at = sum(left), 0
-        self.tail: list[int] = []
-        while rest:
-            at_most = 1 << (rest.bit_length() - 1)
-            self.tail.append(at)
-            at += at_most
-            rest -= at_most
-        self.tail_end = at
-        self.starts = [[p[2][j] for p in self.parts] for j in range(n)]
-
-    @staticmethod
-    def _last_window(left: list[int], live: list[int], size: int) -> list[int]:
-        """Tokens each queue sends in the window that empties at least one of them."""
-        quota: dict[int, int] = {}
-        while True:
-            room, total = size - sum(quota.values()), sum(w for j, w in enumerate(live) if j not in quota)
-            cut, plan = 0, {}
-            for j, w in enumerate(live):
-                if w and j not in quota:
-                    plan[j] = room * (cut + w) // total - room * cut // total
-                    cut += w
-            short = [j for j, q in plan.items() if left[j] <= q]
-            if not short:
-                quota |= plan
-                return [quota.get(j, 0) for j in range(len(live))]
-            for j in short:
-                quota[j] = left[j]
-            if len(quota) == sum(map(bool, live)):
-                return [quota.get(j, 0) for j in range(len(live))]
-
-    def _sent(self, part: tuple, j: int, windows: int) -> int:
-        """Tokens queue j has sent after so many windows of the part."""
-        _, _, before, c = part
-        return before[j] + windows * self.size * c[j + 1] // c[-1] - windows * self.size * c[j] // c[-1]
-
-    def pieces(self, j: int, begin: int, length: int) -> Iterator[tuple[int, int, int, int]]:
-        """(start in the run, length, sequence, offset) of the pieces of tokens begin.. of queue j."""
-        at, end = begin, begin + length
-        while at < end and at < self.tail_from[j]:
-            part = self.parts[bisect_right(self.starts[j], at) - 1]
-            first, count, before, c = part
-            share = c[j + 1] - c[j]
-            w = min((at - before[j]) * c[-1] // (self.size * share), count - 1)
-            while self._sent(part, j, w) > at:
-                w -= 1
-            while self._sent(part, j, w + 1) <= at:
-                w += 1
-            opens = self._sent(part, j, w)
-            stop = min(end, self._sent(part, j, w + 1))
-            place = (w + 1) * self.size * c[j] // c[-1] - w * self.size * c[j] // c[-1]
-            yield at - begin, stop - at, first + w, place + at - opens
-            at = stop
-        while at < end:
-            place = self.tail_before[j] + at - self.tail_from[j]
-            k = bisect_right(self.tail, place) - 1
-            close = self.tail[k + 1] if k + 1 < len(self.tail) else self.tail_end
-            stop = min(end, at + close - place)
-            yield at - begin, stop - at, self.windows + k, place - self.tail[k]
-            at = stop
-
-
-def mixed(before: int, total: int, every: int, block: int, begin: int, length: int) -> Iterator[tuple[int, int, int]]:
-    """(start in the run, length, place in the stream) of the pieces of tokens begin.. of one source of a stream.
-
-    The source has ``total`` of the stream's ``every`` tokens, the sources ahead of it ``before``.  After w blocks it has sent
-    floor(w·block·(before + total)/every) − floor(w·block·before/every) tokens; the last block may be shorter.
-    """
-    def cut(w: int, c: int) -> int:
-        return min(w * block, every) * c // every
-
-    at, end = begin, begin + length
-    while at < end:
-        w = at * every // (block * total)
-        while cut(w, before + total) - cut(w, before) > at:
-            w -= 1
-        while cut(w + 1, before + total) - cut(w + 1, before) <= at:
-            w += 1
-        opens = cut(w, before + total) - cut(w, before)
-        stop = min(end, cut(w + 1, before + total) - cut(w + 1, before))
-        yield at - begin, stop - at, w * block + cut(w + 1, before) - cut(w, before) + at - opens
-        at = stop
+    def pieces(self, place: int, length: int) -> Iterator[tuple[int, int, int]]:
+        """(length, sequence, offset) of the pieces of the stream's tokens place.. in order."""
+        end = place + length
+        while place < end:
+            window, offset, room = place // self.size, place % self.size, self.size - place % self.size
+            if window >= self.full:
+                beyond = place - self.full * self.size
+                k = bisect_right(self.tail, beyond) - 1
+                window, offset, room = self.full + k, beyond - self.tail[k], self.tail[k + 1] - beyond
+            yield min(end - place, room), window, offset
+            place += room
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, text: str, source: str, carry: Sequence[str]) -> DataFrame:
-    """Ids of whole texts plus ``end_id``; with the task that made them and the tokens of the same
-    source before them in that task."""
+    """Ids of whole texts plus ``end_id``; with the task that made them, the row's number and the tokens of the same
+    source before it in that task."""
     schema = T.StructType([docs.schema[c] for c in carry] + list(T._parse_datatype_string(
-        "_source string, _ids binary, _n long, _task long, _before long")))
+        "_source string, _ids binary, _n long, _task long, _row long, _before long")))
     k = len(carry)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        ids_of, task, seen = encoder(tokenizer).ids, TaskContext.get().partitionId(), defaultdict(int)
+        ids_of, task, seen, rows = encoder(tokenizer).ids, TaskContext.get().partitionId(), defaultdict(int), 0
         for batch in batches:
             sources = [s or "" for s in batch.column(k).to_pylist()]
             packed, sizes, before = [], [], []
@@ -217,70 +123,102 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, text: str, source: st
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(k)]
                 + [pa.array(sources, pa.string()), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64()),
-                   pa.array([task] * len(sizes), pa.int64()), pa.array(before, pa.int64())], names=schema.names)
+                   pa.array([task] * len(sizes), pa.int64()), pa.array(range(rows, rows + len(sizes)), pa.int64()),
+                   pa.array(before, pa.int64())], names=schema.names)
+            rows += len(sizes)
 
     return docs.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{source}`").cast("string").alias("_llm_source"),
                        F.col(f"`{text}`").cast("string").alias("_llm_text")).mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights: dict[str, int] | None = None,
-         text: str = "text", source: str = "source", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+def packets(docs: DataFrame, quantum: int) -> DataFrame:
+    """One row for each packet of a document of ``_n`` tokens: ``_start`` and ``_stop`` in it.  A packet has from ``quantum`` to twice as
+    many tokens; a shorter document is one."""
+    parts = F.greatest(F.expr(f"_n div {quantum}"), F.lit(1))
+    cut = docs.withColumn("_parts", parts).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    return cut.withColumns({"_start": F.expr("_part * _n div _parts"), "_stop": F.expr("(_part + 1) * _n div _parts")}).drop("_parts", "_part")
+
+
+def schedule(stored: DataFrame, size: int, quantum: int, weights: dict[str, int] | None, others: int) -> tuple[DataFrame, int]:
+    """The place in the stream of every packet (``_task``, ``_row``, ``_start``, ``_stop``, ``_queue``, ``_place``), and the stream's tokens.
+
+    In a round a queue earns its share of ``size`` tokens as credit; it sends its next packet as soon as its credit pays for it
+    and keeps the rest, its deficit, for later rounds.  So a packet's round follows from the tokens before it in its queue alone, and
+    its place is a running sum over (round, queue).  A queue starts with a part of its first packet's price, by the hash of its name: otherwise all small queues
+    would send in one round.
+    """
+    runs = stored.groupBy("_task", "_source").agg(F.sum("_n").alias("_run"), F.min_by("_n", "_before").alias("_first"))
+    sources = materialize(runs.groupBy("_source").agg(F.sum("_run").alias("_total"), F.min_by("_first", "_task").alias("_first")), "sources")
+    if weights:
+        named = stored.sparkSession.createDataFrame(sorted(weights.items()), "_source string, _weight long")
+        sources = sources.join(named, "_source", "left")
+    else:
+        sources = sources.withColumn("_weight", F.lit(None).cast("long"))
+    free = F.col("_weight").isNull()
+    sums = sources.agg(F.sum("_total"), F.sum(F.when(free, F.col("_total"))), F.sum("_weight")).first()
+    total, rest, earned = (x or 0 for x in sums)
+    share = F.coalesce(F.col("_weight").cast("double"), others * F.col("_total") / max(rest, 1)) / (earned + (others if rest else 0))
+    price = F.expr(f"(_first div greatest(_first div {quantum}, 1))")
+    lead = price * (F.pmod(F.xxhash64("_source"), F.lit(1 << 20)) / (1 << 20))
+    queues = running_sums(sources.withColumns({"_all": F.lit(0), "_one": F.lit(1).cast("long")}), ["_all"], ["_source"], {"_number": "_one"})
+    queues = queues.select("_source", (F.col("_number") - 1).cast("int").alias("_queue"), (size * share).alias("_credit"), lead.alias("_lead"))
+    runs = running_sums(runs, ["_source"], ["_task"], {"_until": "_run"})
+    runs = materialize(runs.select("_task", "_source", (F.col("_until") - F.col("_run")).alias("_base")).join(queues, "_source"), "runs")
+    sent = packets(stored.select("_task", "_row", "_source", "_n", "_before").join(runs, ["_task", "_source"]), quantum)
+    upto = F.col("_base") + F.col("_before") + F.col("_stop")
+    sent = sent.select("_task", "_row", "_start", "_stop", "_queue", upto.alias("_upto"), (F.col("_stop") - F.col("_start")).alias("_length"),
+                       F.ceil((upto - F.col("_lead")) / F.col("_credit")).alias("_round"), F.lit(0).alias("_all"))
+    sent = running_sums(sent, ["_all"], ["_round", "_queue", "_upto"], {"_end": "_length"})
+    return sent.select("_task", "_row", "_start", "_stop", "_queue", (F.col("_end") - F.col("_length")).alias("_place")), total
+
+
+def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights: dict[str, int] | None = None, others: int | None = None,
+         quantum: int | None = None, text: str = "text", source: str = "source", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Sequences of ``size`` tokens that mix the sources in target proportions; one row per piece.
 
     Columns: ``carry``, ``start`` (the document's tokens before the piece), ``length``, ``ids``
     (binary, little-endian unsigned 32-bit), ``doc_tokens``, ``sequence_id``, ``offset`` (gapless from 0
     in each sequence) and ``queue``, a number for every source.  Without ``weights`` the target is the sources' share of all
-    tokens, so all queues end together.  ``weights`` gives positive whole-number proportions of named sources; the unnamed
-    ones together have the mean weight, and each of them its share of that.  Every source has its own queue, however small:
-    of unnamed sources only a Spark table is kept, of named ones the driver and tasks hold what ``weights`` names.
+    tokens, so all queues end together.  ``weights`` gives positive whole-number proportions of named sources, ``others`` that of all
+    unnamed ones together (default 1), of which each has a share by its tokens.  When a queue is empty the others go on in their proportions.
+
+    Queues send packets of ``quantum`` (default an eighth of ``size``) to twice as many tokens, or a shorter document whole, so a document of n
+    tokens is cut into n / quantum pieces at most, and where a sequence ends.  At any round a queue is less than two packets from its target.
 
     A null text or source counts as empty; an empty text is its end token alone.  Repeated rows are packed
     as often as they occur, null ids and further columns make no difference, an empty table gives no
     pieces.  Token ids are written once to the shared folder; a lost executor repeats only its tasks.
     """
     carry = carried(carry, ("start", "length", "ids", "doc_tokens", "sequence_id", "offset", "queue"))
+    quantum = quantum or max(1, size // 8)
+    if min(size, quantum, *(weights or {}).values(), 1 if others is None else others) < 1:
+        raise ValueError("size, quantum and weights must be positive")
     stored = materialize(tokenize(docs, tokenizer, end_id, text, source, carry), "tokens")
-    by_source = materialize(stored.groupBy("_source").agg(F.sum("_n").alias("_total")), "sources")
-    total = by_source.agg(F.sum("_total")).first()[0] or 0
-    if weights and min(weights.values()) < 1:
-        raise ValueError("weights must be positive")
-    named = {r["_source"]: r["_total"] for r in by_source.where(F.col("_source").isin(list(weights))).orderBy("_source").collect()} if weights else {}
-    totals, shares = list(named.values()), [weights[s] for s in named] if weights else []
-    rest = total - sum(totals)
-    if rest or not totals:
-        totals.append(rest)
-        shares.append(max(1, sum(weights.values()) // len(weights)) if weights else 1)
-    plan, shared = Schedule(totals, shares, size), len(named)
-    # as many tokens of the unnamed sources as go into a window
-    block = max(1, size * shares[-1] // sum(shares))
-    others = by_source.where(~F.col("_source").isin(list(named))) if named else by_source
-    others = running_sums(others.withColumns({"_all": F.lit(0), "_one": F.lit(1).cast("long")}), ["_all"], ["_source"],
-                          {"_until": "_total", "_number": "_one"})
-    others = others.select("_source", "_total", (F.col("_until") - F.col("_total")).alias("_ahead"), (F.col("_number") - 1 + shared).alias("_queue"))
-    if named:
-        own = stored.sparkSession.createDataFrame([(s, n, None, j) for j, (s, n) in enumerate(named.items())],
-                                                  "_source string, _total long, _ahead long, _queue long")
-        others = others.unionByName(own)
-    runs = stored.groupBy("_task", "_source").agg(F.sum("_n").alias("_run"))
-    runs = running_sums(runs, ["_source"], ["_task"], {"_until": "_run"})
-    runs = materialize(runs.select("_task", "_source", (F.col("_until") - F.col("_run")).alias("_base")).join(others, "_source"), "runs")
-    rows = (stored.join(runs, ["_task", "_source"])
-            .select(*[F.col(f"`{c}`") for c in carry], "_ids", "_queue", (F.col("_base") + F.col("_before")).alias("_begin"), "_ahead", "_total"))
+    sent, total = schedule(stored, size, quantum, weights, others or 1)
+    places = sent.groupBy("_task", "_row").agg(F.first("_queue").alias("_queue"),
+                                               F.sort_array(F.collect_list(F.struct("_start", "_stop", "_place"))).alias("_places"))
+    # a packet's place is 2 % of its ids: the side to hash
+    rows = stored.join(places.hint("shuffle_hash"), ["_task", "_row"]).select(
+        *[F.col(f"`{c}`") for c in carry], "_ids", "_queue", *[F.col(f"_places.{c}").alias(c) for c in ("_start", "_stop", "_place")])
     schema = T.StructType([docs.schema[c] for c in carry] + list(T._parse_datatype_string(
         "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, queue int")))
-    k = len(carry)
+    k, windows = len(carry), Windows(total, size)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, out = [], []
-            for i, (raw, q, begin, ahead, of) in enumerate(zip(*(batch.column(k + x).to_pylist() for x in range(5)))):
-                n = len(raw) // 4
-                named = ahead is None
-                for first, run, place in [(0, n, begin)] if named else mixed(ahead, of, rest, block, begin, n):
-                    for start, length, sequence, offset in plan.pieces(q if named else shared, place, run):
+            for i, (raw, queue, *packets) in enumerate(zip(*(batch.column(k + x).to_pylist() for x in range(5)))):
+                joined = []  # packets that follow each other in the stream are one
+                for start, stop, place in zip(*packets):
+                    if joined and joined[-1][2] + joined[-1][1] - joined[-1][0] == place:
+                        joined[-1][1] = stop
+                    else:
+                        joined.append([start, stop, place])
+                for at, stop, place in joined:
+                    for length, sequence, offset in windows.pieces(place, stop - at):
                         row.append(i)
-                        at = first + start
-                        out.append((at, length, raw[4 * at:4 * (at + length)], n, sequence, offset, q))
+                        out.append((at, length, raw[4 * at:4 * (at + length)], len(raw) // 4, sequence, offset, queue))
+                        at += length
             take = pa.array(row, pa.int64())
             columns = list(zip(*out)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
