@@ -101,11 +101,10 @@ class Windows:
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, text: str, source: str, carry: Sequence[str]) -> DataFrame:
     """Ids of whole texts plus ``end_id``; with the task that made them, the row's number and the tokens of the same
-    source before it in that task."""
+    source before it in that task.  Ids take two bytes each where all of a text's fit, else four."""
     schema = T.StructType([docs.schema[c] for c in carry] + list(T._parse_datatype_string(
         "_source string, _ids binary, _n long, _task long, _row long, _before long")))
     k = len(carry)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -115,9 +114,9 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, text: str, source: st
             sources = [s or "" for s in batch.column(k).to_pylist()]
             packed, sizes, before = [], [], []
             for name, value in zip(sources, batch.column(k + 1)):
-                raw = ids_of(value.as_py() or "").astype("<u4").tobytes() + end
-                packed.append(raw)
-                sizes.append(len(raw) // 4)
+                ids = np.append(ids_of(value.as_py() or ""), np.uint32(end_id))
+                packed.append(ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes())
+                sizes.append(len(ids))
                 before.append(seen[name])
                 seen[name] += sizes[-1]
             yield pa.RecordBatch.from_arrays(
@@ -199,7 +198,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
                                                F.sort_array(F.collect_list(F.struct("_start", "_stop", "_place"))).alias("_places"))
     # a packet's place is 2 % of its ids: the side to hash
     rows = stored.join(places.hint("shuffle_hash"), ["_task", "_row"]).select(
-        *[F.col(f"`{c}`") for c in carry], "_ids", "_queue", *[F.col(f"_places.{c}").alias(c) for c in ("_start", "_stop", "_place")])
+        *[F.col(f"`{c}`") for c in carry], "_ids", "_n", "_queue", *[F.col(f"_places.{c}").alias(c) for c in ("_start", "_stop", "_place")])
     schema = T.StructType([docs.schema[c] for c in carry] + list(T._parse_datatype_string(
         "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, queue int")))
     k, windows = len(carry), Windows(total, size)
@@ -207,7 +206,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, out = [], []
-            for i, (raw, queue, *packets) in enumerate(zip(*(batch.column(k + x).to_pylist() for x in range(5)))):
+            for i, (raw, n, queue, *packets) in enumerate(zip(*(batch.column(k + x).to_pylist() for x in range(6)))):
+                raw = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4").tobytes()
                 joined = []  # packets that follow each other in the stream are one
                 for start, stop, place in zip(*packets):
                     if joined and joined[-1][2] + joined[-1][1] - joined[-1][0] == place:
@@ -217,7 +217,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, weights
                 for at, stop, place in joined:
                     for length, sequence, offset in windows.pieces(place, stop - at):
                         row.append(i)
-                        out.append((at, length, raw[4 * at:4 * (at + length)], len(raw) // 4, sequence, offset, queue))
+                        out.append((at, length, raw[4 * at:4 * (at + length)], n, sequence, offset, queue))
                         at += length
             take = pa.array(row, pa.int64())
             columns = list(zip(*out)) if out else [()] * 7
