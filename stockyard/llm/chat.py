@@ -105,21 +105,21 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def chat_log(turns: DataFrame) -> DataFrame:
     """Events as a chat service logs them, derived from ``turns`` (conv_id, turn long from 1, role, text); they fold to just these turns.
 
-    An assistant's turn is drafted and answered, then regenerated, which abandons the answer, and streams its text in two deltas, the
-    last of them delivered twice.  Any other turn is sent with a slip, then edited; a message after it is taken back.
+    An assistant's turn is begun and answered, then regenerated, which abandons the answer, and streams its text in two deltas, the
+    last of them, up to 16 characters, delivered twice.  Any other turn is sent too early, then edited; a message after it is taken back.
     Null texts count as empty; null roles stay null; an empty table gives an empty log.
     """
     text, message, after = F.coalesce("text", F.lit("")), 2 * F.col("turn"), 2 * F.col("turn") + 1
-    middle = F.expr("length(coalesce(text, '')) div 2").cast("int")
+    last = F.greatest(F.length(text) - 16, F.lit(0))
 
     def events(*parts: tuple) -> Column:
         return F.array(*[F.struct((8 * F.col("turn") + seq).alias("seq"), of.alias("message"), F.lit(kind).alias("kind"), said.alias("text"))
                          for seq, of, kind, said in parts])
 
-    left, right = F.substring(text, F.lit(1), middle), F.substring(text, middle + 1, F.length(text))
-    streamed = events((0, message, "message", F.concat(F.lit("Draft: "), text)), (1, after, "message", F.lit("Try again.")),
+    left, right, begun = F.substring(text, F.lit(1), last), F.substring(text, last + 1, F.length(text)), F.concat(F.substring(text, 1, 16), F.lit(" ..."))
+    streamed = events((0, message, "message", begun), (1, after, "message", F.lit("Try again.")),
                       (2, message, "regenerate", F.lit("")), (3, message, "delta", left), (4, message, "delta", right), (4, message, "delta", right))
-    edited = events((0, message, "message", F.concat(text, F.lit(" (sic)"))), (1, message, "edit", text),
+    edited = events((0, message, "message", begun), (1, message, "edit", text),
                     (2, after, "message", F.lit("Never mind.")), (3, after, "delete", F.lit("")))
     log = turns.select(F.col("conv_id").alias("conv"), "role", F.explode(F.when(F.col("role") == "assistant", streamed).otherwise(edited)).alias("e"))
     return log.select("conv", "e.seq", "e.message", "e.kind", "role", "e.text")
