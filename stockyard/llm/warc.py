@@ -69,14 +69,13 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     outcome = (F.when(source.isNull(), "orphan").when(same.isNull(), "unverified").when(same, "resolved").otherwise("mismatch"))
     answers = (found.where("revisit").select("record_id", outcome.alias("outcome"), source["record_id"].alias("source_id"))
                .groupBy("record_id").agg(F.min_by(F.struct("outcome", "source_id"), F.struct("outcome", "source_id")).alias("a")))
-    bodies = (rows.where("NOT revisit").groupBy(F.col("record_id").alias("_id"))
+    bodies = (rows.where("NOT revisit").groupBy(F.col("record_id").alias("_id"), F.hash("record_id").alias("_spread"))
               .agg(F.min_by(F.struct("headers", "payload"), F.struct(F.col("payload"))).alias("_source")))
     # only revisits are joined, and a payload is shuffled once: by the record id that its revisits ask for
     asking = rows.where("revisit").drop("payload").join(answers, "record_id", "left")
     asking = asking.withColumn("_id", F.when(F.col("a.outcome").isin("resolved", "unverified"), F.col("a.source_id")))
     # those that ask for none are spread by a second key: nulls of one key would meet in one task
-    asking = asking.withColumn("_spread", F.when(F.col("_id").isNull(), F.hash("record_id", "canonical_url")).otherwise(0))
-    bodies = bodies.withColumn("_spread", F.lit(0))
+    asking = asking.withColumn("_spread", F.when(F.col("_id").isNull(), F.hash("record_id", "canonical_url")).otherwise(F.hash("_id")))
     updates = F.map_filter("headers", lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter("_source.headers", lambda k, v: ~F.map_contains_key(updates, k)), updates)
     answered = asking.join(bodies, ["_id", "_spread"], "left").select(
