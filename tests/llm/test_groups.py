@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stockyard.llm import chat, fmindex, graph, neardup, substring, topk
+from stockyard.llm import chat, fmindex, graph, neardup, substring, topk, toxicity
 from tests.llm import cases
 
 
@@ -194,6 +194,51 @@ def test_pipeline(spark, sf):
     assert {r["doc_id"] for r in tables[4].select("doc_id").distinct().collect()} == set(rows[3])
 
 
+def test_pipeline_odd_rows(spark, sf):
+    """Nulls, empty and long texts, ties, repeated rows, an empty table and clashing columns, stage by stage."""
+    df, rows = cases.documents(spark)
+    toxicity_stage, rules, near, cut, pack = (stage for _, stage in corpus_pipeline.STAGES)
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+
+    def texts(table):
+        return Counter((r["doc_id"], r["text"]) for r in table.collect())
+
+    mild = toxicity_stage(spark, df, sf)
+    assert mild.columns == columns
+    scores = {r["text"]: r["score"] for r in toxicity.score(
+        df, toxicity.fit(df, spark.read.parquet(f"{sf}/labels.parquet")), carry=("text",)).collect()}
+    assert texts(mild) == Counter((i, t) for i, t in rows if scores[t] < corpus_pipeline.TOXIC)
+
+    clean = rules(spark, df, sf)
+    assert clean.columns == columns
+    assert all(len(cases.words(t)) >= 50 for i, t in rows if (i, t) in texts(clean))
+    assert not {150, 151, 152, 153, 154, 155, 158} & {i for i, _ in texts(clean)}
+    prose = spark.createDataFrame([cases.row(i, (t or "") + ".") for i, t in rows], cases.SCHEMA)  # nothing for a rule to find
+    failed = [len(w) < 50 or 100 * cases.repeated_words(w) > 50 * len(w) for w in (cases.words((t or "") + ".") for _, t in rows)]
+    assert texts(rules(spark, prose, sf)) == Counter((i, (t or "") + ".") for (i, t), bad in zip(rows, failed) if not bad)
+
+    alone = near(spark, df, sf)
+    groups = cases.components(rows, corpus_pipeline.SIMILAR)
+    stay = [(i, t) for i, t in rows if i is None or groups[i] == i]
+    assert alone.columns == columns
+    assert texts(alone) == Counter({k: stay.count(k) if k[0] is None else 1 for k in stay})  # rows 3 once
+
+    short = cut(spark, df, sf)
+    want = Counter((i, tuple(k)) for (i, _), k in zip(rows, cases.without_repeats(rows, corpus_pipeline.PASSAGE)))
+    assert short.columns == columns
+    assert Counter((r["doc_id"], tuple(cases.words(r["text"]))) for r in short.collect()) == want
+    assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in short.collect())
+
+    pieces = pack(spark, df, sf).collect()
+    assert Counter(p["doc_id"] for p in pieces if p["start"] == 0) == Counter(i for i, _ in rows)
+    empty = {150, 151}
+    assert {(p["doc_id"], p["length"], p["doc_tokens"]) for p in pieces if p["doc_id"] in empty} == {(i, 1, 1) for i in empty}
+    for stage in (toxicity_stage, rules, near, cut):
+        nothing = stage(spark, cases.empty(spark), sf)
+        assert nothing.columns == columns and nothing.count() == 0
+    assert pack(spark, cases.empty(spark), sf).count() == 0
+
+
 def test_queries_digest(spark, sf):
     """The thin queries, row by row, on the smallest tables."""
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
