@@ -3,6 +3,9 @@
 Each stage takes the documents its predecessor kept and decides over all of them: toxic documents
 go, documents that lose too much to line rules go and the others stay cleaned, of near-duplicates
 the smallest id stays, passages that an earlier document has are cut, and the rest is packed.
+
+Stages read the columns of documents and no others: further columns, whatever their names, neither matter nor come
+along.  An empty table gives an empty table of the same columns.
 """
 
 from __future__ import annotations
@@ -30,29 +33,55 @@ def _rewritten(docs: DataFrame, text: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below TOXIC; the models learn from the labels of the documents at hand."""
+    """Documents scored below TOXIC; the models learn from the labels of the documents at hand.
+
+    A null or empty text is scored like any other and a text of any length in whole; equal texts get equal scores, so
+    repeated rows stay or go together, and rows with a null id are scored but teach nothing.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model, carry=DOCUMENTS).where(F.col("score") < TOXIC).select(*DOCUMENTS)
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, without the lines that broke one."""
+    """Documents that the rules keep, without the lines that broke one.
+
+    Null, empty and short texts (fewer than 50 words) go.  Rows are judged one by one: repeated rows and null ids make no difference.
+    """
     return _rewritten(quality.clean(docs, carry=DOCUMENTS).where("kept"), "clean_text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id."""
-    found = neardup.near_duplicates(docs, neardup.Plan(percent=SIMILAR))
-    return docs.select(*DOCUMENTS).join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(*DOCUMENTS)
+    """Of every group of near-duplicates the document with the smallest id, and of repeated rows one.
+
+    Rows that share an id are one document: they stay or go together, and those that differ in any column are all kept.  Texts
+    without words are near to nothing; rows with a null id take no part and stay as they are.
+    """
+    found = neardup.near_duplicates(docs, neardup.Plan(percent=SIMILAR)).where("doc_id IS NOT NULL")
+    verdicts = found.groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    special = materialize(verdicts.where("n > 1 OR NOT kept"), "verdicts")
+    # a table of its own, so that the few ids are known to be few and no text moves on their account
+    repeated = materialize(special.where("kept").select("doc_id"), "repeated")
+    rows = docs.select(*DOCUMENTS)
+    once = rows.join(special, "doc_id", "left_anti")
+    again = rows.join(repeated, "doc_id", "left_semi").distinct()
+    return once.select(*DOCUMENTS).union(again.select(*DOCUMENTS))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that a document with a smaller id has."""
+    """All documents, without the passages that a document with a smaller id has.
+
+    Null and empty texts stay as they are, rows with a null id are neither cut nor a source, and rows that share an id are no
+    sources for each other.  A text may end up empty.
+    """
     return _rewritten(substring.remove_repeats(docs, PASSAGE, carry=DOCUMENTS), "kept_text")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of full sequences that mix the sources as the documents do."""
+    """Pieces of full sequences that mix the sources as the documents do.
+
+    Null and empty texts are the end token alone, a long text is cut into pieces, a null source is a source of its own,
+    and repeated rows are packed one by one.
+    """
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), END, SEQUENCE)
