@@ -266,3 +266,27 @@ def near_duplicates(docs: DataFrame, plan: Plan = Plan(), doc_id: str = "doc_id"
 
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Plan(percent=85))
+
+
+#: The same by all pairs of classes that share a shingle; components by reach, as the small tables allow.
+ORACLE = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+  FROM words),
+keyed AS (SELECT doc_id, s, len(s) AS n, CASE WHEN len(s) > 0 THEN min(doc_id) OVER (PARTITION BY s) ELSE doc_id END AS class FROM sets),
+shingle AS (SELECT doc_id AS id, n, unnest(s) AS x FROM keyed WHERE doc_id = class),
+link AS (
+  SELECT a.id AS a, b.id AS b FROM shingle a JOIN shingle b ON a.x = b.x AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT DISTINCT class AS id, class AS other FROM keyed
+  UNION SELECT r.id, l.b FROM reach r JOIN link l ON r.other = l.a),
+component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT k.doc_id, k.n AS n_shingles, c.component_id, k.doc_id = c.component_id AS kept
+FROM keyed k JOIN component c ON k.class = c.id
+"""

@@ -20,7 +20,9 @@ QUERIES = {
     "op13_alignment": alignment.op13_alignment,
 }
 ORACLES = {
+    "op7_substring": substring.ORACLE,
     "op8_chat": chat.ORACLE,
     "op9_topk": topk.ORACLE,
+    "op10_neardup": neardup.ORACLE,
     "op11_negatives": negatives.ORACLE,
 }

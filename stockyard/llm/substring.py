@@ -230,3 +230,21 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     kept = F.array_join(words_of(F.coalesce("kept_text", F.lit(""))), " ")
     return done.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+#: The same by the smallest owner of every window.
+ORACLE = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 48), lambda i: {'i': i, 'k': md5(array_to_string(w[i:i + 49], ' '))})) AS v
+  FROM words WHERE len(w) >= 50),
+owned AS (SELECT doc_id, v.i AS i, min(doc_id) OVER (PARTITION BY v.k) AS owner FROM windows),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM owned WHERE owner < doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+kept AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(p.word, ' ' ORDER BY p.i) AS text
+  FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT w.doc_id, len(w.w) AS n_words, len(w.w) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
