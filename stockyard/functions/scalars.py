@@ -38,22 +38,38 @@ def cents(c: Column | str) -> Column:
 _LOW_BITS = 24
 
 
-def exact_sum(c: Column | str, places: int = 6) -> Column:
+def split_places(c: Column | str, places: int) -> tuple[Column, Column]:
+    """Whole part (below 9.2e18) and digits behind the point (12 at most) as integers of one sign: what :func:`exact_sum` adds fast."""
+    exact = col(c).cast(f"decimal(38,{places})")
+    behind = (exact % F.lit(1).cast("decimal(1,0)")) * F.lit(10 ** places).cast("decimal(13,0)")
+    return exact.cast("bigint"), behind.cast("bigint")
+
+
+def _whole_sum(c: Column, bits: int) -> Column:
+    """Sum of integers by their high and low bits, as a decimal."""
+    high, low = F.sum(F.shiftright(c, bits)), F.sum(c.bitwiseAND(F.lit((1 << bits) - 1)))
+    return high.cast("decimal(20,0)") * F.lit(1 << bits).cast("decimal(9,0)") + low.cast("decimal(20,0)")
+
+
+def exact_sum(c: Column | str | tuple[Column, Column], places: int = 6) -> Column:
     """Sum in units of so many decimal places: no order of adding matters, and nothing of a cent is lost.
 
     Up to six places a value is a whole number of units (below 9.2e12 at six), whose high and low bits are added apart as plain integers: neither sum
-    can overflow before 10^11 rows.  More places are added as decimals.  A NaN or infinite value is an error.
+    can overflow before 10^11 rows.  More places are added as decimals, or as integers too if they come from :func:`split_places`.
+    A NaN or infinite value is an error.
     """
+    if isinstance(c, tuple):
+        whole, behind = (_whole_sum(part, _LOW_BITS) for part in c)
+        return (whole.cast("decimal(25,0)") + (behind.cast("decimal(24,0)") * F.lit(f"1E-{places}").cast(f"decimal(12,{places})"))
+                .cast(f"decimal(25,{places})")).cast("double")
     if places > 6:
         return F.sum(col(c).cast(f"decimal(38,{places})")).cast("double")
     units = F.round(col(c) * F.lit(float(10 ** places))).cast("bigint")
-    high, low = F.sum(F.shiftright(units, _LOW_BITS)), F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-    total = high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS).cast("decimal(9,0)") + low.cast("decimal(20,0)")
-    return (total.cast("decimal(32,0)") / F.lit(10 ** places).cast("decimal(7,0)")).cast("double")
+    return (_whole_sum(units, _LOW_BITS).cast("decimal(32,0)") / F.lit(10 ** places).cast("decimal(7,0)")).cast("double")
 
 
-def exact_avg(c: Column | str, places: int = 6) -> Column:
-    return exact_sum(c, places) / F.count(col(c))
+def exact_avg(c: Column | str | tuple[Column, Column], places: int = 6) -> Column:
+    return exact_sum(c, places) / F.count(col(c[0] if isinstance(c, tuple) else c))
 
 
 def price_per_unit(price: Column | str = "price_usd", quantity: Column | str = "quantity") -> Column:

@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockyard.functions.scalars import distance, exact_avg, hash_int, keyed
+from stockyard.functions.scalars import distance, exact_avg, hash_int, keyed, split_places
 from stockyard.operators.features import enrich_numeric, fill_zero
 from stockyard.schema import NUMERIC_COLUMNS
 from stockyard.workspace import materialize
@@ -52,11 +52,25 @@ def _assembled(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]
     return fill_zero(df, columns), columns
 
 
-def _nearest(vec: Column, centers: list[list[float]], digits: int = 9) -> Column:
-    """Number of the nearest centre; the lowest wins a tie."""
-    gaps = [F.struct(F.round(distance(vec, F.array(*[F.lit(float(v)) for v in c])), digits).alias("d"), F.lit(i).alias("cluster"))
-            for i, c in enumerate(centers)]
-    return F.array_min(F.array(*gaps))["cluster"]
+def _nearest(df: DataFrame, names: list[str], centers: list[list[float]], output: str, digits: int = 9) -> DataFrame:
+    """Add the number of the nearest centre by rounded distance; the lowest wins a tie.
+
+    Rounding is dear, and only matters where two centres are about as near: elsewhere the plain distances decide.  The centres are a scalar
+    subquery and no literals, so that all passes run the same compiled code.
+    """
+    table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
+    df = df.withColumn("_c", df.sparkSession.range(0, 1, 1, 1).select(table.alias("c")).scalar())
+    gaps = [f"_gap{i}" for i in range(len(centers))]
+    near = df.withColumns({g: F.sqrt(sum(((F.col(n) - F.col("_c")[i][j]) * (F.col(n) - F.col("_c")[i][j]) for j, n in enumerate(names)), F.lit(0.0)))
+                           for i, g in enumerate(gaps)}).drop("_c")
+    rounded = F.array_min(F.array(*[F.struct(F.round(g, digits).alias("d"), F.lit(i).alias("cluster")) for i, g in enumerate(gaps)]))["cluster"]
+    if len(centers) == 1:
+        return near.withColumn(output, F.lit(0)).drop(*gaps)
+    # null where a gap is: then the rounded ones decide, as for ties
+    near = near.withColumn("_reach", F.least(*gaps) + F.lit(3 * 10.0 ** -digits))
+    alone = sum(((F.col(g) <= F.col("_reach")).cast("int") for g in gaps[1:]), (F.col(gaps[0]) <= F.col("_reach")).cast("int")) == 1
+    first = F.coalesce(*[F.when(F.col(g) <= F.col("_reach"), i) for i, g in enumerate(gaps)])
+    return near.withColumn(output, F.when(alone, first).otherwise(rounded)).drop(*gaps, "_reach")
 
 
 def lloyd(df: DataFrame, columns: list[str], key: str | None = None, k: int = 4, max_iter: int = 50, seed: int = 42,
@@ -69,17 +83,18 @@ def lloyd(df: DataFrame, columns: list[str], key: str | None = None, k: int = 4,
     """
     names = [f"_x{i}" for i in range(len(columns))]
     named = key or F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
-    points = materialize(df.select(F.col(named).alias("_key") if key else named.alias("_key"),
-                                   *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)]), "points")
+    points = materialize(df.select((F.col(named) if key else named).alias("_key"), *[F.col(c).cast("double").alias(n) for c, n in zip(columns, names)],
+                                   *[part.alias(f"{n}_{p}") for c, n in zip(columns, names) for p, part in zip("wp", split_places(F.col(c).cast("double"), 12))])
+                         .withColumn("_hash", F.xxhash64("_key")), "points")
     rows = points.orderBy(hash_int(keyed("_key", seed)), "_key").limit(k).select(*names).collect()  # k rows
     centers, before = [[float(v) for v in r] for r in rows], None
-    vec = F.array(*names)
-    mark = F.xxhash64("_key", "_label")
+    points = points.drop("_key")
+    mark = F.xxhash64("_hash", "_label")
     for step in range(max_iter):
         if not centers:
             break
-        sums = points.withColumn("_label", _nearest(vec, centers)).groupBy("_label").agg(
-            *[exact_avg(n, 12).alias(n) for n in names], F.count(F.lit(1)).alias("_n"),
+        sums = _nearest(points, names, centers, "_label").groupBy("_label").agg(
+            *[exact_avg((F.col(f"{n}_w"), F.col(f"{n}_p")), 12).alias(n) for n in names], F.count(F.lit(1)).alias("_n"),
             *[F.sum(F.shiftrightunsigned(mark, at).bitwiseAND(F.lit((1 << 24) - 1))).alias(f"_f{at}") for at in (0, 32)]).collect()  # k rows
         now = sorted((r["_label"], r["_n"], r["_f0"], r["_f32"]) for r in sums)
         if now == before or (step == 0 and [r[0] for r in now] == [0]) or step == max_iter - 1:
@@ -87,8 +102,10 @@ def lloyd(df: DataFrame, columns: list[str], key: str | None = None, k: int = 4,
         before = now
         for r in sums:
             centers[r["_label"]] = [r[n] for n in names]
-    label = _nearest(F.array(*[F.col(c).cast("double") for c in columns]), centers) if centers else F.lit(None)
-    return df.withColumn(output, label.cast("int"))
+    if not centers:
+        return df.withColumn(output, F.lit(None).cast("int"))
+    wide = df.withColumns({n: F.col(c).cast("double") for c, n in zip(columns, names)})
+    return _nearest(wide, names, centers, "_label").withColumn(output, F.col("_label").cast("int")).drop(*names, "_label")
 
 
 def standardised(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from stockyard.functions import scalars
 from stockyard.functions.scalars import hash_int, keyed
 from stockyard.operators import cluster, commerce, drift, features, metrics, neighbors, ordering, sampling
 
@@ -221,6 +222,27 @@ def test_grouped_drift(spark):
         assert r["ks_pvalue"] == pytest.approx(float(_paths(len(x), len(y), round(d * len(x) * len(y)))), abs=1e-12)
 
 
+def test_nearest_centre_rounds_only_ties(spark):
+    """Distances are plain expressions (no function over arrays), and rounded ones still decide ties, nulls and gaps below a billionth."""
+    centers = [[0.0, 0.0], [2.0, 0.0], [0.0, 2.0], [2.0, 2e-11]]
+    points = [(1.0, 0.0), (1.0, 1.0), (1.0 + 2e-10, 0.0), (1.0 + 2e-8, 0.0), (0.0, 2.0), (2.0, 1e-11), (1e8, 1e8), (None, 1.0), (None, None), (float("nan"), 0.0)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, a double, b double")
+    near = cluster._nearest(df, ["a", "b"], centers, "c")
+    vec = F.array("a", "b")
+    gaps = [F.struct(F.round(scalars.distance(vec, F.array(*map(F.lit, c))), 9).alias("d"), F.lit(n).alias("cluster")) for n, c in enumerate(centers)]
+    want = df.select("i", F.array_min(F.array(*gaps))["cluster"].alias("c"))
+    assert sorted(map(tuple, near.select("i", "c").collect())) == sorted(map(tuple, want.collect()))
+    assert "zip_with" not in near._jdf.queryExecution().toString() and near.columns == ["i", "a", "b", "c"]
+
+
+def test_split_sums_are_the_decimal_ones(spark):
+    values = [0.1, -0.1, 1e-12, -3e-12, 123456789.123456, -99999.999999999, 7e17, None, 0.0, 2.5e-13]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(values * 50)], "g int, x double")
+    whole, behind = scalars.split_places("x", 12)
+    fast = df.select("g", whole.alias("w"), behind.alias("p")).groupBy("g").agg(scalars.exact_avg((F.col("w"), F.col("p")), 12).alias("m"))
+    assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, df.groupBy("g").agg(scalars.exact_avg("x", 12)).collect()))
+
+
 @pytest.mark.parametrize("most", [1, 3, 50])
 def test_lloyd_follows_its_steps(spark, most, monkeypatch):
     rng = np.random.default_rng(7)
