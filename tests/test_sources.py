@@ -15,6 +15,7 @@ from stockyard.operators import image_jobs as I
 from stockyard.operators.commerce import regional_metrics, regional_summary
 from stockyard.operators.feature_store import FeatureStore
 from stockyard.operators.tracking import RunLog
+from stockyard.plans import continuous
 from stockyard.plans.visual import BITMAP_8X8
 from stockyard.schema import TRANSACTION, model_features
 from stockyard.sources import files, tables
@@ -160,6 +161,16 @@ def test_image_files_and_sidecars(spark, tmp_path):
 # ---------------------------------------------------------------- streams
 
 
+@pytest.mark.parametrize("batches, micro", [(3, 3), (7, 4), (400, 7)])
+def test_triggers_take_whole_batches_and_their_number_is_bounded(spark, batches, micro):
+    """Few batches make three triggers or so; many share triggers, so 36 million rows (360 batches) need six and not 360."""
+    path = fresh_dir(spark, "numbered")
+    rows = spark.range(batches).selectExpr("cast(id AS int) AS batch", "id AS n")
+    rows.repartition(1).write.partitionBy("batch").json(path)
+    per = continuous._per_trigger(spark, path)
+    assert -(-batches // per) == micro and per <= continuous.TRIGGER_BATCHES
+
+
 def test_running_totals_are_an_upsert_log(spark):
     """Nine batches, the last ones of one region only: they write its keys alone, and snapshots and a restart change no total."""
     rows = transactions(spark, 300)
