@@ -105,7 +105,7 @@ def ingest_frame(spark: SparkSession, frame: pd.DataFrame, columns: list[str] |
 
 
 def write_json(df: DataFrame, path: str, rows_per_file: int | None = None) -> str:
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "gzip")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.json(path)

@@ -171,6 +171,12 @@ def test_triggers_take_whole_batches_and_their_number_is_bounded(spark, batches,
     assert -(-batches // per) == micro and per <= continuous.TRIGGER_BATCHES
 
 
+def test_json_is_compressed_and_read_back(spark):
+    path = tables.write_json(transactions(spark, 30), fresh_dir(spark, "packed"), rows_per_file=10)
+    assert all(f.endswith(".json.gz") for f in spark.read.text(path).inputFiles())
+    assert tables.read_json(spark, path).count() == 30
+
+
 def test_running_totals_are_an_upsert_log(spark):
     """Nine batches, the last ones of one region only: they write its keys alone, and snapshots and a restart change no total."""
     rows = transactions(spark, 300)
