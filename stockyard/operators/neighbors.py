@@ -1,10 +1,11 @@
 """Exact k nearest neighbours of every row, without comparing all pairs.
 
-Every point gets further coordinates: its distances to a few pivots, which by the triangle inequality bound its distance to
-anything else.  Points are laid in an order that keeps near ones together (a space-filling curve in few dimensions, nearest pivot and
-distance to it in many) and cut into tiles of a fixed number of rows, so a tile is never larger than planned however the data
-clump.  A tile answers its own points first; the distance to the k-th answer then tells which other tiles could hold something
-nearer, and only those are visited.  They are found by descending a tree of bounds over the tiles, one join a level, so
+Points are cut into tiles of a bounded number of rows, so a tile is never larger than planned however the data clump.  Where some
+axes matter, space is halved along its widest axis again and again at the medians of a bounded sample; a cell that got more rows than a tile is
+cut along a space-filling curve.  Where many matter, every point gets further coordinates: its distances to a few pivots, which by the
+triangle inequality bound its distance to anything else; points are laid by nearest pivot and distance to it.  A tile answers its own
+points first; the distance to the k-th answer then tells which other tiles could hold something nearer, only those are visited, and they
+answer with nothing beyond that distance.  They are found by descending a tree of bounds over the tiles, one join a level, so
 no table of tiles is sent around whatever their number.  Copies of one vector are thinned to the k + 1 lowest ids beforehand: no
 query can need more of them, since ties go to the lowest id.
 """
@@ -23,7 +24,10 @@ from stockyard.workspace import materialize
 DIGITS = 6             # distances are compared at this many decimals, ties by id
 PIVOTS = 24            # rows whose distances to all others are kept
 PIVOT_SAMPLE = 2048    # rows, chosen by the hash of the id, that pivots are taken from
-CURVE_AXES = 6         # axes up to which the space-filling curve orders points
+CURVE_AXES = 6         # widest axes that the space-filling curve takes
+CELL_AXES = 16         # axes up to which space is halved into cells
+CELLS = 4096           # cells at most
+CELL_SAMPLE = 32       # sampled rows a cell
 FANOUT = 64            # tiles or nodes below a node of the tree
 BOXES_PER_TASK = 512
 VISITS_PER_TASK = 20_000
@@ -49,6 +53,32 @@ def curve_position(axes: list[str], low: list[float], high: list[float]) -> Colu
     return F.expr(" | ".join(terms))
 
 
+def halve(sample: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(axis, edge) of the 2 ** depth - 1 nodes of a tree over the sample: a node halves its rows along the axis of their largest deviation."""
+    axis, edge, held = np.zeros(2 ** depth - 1, int), np.full(2 ** depth - 1, np.inf), [sample]
+    for node in range(2 ** depth - 1):
+        rows = held[node]
+        if len(rows) > 1:
+            axis[node] = rows.std(axis=0).argmax()
+            x = np.sort(rows[:, axis[node]])
+            # the cut between two values that is nearest to the middle
+            cuts = np.flatnonzero(x[1:] > x[:-1])
+            if len(cuts):
+                edge[node] = x[cuts[np.abs(cuts + 1 - len(x) / 2).argmin()]]
+        below = rows[:, axis[node]] <= edge[node]
+        held += [rows[below], rows[~below]]
+        held[node] = None
+    return axis, edge
+
+
+def cell_of(x: np.ndarray, axis: np.ndarray, edge: np.ndarray, depth: int) -> np.ndarray:
+    """Number of the cell every row falls into; near numbers are near cells."""
+    node, rows = np.zeros(len(x), int), np.arange(len(x))
+    for _ in range(depth):
+        node = 2 * node + 1 + (x[rows, axis[node]] > edge[node])
+    return node - (2 ** depth - 1)
+
+
 def pick_pivots(points: DataFrame, count: int = PIVOTS) -> np.ndarray:
     """Rows far from each other, out of PIVOT_SAMPLE rows chosen by hash: each next one is the farthest from those before."""
     sample = np.array([r["vec"] for r in points.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).select("vec").collect()], float)
@@ -117,9 +147,52 @@ def _close_tiles(tiles: DataFrame, count: int, dims: int, width: int) -> DataFra
     return pairs.where(F.col("node") != F.col("tile")).select("tile", F.col("node").alias("other"), "lows", "highs")
 
 
+def _cells(flat: DataFrame, names: list[str], count: int, low: list[float], high: list[float], tile_rows: int) -> tuple[DataFrame, int]:
+    """Rows with their ``tile``, and the number of tiles: every cell is cut into as few equal tiles as it needs."""
+    depth = max(0, min(CELLS, int(count / tile_rows * 1.4)).bit_length() - 1)
+    some = CELL_SAMPLE * 2 ** depth
+    picked = flat if count <= some else flat.where(F.pmod(F.xxhash64("id", F.lit("cell")), F.lit(count)) < some)
+    axis, edge = halve(picked.select(*names).toPandas().to_numpy(float), depth)  # about CELLS * CELL_SAMPLE rows at most
+
+    def place(batches):
+        for pdf in batches:
+            yield pdf.assign(cell=cell_of(pdf[names].to_numpy(float), axis, edge, depth).astype("int32"))
+
+    placed = flat.mapInPandas(place, "id string, " + ", ".join(f"{c} double" for c in names) + ", cell int")
+    numbered = number_rows(placed.withColumn("_curve", curve_position(names, low, high)), ["cell", "_curve", "id"], "_no")
+    sizes = {r["cell"]: (r["first"], r["n"]) for r in numbered.groupBy("cell").agg(
+        F.min("_no").alias("first"), F.count(F.lit(1)).alias("n")).collect()}  # one row a cell, CELLS at most
+    rows, tiles = [], 0
+    for cell, (first, n) in sorted(sizes.items()):
+        rows.append((cell, first, n, -(-n // tile_rows), tiles))
+        tiles += rows[-1][3]
+    table = flat.sparkSession.createDataFrame(rows, "cell int, _first long, _n long, _tiles int, _base int")
+    tile = F.col("_base") + F.floor((F.col("_no") - F.col("_first")) * F.col("_tiles") / F.col("_n"))
+    return numbered.join(F.broadcast(table), "cell").select("id", *names, tile.cast("int").alias("tile")), tiles
+
+
+def _by_pivots(points: DataFrame, pivots: np.ndarray, axes: list[str], dims: int, tile_rows: int) -> DataFrame:
+    """Rows with their distances to the pivots and their ``tile``, cut along nearest pivot and distance to it."""
+    def widen(batches):
+        for pdf in batches:
+            x = np.stack(pdf["vec"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, dims))
+            far = np.sqrt(np.maximum(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2), 0))
+            out = pd.DataFrame(np.concatenate([x, far], axis=1), columns=axes)
+            out.insert(0, "id", pdf["id"].to_numpy())
+            out["cell"] = far.argmin(axis=1).astype("int32") if len(pdf) else np.zeros(0, "int32")
+            yield out
+
+    # points come with the vectors of a bounded batch
+    schema = "id string, " + ", ".join(f"{c} double" for c in axes) + ", cell int"
+    keyed = materialize(points.select("id", "vec").mapInPandas(widen, schema), "flat").withColumn(
+        "_far", F.element_at(F.array(*axes[dims:]), F.col("cell") + 1))
+    ordered = number_rows(keyed, ["cell", "_far", "id"], "_no")
+    return ordered.select("id", *axes, F.floor(F.col("_no") / tile_rows).cast("int").alias("tile"))
+
+
 class Tiles:
-    """``flat`` (id and coordinates), ``tiled`` (and tile), ``own`` (id, dist, other inside the tile) and ``visits`` (id, tile): the other tiles
-    each point has to see."""
+    """``tiled`` (id, coordinates, tile), ``own`` (id, dist, other inside the tile) and ``visits`` (id, coordinates, radius, tile): the other
+    tiles each point has to see."""
 
     def __init__(self, points: DataFrame, k: int, tile_rows: int):
         dims = len(points.select("vec").head()["vec"])
@@ -127,32 +200,15 @@ class Tiles:
         flat = points.select("id", *[F.col("vec")[i].alias(c) for i, c in enumerate(names)])
         bounds = list(flat.agg(F.count(F.lit(1)), *[f(c) for c in names for f in (F.min, F.max)]).head())
         low, high = bounds[1::2], bounds[2::2]
-        # where few axes matter, boxes along the curve are tight and pivots add nothing
-        few = len(wide_axes(low, high)) <= CURVE_AXES
+        # where few axes matter, boxes of cells are tight and pivots add nothing
+        few = len(wide_axes(low, high)) <= CELL_AXES
         pivots = np.zeros((0, dims)) if few else pick_pivots(points)
         axes = names + [f"p{i}" for i in range(len(pivots))]
         width = len(axes)
-
-        def widen(batches):
-            for pdf in batches:
-                x = np.stack(pdf["vec"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, dims))
-                far = np.sqrt(np.maximum(((x[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2), 0))
-                out = pd.DataFrame(np.concatenate([x, far], axis=1), columns=axes)
-                out.insert(0, "id", pdf["id"].to_numpy())
-                out["cell"] = far.argmin(axis=1).astype("int32") if len(pdf) else np.zeros(0, "int32")
-                yield out
-
         if few:
-            order = [curve_position(names, low, high)]
+            self.tiled, count = _cells(flat, names, bounds[0], low, high, tile_rows)
         else:
-            # points come with the vectors of a bounded batch
-            schema = "id string, " + ", ".join(f"{c} double" for c in axes) + ", cell int"
-            flat = materialize(points.select("id", "vec").mapInPandas(widen, schema), "flat")
-            order = ["cell", F.element_at(F.array(*axes[dims:]), F.col("cell") + 1)]
-        keyed = flat.withColumns({f"_o{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(order)})
-        ordered = number_rows(keyed, [*[f"_o{i}" for i in range(len(order))], "id"], "_no")
-        self.flat = flat.select("id", *names)
-        self.tiled = ordered.select("id", *axes, F.floor(F.col("_no") / tile_rows).cast("int").alias("tile"))
+            self.tiled, count = _by_pivots(points, pivots, axes, dims, tile_rows), -(-bounds[0] // tile_rows)
 
         def inside(pdf: pd.DataFrame) -> pd.DataFrame:
             """Neighbours within the tile, and how far from each point the others can lie."""
@@ -175,17 +231,17 @@ class Tiles:
         reach = first.where("other IS NULL").drop("dist", "other")
         columns = [F.col(c) for c in axes]
         tiles = materialize(_bounds(reach, "tile", columns, columns, F.max("radius").alias("radius")), "tiles")
-        close = materialize(_close_tiles(tiles, -(-bounds[0] // tile_rows), dims, width), "close-tiles")
+        close = materialize(_close_tiles(tiles, count, dims, width), "close-tiles")
 
         def ask(pts: pd.DataFrame, boxes: pd.DataFrame) -> pd.DataFrame:
             """Which of the tiles each point has to visit."""
             if pts.empty or boxes.empty:
-                return pd.DataFrame({"id": [], "tile": []})
+                return pd.DataFrame({c: [] for c in ["id", *names, "radius", "tile"]})
             x, radius, out = pts[axes].to_numpy(), pts["radius"].to_numpy(), []
             for t, lows, highs in zip(boxes["other"], boxes["lows"], boxes["highs"]):
                 gap = np.maximum(0, np.maximum(np.asarray(lows) - x, x - np.asarray(highs)))
                 asks = (np.sqrt((gap[:, :dims] ** 2).sum(axis=1)) <= radius) & (gap[:, dims:] <= radius[:, None]).all(axis=1)
-                out.append(pd.DataFrame({"id": pts["id"].to_numpy()[asks], "tile": t}))
+                out.append(pts.loc[asks, ["id", *names, "radius"]].assign(tile=t))
             return pd.concat(out, ignore_index=True)
 
         # a tile with many boxes to look at is split: boxes by number, its points repeated per part
@@ -194,7 +250,7 @@ class Tiles:
                   .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "radius", *axes))
         boxes = close.join(parts, "tile").select("tile", F.pmod(F.col("other"), F.col("parts")).alias("part"), "other", "lows", "highs")
         self.visits = materialize(asking.groupBy("tile", "part").cogroup(boxes.groupBy("tile", "part"))
-                                  .applyInPandas(ask, "id string, tile int"), "visits")
+                                  .applyInPandas(ask, "id string, " + ", ".join(f"{c} double" for c in [*names, "radius"]) + ", tile int"), "visits")
 
 
 def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
@@ -203,8 +259,8 @@ def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
     names, visits = plan.names, plan.visits
     # a tile with many visitors is split: visitors by hash, the tile's own rows repeated per part
     parts = visits.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / VISITS_PER_TASK).cast("int").alias("parts"))
-    asking = (visits.join(plan.flat, "id").join(parts, "tile")
-              .select("tile", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", *names))
+    asking = (visits.join(parts, "tile")
+              .select("tile", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "radius", *names))
     hosts = (plan.tiled.join(parts, "tile")
              .select("tile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", *names))
 
@@ -213,7 +269,8 @@ def _search(points: DataFrame, k: int, tile_rows: int) -> DataFrame:
             return pd.DataFrame({"id": [], "dist": [], "other": []})
         held = held.sort_values("id", ignore_index=True)
         q, p, dist = nearest(asked[names].to_numpy(), held[names].to_numpy(), k)
-        return pd.DataFrame({"id": asked["id"].to_numpy()[q], "dist": dist, "other": held["id"].to_numpy()[p]})
+        near = dist <= asked["radius"].to_numpy()[q]  # the point's own tile has k rows within
+        return pd.DataFrame({"id": asked["id"].to_numpy()[q[near]], "dist": dist[near], "other": held["id"].to_numpy()[p[near]]})
 
     second = (asking.groupBy("tile", "part").cogroup(hosts.groupBy("tile", "part"))
               .applyInPandas(visit, "id string, dist double, other string"))

@@ -269,7 +269,7 @@ _ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in MODEL_FEATURES)
   SELECT transaction_id, is_fraud, 'original' AS origin, {_ROUNDED} FROM tx_features
   UNION ALL SELECT transaction_id, 1, 'synthetic', {_ROUNDED} FROM made""")
 def smote(spark, sf):
-    rows = sampling.smote(views.tx_features(spark, sf), TX, MODEL_FEATURES, "is_fraud")
+    rows = sampling.smote(views.tx_features(spark, sf, "is_fraud"), TX, MODEL_FEATURES, "is_fraud")
     return rounded(rows, **{c: 6 for c in MODEL_FEATURES})
 
 
@@ -282,7 +282,7 @@ def _dataset_sql(label):
 
 
 def _dataset(spark, sf, label):
-    d = sampling.imbalanced_dataset(views.tx_features(spark, sf), TX, MODEL_FEATURES, label)
+    d = sampling.imbalanced_dataset(views.tx_features(spark, sf, label), TX, MODEL_FEATURES, label)
     parts = [("original", d["original_distribution"], "n"), ("resampled", d["resampled_distribution"], "n"),
              ("weight", d["class_weights"], "weight")]
     return reduce(DataFrame.unionByName, [

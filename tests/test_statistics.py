@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from stockyard.functions import scalars
 from stockyard.functions.scalars import hash_int, keyed
 from stockyard.operators import cluster, commerce, drift, features, metrics, neighbors, ordering, sampling
+from stockyard.plans import views
+from stockyard.schema import MODEL_FEATURES
 
 FEW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -148,6 +150,39 @@ def test_neighbors_equal_brute_force(spark, kind, monkeypatch):
         assert neighbors.Tiles(df, 6, 16).visits.count() < 0.4 * n * (n // 16)
 
 
+def test_neighbors_visit_few_tiles_as_rows_grow(spark):
+    """Seven axes matter, 16 and 125 tiles."""
+    rng, k = np.random.default_rng(3), 6
+    wide = [100, 53, 49, 19, 5, 6, 4]
+    visits = []
+    for n in (2000, 16000):
+        xs = np.round(rng.random((n, 7)) ** 2 * wide, 2)
+        df = spark.createDataFrame([(f"p{i:05d}", [float(v) for v in x]) for i, x in enumerate(xs)], "id string, vec array<double>")
+        plan = neighbors.Tiles(df, k, 128)
+        visits.append(plan.visits.count() / n)
+        sizes = [r["count"] for r in plan.tiled.groupBy("tile").count().collect()]
+        assert sum(sizes) == n and max(sizes) <= 128
+    assert visits[1] < 8, visits  # 5.1; nearest pivots with shells around them gave 12.3
+
+
+def test_cells_are_halves_of_halves():
+    rng = np.random.default_rng(4)
+    xs = np.concatenate([rng.random((512, 2)) * [1, 8], np.ones((64, 2))])
+    axis, edge = neighbors.halve(xs, 5)
+    cells = neighbors.cell_of(xs, axis, edge, 5)
+    assert axis[0] == 1 and cells.min() >= 0 and cells.max() < 32
+    # equal rows are not parted; without them cells are about equal
+    assert len(set(cells[512:])) == 1 and np.bincount(cells[:512], minlength=32).max() <= 32
+    assert (neighbors.cell_of(np.zeros((3, 2)), *neighbors.halve(np.zeros((3, 2)), 2), 2) == 0).all()
+
+
+def test_rows_for_resampling_are_joined_once(spark, sf):
+    columns = ["transaction_id", "is_defect", *MODEL_FEATURES]
+    once, plain = views.tx_features(spark, sf, "is_defect"), views.tx_features(spark, sf)
+    assert not [f for f in once.inputFiles() if "lineitem" in f or "orders" in f]
+    assert sorted(map(tuple, once.select(*columns).collect())) == sorted(map(tuple, plain.select(*columns).collect()))
+
+
 def test_neighbors_of_nothing(spark):
     assert neighbors.k_nearest(spark.createDataFrame([], "id string, vec array<double>")).count() == 0
     assert neighbors.k_nearest(spark.createDataFrame([("a", [1.0])], "id string, vec array<double>")).head()["neighbors"] == []
