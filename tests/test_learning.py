@@ -62,6 +62,19 @@ def test_folds_share_one_binned_table(spark, rows):
             assert 0 < r["mse"] < r["var_y"]
 
 
+def test_many_rows_are_fitted_by_fewer_fits_at_a_time(spark, rows, monkeypatch):
+    held = M.Folds(rows, COLUMNS, TARGET, ORDER, 2)
+    assert held.at_a_time(5) == 5
+    values = {}
+    for most, fits in ((12_000, 2), (100, 1)):
+        monkeypatch.setattr(M, "ROWS_IN_FITS", most)
+        assert held.at_a_time(5) == fits
+        found = M.tune_generic(rows, COLUMNS, TARGET, lambda p: DecisionTreeRegressor(labelCol=TARGET, maxDepth=p["depth"]),
+                               {"depth": ("int", 1, 4)}, M.RegressionEvaluator(labelCol=TARGET), ORDER, 3, 2)
+        values[fits] = found["values"]
+    assert values[1] == values[2]
+
+
 def test_tuning_minimises_the_root_of_the_mean_error(spark, rows):
     got = M.tune_regressor(rows, COLUMNS, TARGET, ORDER, trials=2, folds=2, space=SPACE)
     assert len(got["values"]) == 2 and got["best_value"] ** 2 == pytest.approx(min(got["means"].values()))
